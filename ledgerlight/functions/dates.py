@@ -6,7 +6,8 @@ from pyspark.sql import Column, functions as F
 
 
 def yyyymm(day: Column) -> Column:
-    return F.date_format(day, "yyyyMM")
+    """The month as ``yyyyMM`` text; integer arithmetic, far cheaper per row than a date formatter."""
+    return F.lpad((F.year(day) * 100 + F.month(day)).cast("string"), 6, "0")
 
 
 def month_start(day: Column) -> Column:

@@ -18,8 +18,8 @@ DIM_PLANS = """
 sk_plan_id string !
 plan_id string !
 plan_name string !
-tier int !
-max_seats int !
+tier integer !
+max_seats integer !
 features string
 monthly_price decimal(10,2) !
 annual_price decimal(10,2) !
@@ -32,31 +32,31 @@ sk_user_id string !
 user_id string !
 company_name string
 company_size string !
-company_size_order int !
+company_size_order integer !
 industry string !
 acquisition_channel string !
 country string
 signed_up_at date !
 signup_month string !
-is_deleted int !
+is_deleted integer !
 _stg_loaded_at timestamp !
 """
 FCT_COHORT_RETENTION = """
 cohort_month string !
-cohort_size bigint !
-months_since_cohort bigint !
+cohort_size long !
+months_since_cohort long !
 period_label string !
-total_users bigint !
-retained_users bigint !
+total_users long !
+retained_users long !
 retention_rate decimal(10,4) !
 cohort_size_bucket string !
 retention_benchmark decimal(10,2)
 retention_vs_benchmark decimal(10,4)
-activated_total_users bigint !
-activated_retained_users bigint !
+activated_total_users long !
+activated_retained_users long !
 activated_retention_rate decimal(10,4)
-non_activated_total_users bigint !
-non_activated_retained_users bigint !
+non_activated_total_users long !
+non_activated_retained_users long !
 non_activated_retention_rate decimal(10,4)
 activation_retention_lift decimal(10,4)
 """
@@ -67,7 +67,7 @@ sk_user_id string
 user_id string !
 session_id string
 event_name string !
-funnel_stage_order int !
+funnel_stage_order integer !
 is_funnel_event boolean !
 is_activation_event boolean !
 is_conversion_event boolean !
@@ -122,7 +122,7 @@ payment_date date !
 payment_month string !
 period_start date
 period_end date
-days_in_period bigint
+days_in_period long
 _stg_loaded_at timestamp !
 """
 FCT_SUBSCRIPTIONS = """
@@ -141,8 +141,8 @@ is_churned boolean !
 is_trial_expired boolean !
 is_spike_churn boolean !
 mrr decimal(10,2)
-trial_duration_days bigint
-subscription_duration_days bigint
+trial_duration_days long
+subscription_duration_days long
 trial_start_date date
 trial_end_date date
 subscription_start_date date
@@ -167,20 +167,20 @@ onboarding_step1_date date
 onboarding_step2_date date
 activated_date date
 converted_date date
-highest_funnel_stage_order int
+highest_funnel_stage_order integer
 highest_funnel_stage_name string
-distinct_funnel_stages_reached bigint !
+distinct_funnel_stages_reached long !
 has_verified_email boolean !
 has_started_trial boolean !
 has_activated boolean !
 has_converted boolean !
-days_to_email_verified int
-days_to_activation int
-days_to_conversion int
+days_to_email_verified integer
+days_to_activation integer
+days_to_conversion integer
 has_paid_subscription boolean !
 has_churned boolean !
 current_mrr decimal(10,2)
-max_subscription_duration_days bigint
+max_subscription_duration_days long
 first_subscription_start_date date
 last_cancel_reason string
 """

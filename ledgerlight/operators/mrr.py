@@ -89,15 +89,25 @@ def active_mrr_by_month(subscriptions: DataFrame, ctx: RunContext) -> DataFrame:
     return active_months(per_span).select("mrr_month", "mrr")
 
 
-def hot_users(spans: DataFrame, min_rows: int, share: float) -> DataFrame:
-    """Users whose month rows need the split lane, with their common id prefix length."""
+def find_hot_users(
+    subscriptions: DataFrame, ctx: RunContext, *, min_rows: int = HOT_USER_ROWS, share: float = HOT_USER_SHARE
+) -> DataFrame | None:
+    """Users whose month rows need the split lane, or None if there are none.
+
+    Runs one aggregate, combined map-side, over user, id and dates; only the
+    largest and the total load come to the driver.
+    """
+    spans = paid_spans(subscriptions, ctx)
     months = month_number(F.col("last_month")) - month_number(F.col("first_month")) + 1
     loads = spans.groupBy("user_id").agg(
         F.sum(months).alias("month_rows"),
         F.min("subscription_id").alias("low_id"),
         F.max("subscription_id").alias("high_id"),
     )
-    limit = loads.agg(F.greatest(F.lit(min_rows), F.sum("month_rows") * share)).scalar()
+    seen = loads.agg(F.max("month_rows").alias("largest"), F.sum("month_rows").alias("total")).first()
+    limit = max(min_rows, (seen.total or 0) * share)
+    if (seen.largest or 0) <= limit:
+        return None
     # All ids of a user lie between the lowest and the highest, so they share the prefix of those two.
     shared = F.expr("size(filter(sequence(1, greatest(length(low_id), 1)), i -> left(low_id, i) = left(high_id, i)))")
     return loads.where(F.col("month_rows") > limit).select(
@@ -115,8 +125,13 @@ def _previous_in_order(months: DataFrame, keys: list[str], order: list[str]) ->
 
 
 def previous_by_user(spans: DataFrame) -> DataFrame:
-    """Month rows with the previous row of the same user; one shuffle, before the explode."""
-    months = active_months(spans.repartition("user_id"))
+    """Month rows with the previous row of the same user; one shuffle, before the explode.
+
+    The partition count is pinned to the session's: left open, it would be
+    lowered to suit the small rows that are shuffled, not the many that follow.
+    """
+    partitions = int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    months = active_months(spans.repartition(partitions, "user_id"))
     return _previous_in_order(months, ["user_id"], ["month_start", "subscription_start_date", "subscription_id"])
 
 
@@ -160,16 +175,14 @@ def previous_by_block(spans: DataFrame) -> DataFrame:
     ).drop("id_block", "shared_chars")
 
 
-def months_with_previous(
-    spans: DataFrame, *, hot_user_rows: int | None = HOT_USER_ROWS, hot_user_share: float = HOT_USER_SHARE
-) -> DataFrame:
-    """Month rows with the user's previous row. ``hot_user_rows=None`` turns the split lane off."""
-    if hot_user_rows is None:
+def months_with_previous(spans: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Month rows with the user's previous row; ``hot`` users (``find_hot_users``) take the split lane."""
+    if hot is None:
         return previous_by_user(spans)
-    hot = F.broadcast(hot_users(spans, hot_user_rows, hot_user_share))
     is_hot = F.col("user_id").eqNullSafe(F.col("hot_user_id"))
-    regular = previous_by_user(spans.join(hot, is_hot, "left_anti"))
-    split = previous_by_block(spans.join(hot, is_hot).drop("hot_user_id"))
+    # At most 1 / share users are hot, whatever the size of the data.
+    regular = previous_by_user(spans.join(F.broadcast(hot), is_hot, "left_anti"))
+    split = previous_by_block(spans.join(F.broadcast(hot), is_hot).drop("hot_user_id"))
     return regular.unionByName(split)
 
 
@@ -219,27 +232,24 @@ def fct_mrr(
     *,
     incremental: bool = False,
     reactivation_delta: str = "change",
-    hot_user_rows: int | None = HOT_USER_ROWS,
-    hot_user_share: float = HOT_USER_SHARE,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """The MRR fact over ``fct_subscriptions`` rows.
 
+    ``hot`` are the users that no single task could hold, as ``find_hot_users``
+    gives them.
+
     ``incremental=True`` returns the rows of the lookback months only. The
     comparison still runs over the full history, because a cut before it would
     turn every first row of the window into ``new``.
     """
     columns = [c for c in MRR_COLUMNS if c != "sk_user_id" or "sk_user_id" in subscriptions.columns]
-    months = months_with_previous(
-        paid_spans(subscriptions, ctx), hot_user_rows=hot_user_rows, hot_user_share=hot_user_share
-    )
+    months = months_with_previous(paid_spans(subscriptions, ctx), hot)
     live = classified_months(months, reactivation_delta=reactivation_delta)
     churned = churn_months(subscriptions)
     key = surrogate_key("subscription_id", "mrr_month").alias("sk_mrr_id")
-    parts = [
-        part.withColumn("sk_mrr_id", key).select(columns)
-        for part in (live, churned)
-    ]
-    rows = parts[0].unionByName(parts[1])
+    live, churned = (part.withColumn("sk_mrr_id", key).select(columns) for part in (live, churned))
+    rows = live.unionByName(churned)
     if incremental:
         rows = rows.where(F.col("mrr_month") >= ctx.oldest_reloaded_month())
     return rows

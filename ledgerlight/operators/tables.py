@@ -94,7 +94,7 @@ class MonthTable:
         schema = StructType([f for f in newest.fields if f.name != self.month])
         folders = [self._folder(month, version) for month, version in sorted(listed.items())]
         return (
-            self.spark.read.schema(schema.add(self.month, "string").add("version", "int"))
+            self.spark.read.schema(schema.add(self.month, "string").add("version", "integer"))
             .option("basePath", self.root)
             .parquet(*folders)
             .drop("version")
@@ -152,6 +152,8 @@ class MonthTable:
         incoming_path = f"{self.root}/{INCOMING}"
         batch.write.mode("overwrite").parquet(incoming_path)
         batch = self.spark.read.schema(batch.schema).parquet(incoming_path)
+        if not any_rows(batch):
+            return
         if any_rows(duplicate_keys(batch, self.key)):
             raise ValueError(f"batch repeats a value of {self.key}")
         if audit is not None:

@@ -84,8 +84,10 @@ def build_marts(
     marts["fct_events"] = load("fct_events", events)
     marts["fct_payments"] = load("fct_payments", payments)
     marts["fct_subscriptions"] = load("fct_subscriptions", subscriptions)
+    hot = mrr.find_hot_users(marts["fct_subscriptions"], ctx)
     marts["fct_mrr"] = load(
-        "fct_mrr", lambda _, incremental: mrr.fct_mrr(marts["fct_subscriptions"], ctx, incremental=incremental)
+        "fct_mrr",
+        lambda _, incremental: mrr.fct_mrr(marts["fct_subscriptions"], ctx, incremental=incremental, hot=hot),
     )
     counts = retention.cohort_retention_asof(marts["fct_subscriptions"], marts["fct_events"], ctx)
     marts["fct_cohort_retention"] = _replace(

@@ -62,9 +62,14 @@ class Marts:
     def subscriptions(self) -> DataFrame:
         return facts.fct_subscriptions(self.staged_subscriptions, self.users, self.plans)
 
+    @cached_property
+    def hot_users(self) -> DataFrame | None:
+        """Looked up once per set of raw tables; the only step here that runs a job."""
+        return mrr.find_hot_users(self.staged_subscriptions, self.ctx)
+
     @cached_property
     def mrr(self) -> DataFrame:
-        return mrr.fct_mrr(self.subscriptions, self.ctx)
+        return mrr.fct_mrr(self.subscriptions, self.ctx, hot=self.hot_users)
 
     @cached_property
     def cohort_retention(self) -> DataFrame:
@@ -96,7 +101,7 @@ class Marts:
 
     @cached_property
     def keyless_mrr(self) -> DataFrame:
-        return mrr.fct_mrr(self.keyless_subscriptions, self.ctx)
+        return mrr.fct_mrr(self.keyless_subscriptions, self.ctx, hot=self.hot_users)
 
     def live_months(self, subscriptions: DataFrame) -> DataFrame:
         """The live rows of the MRR fact without movement class: no shuffle at all."""

@@ -147,7 +147,7 @@ def feature_conversion_pivot(events: DataFrame) -> DataFrame:
     return (
         labelled.groupBy("feature_used")
         .pivot("converted", ["converted", "not_converted"])
-        .agg(F.count("*"))
+        .agg(F.count("user_id"))
         .fillna(0, ["converted", "not_converted"])
         .withColumn(
             "conversion_pct", percent(F.col("converted"), F.col("converted") + F.col("not_converted"))

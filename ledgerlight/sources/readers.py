@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlight.sources.schemas import PLAN_SEED, RAW_PLANS, RAW_SCHEMAS
+from ledgerlight.sources.schemas import PLAN_SEED, RAW_PLAN_COLUMNS, RAW_SCHEMAS
 
 
 @dataclass(frozen=True)
@@ -38,11 +37,8 @@ def read_csv_table(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 def plan_seed(spark: SparkSession) -> DataFrame:
     """The four-row plan catalogue."""
-    rows = [
-        (plan, name, Decimal(monthly), Decimal(annual), tier, seats, features)
-        for plan, name, monthly, annual, tier, seats, features in PLAN_SEED
-    ]
-    return spark.createDataFrame(rows, RAW_PLANS)
+    rows = ", ".join(str(row) for row in PLAN_SEED)
+    return spark.sql(f"SELECT * FROM VALUES {rows}").toDF(*RAW_PLAN_COLUMNS)
 
 
 def read_raw(spark: SparkSession, root: str, plans_csv: str | None = None) -> RawTables:
