@@ -56,6 +56,7 @@ def _ctes(ctx) -> dict[str, str]:
                    DATE '2023-12-01' AS created_at,
                    CASE WHEN c_custkey % 97 = 0 THEN 'n/a' WHEN c_custkey % 10 = 0 THEN 'True' ELSE 'false' END AS is_deleted
             FROM customer""",
+        # MRR in whole cents: a binary double would round 69.195 down.
         "raw_subscriptions": """
             SELECT CAST(o_orderkey AS VARCHAR) AS subscription_id, CAST(o_custkey AS VARCHAR) AS user_id,
                    ['plan_starter','plan_growth','plan_scale','plan_enterprise'][o_orderkey % 4 + 1] AS plan_id,
@@ -71,7 +72,8 @@ def _ctes(ctx) -> dict[str, str]:
                    CASE WHEN o_orderstatus = 'F' THEN
                         ['pricing_change','too_expensive','missing_features','switched_tool','other']
                         [CAST(left(o_orderpriority, 1) AS INTEGER)] END AS cancel_reason,
-                   CAST(o_totalprice / 1000 AS DECIMAL(10,2)) AS mrr
+                   CAST((CAST(round(o_totalprice * 100) AS BIGINT) + 500) // 1000 AS DECIMAL(12,0)) / 100 AS mrr_exact,
+                   CAST(mrr_exact AS DECIMAL(10,2)) AS mrr
             FROM orders""",
         "raw_payments": """
             SELECT CAST(o_orderkey AS VARCHAR) AS payment_id, CAST(o_orderkey AS VARCHAR) AS subscription_id,
