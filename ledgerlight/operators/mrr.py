@@ -1,15 +1,17 @@
 """Monthly recurring revenue: one row per subscription and active month, with its movement.
 
 Each subscription is turned into its months by ``sequence`` and ``explode``; no
-join with a calendar. The months of one user are then compared in order
-(month, start date, subscription id).
+join with a calendar. Its churn month, if it has one, comes out of the same
+explode, so the subscriptions are read once. The months of one user are then
+compared in order (month, start date, subscription id).
 
 The shuffle by user happens *before* the months are exploded, so it carries one
-row per subscription, not one per month. A user who owns so many rows that one
-task could not hold them (a reseller, a catch-all account) is found by a
-map-side combined count and takes a second lane, where the ordered rows are cut
-into blocks (month, start date, id prefix) and only the last row of each block
-travels to the next one. Both lanes give the same rows.
+row per subscription, not one per month, and its partitioning also serves a
+later count of distinct users. A user who owns so many rows that one task could
+not hold them (a reseller, a catch-all account) is found by a map-side combined
+count and takes a second lane, where the ordered rows are cut into blocks
+(month, start date, id prefix) and only the last row of each block travels to
+the next one. Both lanes give the same rows.
 """
 
 from __future__ import annotations
@@ -48,22 +50,37 @@ MRR_COLUMNS = [
 _PREVIOUS = ["prev_mrr", "prev_subscription_id", "prev_month_start"]
 
 
-def paid_spans(subscriptions: DataFrame, ctx: RunContext) -> DataFrame:
-    """Paid subscriptions with the first and last month they count in.
+def counted_subscriptions(subscriptions: DataFrame, ctx: RunContext) -> DataFrame:
+    """Paid subscriptions with the first and last month they count in, and their churn month.
 
     An open subscription runs to ``as_of``; months outside the reporting window
-    are cut off, and a subscription with no month left drops out.
+    are cut off, which may leave the last month before the first. The churn month
+    follows the end of a cancelled subscription and is not cut.
     """
     start = month_start(F.col("subscription_start_date"))
     end = month_start(F.coalesce(F.col("subscription_end_date"), ctx.today()))
-    return (
-        subscriptions.where(F.col("subscription_start_date").isNotNull())
-        .withColumns({
-            "first_month": F.greatest(start, ctx.first_month()),
-            "last_month": F.least(end, ctx.current_month()),
-        })
-        .where(F.col("first_month") <= F.col("last_month"))
-    )
+    ended = F.coalesce("subscription_end_date", "cancelled_date")
+    return subscriptions.where(F.col("subscription_start_date").isNotNull()).withColumns({
+        "first_month": F.greatest(start, ctx.first_month()),
+        "last_month": F.least(end, ctx.current_month()),
+        "churn_month": F.when(F.col("is_churned"), month_start(F.add_months(ended, 1))),
+    })
+
+
+def paid_spans(subscriptions: DataFrame, ctx: RunContext) -> DataFrame:
+    """The subscriptions that count in at least one month."""
+    counted = counted_subscriptions(subscriptions, ctx).drop("churn_month")
+    return counted.where(F.col("first_month") <= F.col("last_month"))
+
+
+def by_user(subscriptions: DataFrame) -> DataFrame:
+    """Rows partitioned by user before an explode.
+
+    The partition count is pinned to the session's: left open, it would be
+    lowered to suit the small rows that are shuffled, not the many that follow.
+    """
+    partitions = int(subscriptions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return subscriptions.repartition(partitions, "user_id")
 
 
 def active_months(spans: DataFrame) -> DataFrame:
@@ -124,25 +141,34 @@ def _previous_in_order(months: DataFrame, keys: list[str], order: list[str]) ->
     })
 
 
-def previous_by_user(spans: DataFrame) -> DataFrame:
-    """Month rows with the previous row of the same user; one shuffle, before the explode.
-
-    The partition count is pinned to the session's: left open, it would be
-    lowered to suit the small rows that are shuffled, not the many that follow.
-    """
-    partitions = int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    months = active_months(spans.repartition(partitions, "user_id"))
-    return _previous_in_order(months, ["user_id"], ["month_start", "subscription_start_date", "subscription_id"])
+def months_by_user(counted: DataFrame) -> DataFrame:
+    """Live and churn months with the user's previous live month; one shuffle, one scan."""
+    live_months = F.when(
+        F.col("first_month") <= F.col("last_month"), each_month(F.col("first_month"), F.col("last_month"))
+    ).otherwise(F.array().cast("array<date>"))
+    rows = by_user(counted).withColumn("live_months", live_months).select(
+        "*",
+        F.posexplode(F.concat("live_months", F.array_compact(F.array("churn_month")))).alias("position", "month_start"),
+    )
+    rows = rows.withColumn("is_churn_month", F.col("position") >= F.size("live_months"))
+    # The live months of a user are a group of their own, so no row is compared with a churn month.
+    rows = _previous_in_order(
+        rows.drop("live_months", "position"),
+        ["user_id", "is_churn_month"],
+        ["month_start", "subscription_start_date", "subscription_id"],
+    )
+    return rows.withColumn("mrr_month", yyyymm(F.col("month_start")))
 
 
-def previous_by_block(spans: DataFrame) -> DataFrame:
-    """The same for users too large for one task.
+def months_by_block(counted: DataFrame) -> DataFrame:
+    """The same for users too large for one task; ``shared_chars`` is their common id prefix.
 
     Within a block the previous row comes from a window. The first row of a
     block takes the last row of the block before it, out of a table that holds
     one row per block (and per month, to step over the month edge).
     """
     block_keys = ["user_id", "month_start", "subscription_start_date", "id_block"]
+    spans = counted.where(F.col("first_month") <= F.col("last_month"))
     months = active_months(spans).withColumn(
         "id_block", F.substring(F.col("subscription_id"), F.col("shared_chars") + 1, F.lit(BLOCK_CHARS))
     )
@@ -167,29 +193,40 @@ def previous_by_block(spans: DataFrame) -> DataFrame:
     for key in block_keys[1:]:
         same_block = same_block & (F.col(f"r.{key}") == F.col(f"e.{key}"))
     own = [c for c in inside.columns if c not in _PREVIOUS]
-    return r.join(e, same_block).select(
+    live = r.join(e, same_block).select(
         *[F.col(f"r.{c}") for c in own],
         F.coalesce("r.prev_mrr", "e.edge.mrr").alias("prev_mrr"),
         F.coalesce("r.prev_subscription_id", "e.edge.subscription_id").alias("prev_subscription_id"),
         F.coalesce("r.prev_month_start", "e.edge.month_start").alias("prev_month_start"),
-    ).drop("id_block", "shared_chars")
+        F.lit(False).alias("is_churn_month"),
+    )
+    churned = counted.where(F.col("churn_month").isNotNull()).withColumns({
+        "month_start": F.col("churn_month"),
+        "mrr_month": yyyymm(F.col("churn_month")),
+        "is_churn_month": F.lit(True),
+    })
+    return live.unionByName(churned, allowMissingColumns=True).drop("id_block", "shared_chars")
 
 
-def months_with_previous(spans: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """Month rows with the user's previous row; ``hot`` users (``find_hot_users``) take the split lane."""
+def months_with_previous(counted: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Live and churn months with the user's previous live month.
+
+    ``hot`` users (``find_hot_users``) take the split lane.
+    """
     if hot is None:
-        return previous_by_user(spans)
+        return months_by_user(counted)
     is_hot = F.col("user_id").eqNullSafe(F.col("hot_user_id"))
     # At most 1 / share users are hot, whatever the size of the data.
-    regular = previous_by_user(spans.join(F.broadcast(hot), is_hot, "left_anti"))
-    split = previous_by_block(spans.join(F.broadcast(hot), is_hot).drop("hot_user_id"))
+    regular = months_by_user(counted.join(F.broadcast(hot), is_hot, "left_anti"))
+    split = months_by_block(counted.join(F.broadcast(hot), is_hot).drop("hot_user_id"))
     return regular.unionByName(split)
 
 
 def movement_type() -> Column:
     """The class of a month row against the user's previous row; first match wins."""
     return (
-        F.when(F.col("prev_month_start").isNull(), "new")
+        F.when(F.col("is_churn_month"), "churned")
+        .when(F.col("prev_month_start").isNull(), "new")
         .when(F.col("month_start") > F.add_months("prev_month_start", 1), "reactivation")
         .when(F.col("mrr") > F.col("prev_mrr"), "expansion")
         .when(F.col("mrr") < F.col("prev_mrr"), "contraction")
@@ -197,33 +234,24 @@ def movement_type() -> Column:
     )
 
 
-def classified_months(months: DataFrame, *, reactivation_delta: str = "change") -> DataFrame:
-    """Movement and delta per month row.
+def movements(months: DataFrame, *, reactivation_delta: str = "change") -> DataFrame:
+    """Movement, previous MRR and delta per month row; a churn month loses the whole MRR.
 
     ``reactivation_delta``: ``change`` books the difference to the last known
     MRR, ``full`` books the whole MRR of a returning user.
     """
     if reactivation_delta not in ("change", "full"):
         raise ValueError("reactivation_delta must be 'change' or 'full'")
-    movement = movement_type()
-    delta = F.col("mrr") - F.coalesce("prev_mrr", F.lit(0))
+    movement, mrr = movement_type(), F.col("mrr")
+    change = mrr - F.coalesce("prev_mrr", F.lit(0))
     if reactivation_delta == "full":
-        delta = F.when(movement == "reactivation", F.col("mrr")).otherwise(delta)
-    return months.withColumns({"mrr_movement_type": movement, "mrr_delta": delta.cast("decimal(10,2)")})
-
-
-def churn_months(subscriptions: DataFrame) -> DataFrame:
-    """One row per churned paid subscription in the month after its end; the lost MRR is the delta."""
-    ended = F.coalesce("subscription_end_date", "cancelled_date")
-    return (
-        subscriptions.where(F.col("subscription_start_date").isNotNull() & F.col("is_churned") & ended.isNotNull())
-        .withColumns({
-            "mrr_month": yyyymm(F.add_months(ended, 1)),
-            "mrr_movement_type": F.lit("churned"),
-            "prev_mrr": F.col("mrr"),
-            "mrr_delta": (-F.col("mrr")).cast("decimal(10,2)"),
-        })
-    )
+        change = F.when(movement == "reactivation", mrr).otherwise(change)
+    churn = F.col("is_churn_month")
+    return months.withColumns({
+        "mrr_movement_type": movement,
+        "prev_mrr": F.when(churn, mrr).otherwise(F.col("prev_mrr")),
+        "mrr_delta": F.when(churn, -mrr).otherwise(change).cast("decimal(10,2)"),
+    })
 
 
 def fct_mrr(
@@ -237,22 +265,16 @@ def fct_mrr(
     """The MRR fact over ``fct_subscriptions`` rows.
 
     ``hot`` are the users that no single task could hold, as ``find_hot_users``
-    gives them.
-
-    ``incremental=True`` returns the rows of the lookback months only. The
-    comparison still runs over the full history, because a cut before it would
-    turn every first row of the window into ``new``.
+    gives them. ``incremental=True`` returns the rows of the lookback months only.
+    The comparison still runs over the full history, because a cut before it
+    would turn every first row of the window into ``new``.
     """
     columns = [c for c in MRR_COLUMNS if c != "sk_user_id" or "sk_user_id" in subscriptions.columns]
-    months = months_with_previous(paid_spans(subscriptions, ctx), hot)
-    live = classified_months(months, reactivation_delta=reactivation_delta)
-    churned = churn_months(subscriptions)
-    key = surrogate_key("subscription_id", "mrr_month").alias("sk_mrr_id")
-    live, churned = (part.withColumn("sk_mrr_id", key).select(columns) for part in (live, churned))
-    rows = live.unionByName(churned)
+    months = months_with_previous(counted_subscriptions(subscriptions, ctx), hot)
+    rows = movements(months, reactivation_delta=reactivation_delta)
     if incremental:
         rows = rows.where(F.col("mrr_month") >= ctx.oldest_reloaded_month())
-    return rows
+    return rows.withColumn("sk_mrr_id", surrogate_key("subscription_id", "mrr_month")).select(columns)
 
 
 def live_rows(mrr: DataFrame) -> DataFrame:
@@ -263,11 +285,8 @@ def live_rows(mrr: DataFrame) -> DataFrame:
 def latest_month(subscriptions: DataFrame, ctx: RunContext) -> DataFrame:
     """The latest ``mrr_month`` of the fact, read off the subscriptions in one aggregate.
 
-    Churn rows count too, and may lie after ``as_of``.
+    Churn months count too, and may lie after ``as_of``.
     """
-    ended = F.coalesce("subscription_end_date", "cancelled_date")
-    start = month_start(F.col("subscription_start_date"))
-    last = F.least(month_start(F.coalesce(F.col("subscription_end_date"), ctx.today())), ctx.current_month())
-    counted = F.greatest(start, ctx.first_month()) <= last
-    live, churn = F.when(counted, last), F.when(F.col("is_churned"), month_start(F.add_months(ended, 1)))
-    return subscriptions.where(start.isNotNull()).agg(yyyymm(F.max(F.greatest(live, churn))).alias("mrr_month"))
+    live = F.when(F.col("first_month") <= F.col("last_month"), F.col("last_month"))
+    latest = F.max(F.greatest(live, F.col("churn_month")))
+    return counted_subscriptions(subscriptions, ctx).agg(yyyymm(latest).alias("mrr_month"))

@@ -103,9 +103,15 @@ class Marts:
     def keyless_mrr(self) -> DataFrame:
         return mrr.fct_mrr(self.keyless_subscriptions, self.ctx, hot=self.hot_users)
 
-    def live_months(self, subscriptions: DataFrame) -> DataFrame:
-        """The live rows of the MRR fact without movement class: no shuffle at all."""
-        return mrr.active_months(mrr.paid_spans(subscriptions, self.ctx))
+    @cached_property
+    def live_months(self) -> DataFrame:
+        """The live rows of the MRR fact without movement class.
+
+        Partitioned by user before the explode, so that counting distinct users
+        needs no shuffle of month rows; not so if a user is too large for a task.
+        """
+        spans = mrr.paid_spans(self.keyless_subscriptions, self.ctx)
+        return mrr.active_months(spans if self.hot_users is not None else mrr.by_user(spans))
 
     @cached_property
     def live_month_totals(self) -> DataFrame:

@@ -100,7 +100,8 @@ def _contract_report(m: Marts) -> DataFrame:
 def _segment_query(m: Marts) -> DataFrame:
     latest = mrr.latest_month(m.keyless_subscriptions, m.ctx)
     # The user key is joined after the month filter, to the latest month's rows only.
-    month = m.live_months(m.keyless_subscriptions).where(F.col("mrr_month") == latest.scalar())
+    months = mrr.active_months(mrr.paid_spans(m.keyless_subscriptions, m.ctx))
+    month = months.where(F.col("mrr_month") == latest.scalar())
     return revenue.revenue_by_segment(facts.with_user_key(month, m.users), m.users, m.plans, latest)
 
 
@@ -182,14 +183,14 @@ BATCH_QUERIES: dict[str, Callable[[Marts], DataFrame]] = {
     "mrr_waterfall": lambda m: revenue.mrr_waterfall(m.keyless_mrr),
     "revenue_churn_nrr": lambda m: revenue.revenue_churn_nrr(m.keyless_mrr),
     "nrr_standard": lambda m: revenue.nrr_standard(m.keyless_mrr),
-    "arpu_by_plan": lambda m: revenue.arpu_by_plan(m.live_months(m.keyless_subscriptions), m.plans),
+    "arpu_by_plan": lambda m: revenue.arpu_by_plan(m.live_months, m.plans),
     "ltv_by_plan": lambda m: revenue.ltv_by_plan(m.keyless_subscriptions, m.plans),
     "seasonality": lambda m: revenue.seasonality(m.live_month_totals),
     "seasonality_avg": lambda m: revenue.seasonality_avg(m.live_month_totals),
     "waterfall_wide": lambda m: revenue.waterfall_wide(m.keyless_mrr),
     "churn_rate_beginning": lambda m: revenue.churn_rate_beginning(m.keyless_mrr),
-    "ltv_per_user": lambda m: revenue.ltv_per_user(m.live_months(m.keyless_subscriptions)),
-    "ltv_by_cohort": lambda m: revenue.ltv_by_cohort(m.live_months(m.keyless_subscriptions)),
+    "ltv_per_user": lambda m: revenue.ltv_per_user(m.live_months),
+    "ltv_by_cohort": lambda m: revenue.ltv_by_cohort(m.live_months),
     "mrr_yoy": lambda m: revenue.mrr_yoy(m.live_month_totals),
     # Product reports
     "funnel_conversion": lambda m: product.funnel_conversion(m.funnel),
