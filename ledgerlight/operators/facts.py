@@ -1,9 +1,10 @@
 """Event, payment and subscription facts: staged rows plus dimension keys.
 
 All joins are left joins, so a row without its user or plan stays, with a NULL
-key. The plan catalogue has a handful of rows and is broadcast. Users grow with
-the business and are joined without a hint: adaptive execution broadcasts them
-while they are small and otherwise splits skewed partitions of the fact side.
+key. No join carries a hint: Spark checks the size of the dimension, broadcasts
+it while it is small (the plan catalogue has a handful of rows) and otherwise
+sorts and merges, where adaptive execution splits the partition of a user or a
+NULL key that holds a large share of the fact.
 
 ``users=None`` leaves the user key out. The dimension holds one row per user, so
 the join never changes the rows, and reports that do not read the key skip a
@@ -12,7 +13,7 @@ full shuffle of the fact.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 EVENT_COLUMNS = [
     "sk_event_id",
@@ -97,7 +98,7 @@ def with_user_key(rows: DataFrame, users: DataFrame | None) -> DataFrame:
 
 
 def with_plan_key(rows: DataFrame, plans: DataFrame) -> DataFrame:
-    return rows.join(F.broadcast(plans.select("plan_id", "sk_plan_id")), "plan_id", "left")
+    return rows.join(plans.select("plan_id", "sk_plan_id"), "plan_id", "left")
 
 
 def _shaped(rows: DataFrame, columns: list[str], users: DataFrame | None) -> DataFrame:

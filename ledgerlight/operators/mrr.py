@@ -27,8 +27,6 @@ from ledgerlight.functions.keys import surrogate_key
 HOT_USER_ROWS = 2_000_000
 HOT_USER_SHARE = 1e-5
 
-# Characters after the common id prefix that cut one start date into blocks.
-BLOCK_CHARS = 2
 
 MRR_COLUMNS = [
     "sk_mrr_id",
@@ -55,16 +53,21 @@ def counted_subscriptions(subscriptions: DataFrame, ctx: RunContext) -> DataFram
 
     An open subscription runs to ``as_of``; months outside the reporting window
     are cut off, which may leave the last month before the first. The churn month
-    follows the end of a cancelled subscription and is not cut.
+    follows the end of a cancelled subscription and is not cut. A subscription
+    with neither drops out.
     """
     start = month_start(F.col("subscription_start_date"))
     end = month_start(F.coalesce(F.col("subscription_end_date"), ctx.today()))
     ended = F.coalesce("subscription_end_date", "cancelled_date")
-    return subscriptions.where(F.col("subscription_start_date").isNotNull()).withColumns({
-        "first_month": F.greatest(start, ctx.first_month()),
-        "last_month": F.least(end, ctx.current_month()),
-        "churn_month": F.when(F.col("is_churned"), month_start(F.add_months(ended, 1))),
-    })
+    return (
+        subscriptions.where(F.col("subscription_start_date").isNotNull())
+        .withColumns({
+            "first_month": F.greatest(start, ctx.first_month()),
+            "last_month": F.least(end, ctx.current_month()),
+            "churn_month": F.when(F.col("is_churned"), month_start(F.add_months(ended, 1))),
+        })
+        .where((F.col("first_month") <= F.col("last_month")) | F.col("churn_month").isNotNull())
+    )
 
 
 def paid_spans(subscriptions: DataFrame, ctx: RunContext) -> DataFrame:
@@ -114,10 +117,11 @@ def find_hot_users(
     Runs one aggregate, combined map-side, over user, id and dates; only the
     largest and the total load come to the driver.
     """
-    spans = paid_spans(subscriptions, ctx)
-    months = month_number(F.col("last_month")) - month_number(F.col("first_month")) + 1
-    loads = spans.groupBy("user_id").agg(
-        F.sum(months).alias("month_rows"),
+    counted = counted_subscriptions(subscriptions, ctx)
+    live = F.greatest(month_number(F.col("last_month")) - month_number(F.col("first_month")) + 1, F.lit(0))
+    churned = F.col("churn_month").isNotNull().cast("int")
+    loads = counted.groupBy("user_id").agg(
+        F.sum(live + churned).alias("month_rows"),
         F.min("subscription_id").alias("low_id"),
         F.max("subscription_id").alias("high_id"),
     )
@@ -127,9 +131,38 @@ def find_hot_users(
         return None
     # All ids of a user lie between the lowest and the highest, so they share the prefix of those two.
     shared = F.expr("size(filter(sequence(1, greatest(length(low_id), 1)), i -> left(low_id, i) = left(high_id, i)))")
-    return loads.where(F.col("month_rows") > limit).select(
+    hot = loads.where(F.col("month_rows") > limit).select(
         F.col("user_id").alias("hot_user_id"), shared.alias("shared_chars")
     )
+    return hot.withColumn("block_chars", F.lit(_block_chars(with_hot_users(counted, hot), limit)))
+
+
+def with_hot_users(rows: DataFrame, hot: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows of hot users with their block columns, or (``left_anti``) the rows of all others.
+
+    At most 1 / share users are hot, whatever the size of the data, so the list is broadcast.
+    """
+    joined = rows.join(F.broadcast(hot), F.col("user_id").eqNullSafe(F.col("hot_user_id")), how)
+    return joined if how == "left_anti" else joined.drop("hot_user_id")
+
+
+def _id_block(chars: Column) -> Column:
+    return F.substring(F.col("subscription_id"), F.col("shared_chars") + 1, chars)
+
+
+def _block_chars(hot_rows: DataFrame, limit: float) -> int:
+    """How many characters after the common prefix cut one start date into blocks below the limit.
+
+    A block of one month holds at most the subscriptions of its start date and
+    prefix. One character more divides the blocks finely enough not to make too
+    many of them; the full id is the end, where every block is one subscription.
+    """
+    longest = hot_rows.agg(F.max(F.length("subscription_id") - F.col("shared_chars"))).first()[0]
+    for chars in range(longest):
+        blocks = hot_rows.groupBy("user_id", "subscription_start_date", _id_block(F.lit(chars))).count()
+        if blocks.agg(F.max("count")).first()[0] <= limit:
+            return chars
+    return longest
 
 
 def _previous_in_order(months: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -161,7 +194,7 @@ def months_by_user(counted: DataFrame) -> DataFrame:
 
 
 def months_by_block(counted: DataFrame) -> DataFrame:
-    """The same for users too large for one task; ``shared_chars`` is their common id prefix.
+    """The same for users too large for one task.
 
     Within a block the previous row comes from a window. The first row of a
     block takes the last row of the block before it, out of a table that holds
@@ -169,9 +202,7 @@ def months_by_block(counted: DataFrame) -> DataFrame:
     """
     block_keys = ["user_id", "month_start", "subscription_start_date", "id_block"]
     spans = counted.where(F.col("first_month") <= F.col("last_month"))
-    months = active_months(spans).withColumn(
-        "id_block", F.substring(F.col("subscription_id"), F.col("shared_chars") + 1, F.lit(BLOCK_CHARS))
-    )
+    months = active_months(spans).withColumn("id_block", _id_block(F.col("block_chars")))
     inside = _previous_in_order(months, block_keys, ["subscription_id"])
 
     last_row = F.max(F.struct("subscription_start_date", "subscription_id", "mrr", "month_start"))
@@ -205,7 +236,7 @@ def months_by_block(counted: DataFrame) -> DataFrame:
         "mrr_month": yyyymm(F.col("churn_month")),
         "is_churn_month": F.lit(True),
     })
-    return live.unionByName(churned, allowMissingColumns=True).drop("id_block", "shared_chars")
+    return live.unionByName(churned, allowMissingColumns=True).drop("id_block", "shared_chars", "block_chars")
 
 
 def months_with_previous(counted: DataFrame, hot: DataFrame | None = None) -> DataFrame:
@@ -215,11 +246,8 @@ def months_with_previous(counted: DataFrame, hot: DataFrame | None = None) -> Da
     """
     if hot is None:
         return months_by_user(counted)
-    is_hot = F.col("user_id").eqNullSafe(F.col("hot_user_id"))
-    # At most 1 / share users are hot, whatever the size of the data.
-    regular = months_by_user(counted.join(F.broadcast(hot), is_hot, "left_anti"))
-    split = months_by_block(counted.join(F.broadcast(hot), is_hot).drop("hot_user_id"))
-    return regular.unionByName(split)
+    regular = months_by_user(with_hot_users(counted, hot, "left_anti"))
+    return regular.unionByName(months_by_block(with_hot_users(counted, hot)))
 
 
 def movement_type() -> Column:

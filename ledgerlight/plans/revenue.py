@@ -100,7 +100,7 @@ def revenue_by_segment(mrr: DataFrame, users: DataFrame, plans: DataFrame, lates
     per_user = snapshot.groupBy("sk_user_id", "sk_plan_id", "user_id").agg(F.sum("mrr").alias("mrr"))
     return (
         per_user.join(users.select("sk_user_id", "acquisition_channel", "company_size"), "sk_user_id")
-        .join(F.broadcast(plans.select("sk_plan_id", "plan_name")), "sk_plan_id")
+        .join(plans.select("sk_plan_id", "plan_name"), "sk_plan_id")
         .groupBy("acquisition_channel", "company_size", "plan_name")
         .agg(F.sum("mrr").alias("total_mrr"), F.count_distinct("user_id").alias("active_subscribers"))
         .orderBy(F.desc("total_mrr"), "acquisition_channel", "company_size", "plan_name")
@@ -111,7 +111,7 @@ def arpu_by_plan(live: DataFrame, plans: DataFrame) -> DataFrame:
     """MRR per distinct user, by plan and month."""
     arpu = F.try_divide(F.sum("mrr"), F.count_distinct("user_id"))
     return (
-        live.join(F.broadcast(plans.select("sk_plan_id", "plan_name")), "sk_plan_id")
+        live.join(plans.select("sk_plan_id", "plan_name"), "sk_plan_id")
         .groupBy("plan_name", "mrr_month")
         .agg(F.round(arpu, 2).alias("arpu"))
         .orderBy("mrr_month", "plan_name")
@@ -126,7 +126,7 @@ def ltv_by_plan(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
     """
     churn_rate = F.count_if("is_churned").cast("decimal(18,4)") / F.count("*")
     stats = (
-        subscriptions.join(F.broadcast(plans.select("sk_plan_id", "plan_name")), "sk_plan_id")
+        subscriptions.join(plans.select("sk_plan_id", "plan_name"), "sk_plan_id")
         .groupBy("plan_name")
         .agg(F.avg("mrr").alias("mean_mrr"), churn_rate.alias("churn_rate"))
     )

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
-from ledgerlight.operators import mrr
+from ledgerlight.operators import facts, mrr
 from ledgerlight.plans.registry import BATCH_QUERIES, comparable, sample_marts
 
 
@@ -71,6 +71,33 @@ def test_split_lane_is_cut_by_month_and_start(spark, sf_dir):
     assert rows.count() == marts.keyless_mrr.count()
 
 
+def test_a_user_with_a_third_of_all_payments_is_split(spark):
+    payments = spark.range(300_000).selectExpr(
+        "cast(id as string) payment_id", "if(id % 3 = 0, 'hot', cast(id as string)) user_id",
+        "'plan_starter' plan_id", "repeat('x', 100) currency",
+    )
+    users = spark.range(300_000).selectExpr("if(id = 0, 'hot', cast(id as string)) user_id", "uuid() sk_user_id")
+    options = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "400k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name, None) for name in options}
+    try:
+        for name, value in options.items():
+            spark.conf.set(name, value)
+        joined = facts.with_user_key(payments, users)
+        rows = joined.collect()
+        final = plan_of(joined)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert len(rows) == 300_000
+    assert "skew=true" in final or "(skew" in final.lower()
+
+
 def test_entry(spark):
     rows = entry(spark)
     assert rows.columns == ["mrr_month", "mrr_movement_type", "mrr_impact", "subscriber_count"]
