@@ -23,6 +23,10 @@ def month_number(day: Column) -> Column:
     return F.year(day) * 12 + F.month(day)
 
 
+def month_number_of_text(yyyymm_text: Column) -> Column:
+    return F.substring(yyyymm_text, 1, 4).cast("int") * 12 + F.substring(yyyymm_text, 5, 2).cast("int")
+
+
 def days_from(start: Column, end: Column) -> Column:
     """Days from ``start`` to ``end`` as bigint."""
     return F.date_diff(end, start).cast("bigint")

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlight.context import RunContext
-from ledgerlight.functions.dates import each_month, month_number, month_start, yyyymm
+from ledgerlight.functions.dates import each_month, month_from_text, month_number, month_start, yyyymm
 from ledgerlight.functions.keys import surrogate_key
 
 # A user takes the split lane above this many month rows and above this share of
@@ -99,6 +99,13 @@ def active_months(spans: DataFrame) -> DataFrame:
     )
 
 
+def active_in_month(spans: DataFrame, yyyymm_text: Column) -> DataFrame:
+    """The month rows of one month only: a filter on the span, no explode."""
+    month = month_from_text(yyyymm_text)
+    covered = spans.where((F.col("first_month") <= month) & (F.col("last_month") >= month))
+    return covered.withColumn("mrr_month", yyyymm_text).drop("first_month", "last_month")
+
+
 def active_mrr_by_month(subscriptions: DataFrame, ctx: RunContext) -> DataFrame:
     """Live MRR per month from sums per (first, last) month pair.
 

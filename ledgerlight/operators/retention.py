@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlight.context import RunContext
-from ledgerlight.functions.dates import month_from_text, month_number
+from ledgerlight.functions.dates import month_number, month_number_of_text
 
 HORIZON = 12
 RATE = "decimal(10,4)"
@@ -24,10 +24,10 @@ LARGEST_BUCKET = "large (200+)"
 
 def _cohort_users(subscriptions: DataFrame, events: DataFrame, ctx: RunContext) -> DataFrame:
     """One row per cohort, age and user: months survived and whether the user ever activated."""
-    born = month_from_text(F.col("cohort_month"))
-    age = (month_number(ctx.today()) - month_number(born)).cast("bigint")
+    born = month_number_of_text(F.col("cohort_month"))
+    age = (month_number(ctx.today()) - born).cast("bigint")
     # The last k for which the end date still reaches cohort start + k months.
-    survived = month_number(F.col("effective_end_date")) - month_number(born)
+    survived = month_number(F.col("effective_end_date")) - born
     users = (
         subscriptions.where(F.col("cohort_month").isNotNull())
         .withColumns({"age": age, "survived": survived})

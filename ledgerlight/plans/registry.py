@@ -99,9 +99,8 @@ def _contract_report(m: Marts) -> DataFrame:
 
 def _segment_query(m: Marts) -> DataFrame:
     latest = mrr.latest_month(m.keyless_subscriptions, m.ctx)
-    # The user key is joined after the month filter, to the latest month's rows only.
-    months = mrr.active_months(mrr.paid_spans(m.keyless_subscriptions, m.ctx))
-    month = months.where(F.col("mrr_month") == latest.scalar())
+    # The user key is joined to the latest month's rows only.
+    month = mrr.active_in_month(mrr.paid_spans(m.keyless_subscriptions, m.ctx), latest.scalar())
     return revenue.revenue_by_segment(facts.with_user_key(month, m.users), m.users, m.plans, latest)
 
 

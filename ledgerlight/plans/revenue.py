@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerlight.functions.dates import month_from_text, month_number
+from ledgerlight.functions.dates import month_number_of_text
 from ledgerlight.functions.ratios import percent
 
 MOVEMENTS = ["new", "expansion", "contraction", "reactivation", "retained", "churned"]
@@ -68,7 +68,7 @@ def _months_ago(column: str, months: int) -> Column:
 
     The input holds one row per calendar month, so one ordered series stays small.
     """
-    series = Window.partitionBy().orderBy(month_number(month_from_text(F.col("mrr_month"))))
+    series = Window.partitionBy().orderBy(month_number_of_text(F.col("mrr_month")))
     return F.max(column).over(series.rangeBetween(-months, -months))
 
 
