@@ -185,6 +185,128 @@ first_subscription_start_date date
 last_cancel_reason string
 """
 
+# Column comments; a name means the same in every mart.
+COMMENTS = {
+    "_stg_loaded_at": "when staging took the row",
+    "acquisition_channel": "marketing channel, blanks as underscores, 'unknown' if not given",
+    "activated_date": "first activation, NULL if none",
+    "activated_retained_users": "activated users still subscribed",
+    "activated_retention_rate": "kept share of activated users, NULL without any",
+    "activated_total_users": "users of the cohort who ever activated",
+    "activation_action": "action in the event properties",
+    "activation_retention_lift": "retention of activated minus other users",
+    "amount": "amount charged, for annual billing the whole year",
+    "annual_discount_pct": "what annual billing saves against twelve months, in percent",
+    "annual_monthly_equivalent": "annual price per month",
+    "annual_price": "list price of a year",
+    "billing_cycle": "monthly or annual",
+    "cancel_reason": "stated reason, 'not cancelled' if none",
+    "cancelled_date": "day of cancellation",
+    "churn_reason": "reason in the event properties",
+    "cohort_month": "month the trial began, yyyyMM",
+    "cohort_size": "users of the cohort at its start",
+    "cohort_size_bucket": "size class, to compare like with like",
+    "company_name": "company name in upper case",
+    "company_size": "size class of the company",
+    "company_size_order": "sort order of the size class, 0 for unknown",
+    "converted_date": "first conversion to paid, NULL if none",
+    "country": "two-letter country code",
+    "currency": "currency code as charged, never converted",
+    "current_mrr": "MRR of the subscription that started last",
+    "days_in_period": "days the payment covers",
+    "days_to_activation": "days from signup to the first activation",
+    "days_to_conversion": "days from signup to the first conversion",
+    "days_to_email_verified": "days from signup to the first verified email",
+    "distinct_funnel_stages_reached": "number of different funnel stages",
+    "effective_end_date": "end date, 2099-12-31 while open",
+    "email_verified_date": "first verified email, NULL if none",
+    "event_date": "day of the event",
+    "event_id": "event id of the source, trimmed",
+    "event_month": "month of the event, yyyyMM",
+    "event_name": "event in lower case with blanks",
+    "event_source": "source in the event properties",
+    "feature_used": "feature in the event properties",
+    "features": "features of the plan, separated by commas",
+    "first_subscription_start_date": "first paid start",
+    "funnel_stage_order": "stage number, 999999 if unknown",
+    "has_activated": "reached activation",
+    "has_churned": "any subscription was cancelled",
+    "has_converted": "reached conversion",
+    "has_paid_subscription": "any subscription is active",
+    "has_started_trial": "reached the trial",
+    "has_verified_email": "reached the verified email",
+    "highest_funnel_stage_name": "event of the deepest stage",
+    "highest_funnel_stage_order": "number of the deepest stage",
+    "industry": "industry in lower case, 'unknown' if not given",
+    "is_activation_event": "the event activates the user",
+    "is_active": "status is active",
+    "is_churn": "the event begins a cancellation",
+    "is_churned": "status is cancelled",
+    "is_conversion_event": "the event converts the user to paid",
+    "is_deleted": "1 deleted, 0 not, 999999 unknown",
+    "is_failed": "payment failed",
+    "is_funnel_event": "the event is a step of the funnel",
+    "is_payment_failure_event": "the event reports a failed payment",
+    "is_refunded": "payment was refunded",
+    "is_revenue_recognised": "payment succeeded; filter for revenue",
+    "is_spike_churn": "cancelled inside the spike window",
+    "is_trial_expired": "status is trial expired",
+    "is_upsell_event": "the event upgrades the plan",
+    "last_cancel_reason": "reason of the subscription that started last, if it is cancelled",
+    "max_seats": "seats included",
+    "max_subscription_duration_days": "days of the longest paid subscription",
+    "monthly_price": "list price of a month",
+    "months_since_cohort": "months from the cohort month",
+    "mrr": "monthly recurring revenue",
+    "mrr_contribution": "amount per month",
+    "mrr_delta": "change of MRR this row books",
+    "mrr_month": "month the row counts in, yyyyMM",
+    "mrr_movement_type": "class of the change",
+    "non_activated_retained_users": "other users still subscribed",
+    "non_activated_retention_rate": "kept share of other users, NULL without any",
+    "non_activated_total_users": "users of the cohort who never activated",
+    "onboarding_step1_date": "first onboarding step 1, NULL if none",
+    "onboarding_step2_date": "first onboarding step 2, NULL if none",
+    "payment_date": "day of the payment",
+    "payment_id": "payment id of the source, trimmed",
+    "payment_month": "month of the payment, yyyyMM",
+    "period_end": "last day the payment covers",
+    "period_label": "label of the offset",
+    "period_start": "first day the payment covers",
+    "plan_id": "plan id of the source, trimmed",
+    "plan_name": "plan name in lower case",
+    "prev_mrr": "MRR of the user's row before, NULL for the first",
+    "raw_properties": "all event properties as text in lower case",
+    "retained_users": "users whose subscription reaches the month",
+    "retention_benchmark": "expected retention at this offset",
+    "retention_rate": "kept share of the cohort, 0 to 1",
+    "retention_vs_benchmark": "retention minus benchmark",
+    "session_id": "session id of the source, trimmed",
+    "signed_up_at": "day of signup in the profile",
+    "signed_up_date": "first signup event, else the day in the profile",
+    "signup_month": "month of signup, yyyyMM",
+    "sk_event_id": "surrogate key of the event",
+    "sk_mrr_id": "surrogate key of subscription and month",
+    "sk_payment_id": "surrogate key of the payment",
+    "sk_plan_id": "surrogate key of the plan",
+    "sk_subscription_id": "surrogate key of the subscription",
+    "sk_user_id": "surrogate key of the user",
+    "status": "status in lower case",
+    "subscription_duration_days": "paid days so far, NULL before the start",
+    "subscription_end_date": "end of the paid phase, NULL while open",
+    "subscription_id": "subscription id of the source, trimmed",
+    "subscription_start_date": "start of the paid phase",
+    "tier": "rank of the plan, 1 lowest",
+    "total_users": "users observed",
+    "trial_duration_days": "days of the trial",
+    "trial_end_date": "end of the trial",
+    "trial_start_date": "start of the trial",
+    "trial_started_date": "first started trial, NULL if none",
+    "upgraded_from_plan": "old plan in the event properties",
+    "upgraded_to_plan": "new plan in the event properties",
+    "user_id": "user id of the source, trimmed",
+}
+
 OWNER = "analytics engineering"
 REFRESH = "daily"
 
@@ -241,7 +363,8 @@ class ContractBroken(Exception):
 def enforce(rows: DataFrame, contract: Contract) -> DataFrame:
     """``rows`` in the contract's column order and types; missing or extra columns are an error.
 
-    Table facts (grain, owner, refresh) travel as metadata of the first column.
+    Every column carries its comment, the first one also the table facts (grain,
+    owner, refresh); both are stored with the table.
     """
     expected, found = set(contract.schema.names), set(rows.columns)
     if expected != found:
@@ -251,8 +374,8 @@ def enforce(rows: DataFrame, contract: Contract) -> DataFrame:
     facts = {"grain": contract.grain, "owner": contract.owner, "refresh": contract.refresh}
     columns = []
     for position, f in enumerate(contract.schema.fields):
-        value = F.col(f.name).cast(f.dataType)
-        columns.append(value.alias(f.name, metadata=facts) if position == 0 else value.alias(f.name))
+        notes = {"comment": COMMENTS[f.name], **(facts if position == 0 else {})}
+        columns.append(F.col(f.name).cast(f.dataType).alias(f.name, metadata=notes))
     return rows.select(columns)
 
 

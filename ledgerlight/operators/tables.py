@@ -212,7 +212,7 @@ def changing_subscriptions(staged: DataFrame, ctx: RunContext, *, include_recent
     return staged.where(chosen)
 
 
-# --- comments and unpartitioned sinks ----------------------------------------
+# --- sinks without months -----------------------------------------------------
 
 
 def replace_table(rows: DataFrame, path: str) -> None:
@@ -224,10 +224,3 @@ def as_view(rows: DataFrame, name: str) -> DataFrame:
     """Expose a staging or intermediate result to SQL under a name."""
     rows.createOrReplaceTempView(name)
     return rows
-
-
-def with_comments(rows: DataFrame, comments: dict[str, str]) -> DataFrame:
-    """Attach column comments; they are stored with the table."""
-    return rows.select(*[
-        F.col(c).alias(c, metadata={"comment": comments[c]}) if c in comments else F.col(c) for c in rows.columns
-    ])

@@ -105,6 +105,7 @@ def _segment_query(m: Marts) -> DataFrame:
 
 
 def _plans_in_use(m: Marts) -> DataFrame:
+    """The catalogue itself is four fixed rows; here it meets the subscriptions."""
     return m.plans.join(m.keyless_subscriptions.select("plan_id").distinct(), "plan_id", "left_semi")
 
 
@@ -157,13 +158,13 @@ BATCH_QUERIES: dict[str, Callable[[Marts], DataFrame]] = {
     "stg_events": lambda m: m.staged_events,
     "stg_events_single_pass_json": lambda m: staging.stg_events(m.raw.events, single_pass_json=True),
     "stg_payments": lambda m: m.staged_payments,
-    "stg_plans_in_use": _staged_plans_in_use,
+    "stg_plans": _staged_plans_in_use,
     "stg_subscriptions": lambda m: m.staged_subscriptions,
     "stg_users": lambda m: m.staged_users,
     "rejected_payments": _rejected_payments,
     # Dimensions and facts
     "dim_users": lambda m: m.users,
-    "dim_plans_in_use": _plans_in_use,
+    "dim_plans": _plans_in_use,
     "fct_events": lambda m: m.events,
     "fct_payments": lambda m: m.payments,
     "fct_subscriptions": lambda m: m.subscriptions,
@@ -225,13 +226,13 @@ BATCH_QUERIES: dict[str, Callable[[Marts], DataFrame]] = {
     "dq_email": _check_query("email"),
     "dq_unique_combo": _check_query("unique_combo"),
     "dq_failed_emails": _failed_emails,
-    "contract_report": _contract_report,
+    "enforce_contract": _contract_report,
     # Incremental runs
     "upsert_events": _upsert_events,
     "upsert_payments": _upsert_payments,
     "upsert_subscriptions": _upsert_subscriptions,
     "incremental_mrr": _incremental_mrr,
-    "event_freshness": _event_freshness,
+    "freshness": _event_freshness,
 }
 
 

@@ -353,14 +353,14 @@ def _finals(ctx) -> dict[str, str]:
         "stg_events": _flat("stg_events", dates="event_date", drop="event_ts"),
         "stg_events_single_pass_json": _flat("stg_events", dates="event_date", drop="event_ts"),
         "stg_payments": _flat("stg_payments", dates=PAYMENT_DATES, decimals="amount"),
-        "stg_plans_in_use": _flat("stg_plans", decimals="monthly_price annual_price")
+        "stg_plans": _flat("stg_plans", decimals="monthly_price annual_price")
         + " WHERE plan_id IN (SELECT plan_id FROM raw_payments)",
         "stg_subscriptions": _flat("stg_subscriptions", dates=SUBSCRIPTION_DATES, decimals="mrr"),
         "stg_users": _flat("stg_users", dates="signed_up_at"),
         "rejected_payments": "SELECT payment_id, CAST(amount AS DOUBLE) AS amount, 'amount' AS rejected_columns "
         "FROM raw_payments WHERE amount > 99999.99",
         "dim_users": _flat("dim_users", dates="signed_up_at"),
-        "dim_plans_in_use": _flat(
+        "dim_plans": _flat(
             "dim_plans", decimals="monthly_price annual_price annual_monthly_equivalent annual_discount_pct"
         ) + " WHERE plan_id IN (SELECT plan_id FROM raw_subscriptions)",
         "fct_events": events_flat,
@@ -544,7 +544,7 @@ def _finals(ctx) -> dict[str, str]:
             dates=SUBSCRIPTION_DATES,
             decimals="mrr",
         ),
-        "event_freshness": """
+        "freshness": """
             SELECT 'events' AS source, age AS age_seconds,
                    CASE WHEN age <= 86400 THEN 'pass' WHEN age <= 7 * 86400 THEN 'warn' ELSE 'error' END AS status
             FROM (SELECT CAST(epoch(TIMESTAMP '2024-02-01') - floor(epoch(max(event_at))) AS BIGINT) AS age FROM raw_events)""",
@@ -614,5 +614,5 @@ def oracle_queries() -> dict[str, str]:
     for kind in (*ROW_KINDS, "unique", "relationships", "unique_combo"):
         final = " UNION ALL ".join(_check_sql(c) for c in declared_checks({kind}))
         queries[f"dq_{kind}"] = _with(ctes, final, materialized=True)
-    queries["contract_report"] = _with(ctes, _contract_sql(), materialized=True)
+    queries["enforce_contract"] = _with(ctes, _contract_sql(), materialized=True)
     return queries

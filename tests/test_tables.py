@@ -6,8 +6,10 @@ from fixtures import event, subscription, table
 from pyspark.sql import functions as F
 
 from ledgerlight.context import RunContext
-from ledgerlight.operators import tables
-from ledgerlight.operators.staging import stg_subscriptions
+from ledgerlight.operators import contracts, tables
+from ledgerlight.operators.contracts import CONTRACTS
+from ledgerlight.operators.dimensions import dim_plans
+from ledgerlight.operators.staging import stg_plans, stg_subscriptions
 from ledgerlight.operators.tables import MonthTable
 from ledgerlight.plans.build import build_marts
 from ledgerlight.sources.readers import RawTables, plan_seed
@@ -158,11 +160,18 @@ def test_incremental_build_equals_a_full_one(spark, tmp_path):
         assert mart_rows(refreshed[name]) == mart_rows(fresh[name]), name
 
 
-def test_comments_views_and_replace(spark, tmp_path):
-    commented = tables.with_comments(rows(spark, [("a", "202401", 1)]), {"k": "the key"})
-    assert commented.schema["k"].metadata == {"comment": "the key"}
-    tables.replace_table(commented, str(tmp_path / "t"))
-    tables.replace_table(commented, str(tmp_path / "t"))
+def test_views_and_replace(spark, tmp_path):
+    first = rows(spark, [("a", "202401", 1)])
+    tables.replace_table(first, str(tmp_path / "t"))
+    tables.replace_table(first, str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).count() == 1
-    tables.as_view(commented, "some_view")
+    tables.as_view(first, "some_view")
     assert spark.sql("select v from some_view").first().v == 1
+
+
+def test_comments_are_stored(spark, tmp_path):
+    plans = dim_plans(stg_plans(plan_seed(spark)))
+    tables.replace_table(contracts.enforce(plans, CONTRACTS["dim_plans"]), str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t")).schema
+    assert stored["tier"].metadata["comment"] == "rank of the plan, 1 lowest"
+    assert stored["sk_plan_id"].metadata["grain"] == "plan"
