@@ -14,17 +14,20 @@ from ledgerlight.operators.contracts import CONTRACTS
 from ledgerlight.operators.tables import MonthTable, changing_subscriptions, replace_table
 from ledgerlight.sources.readers import RawTables
 
-# Fact -> (unique key, month column, whether the key contains the month).
-STORED_FACTS = {
+# Mart -> (unique key, month column, whether the key contains the month).
+STORED_MARTS = {
+    "dim_users": ("sk_user_id", "signup_month", False),
     "fct_events": ("sk_event_id", "event_month", False),
     "fct_payments": ("sk_payment_id", "payment_month", False),
     "fct_subscriptions": ("sk_subscription_id", "cohort_month", False),
     "fct_mrr": ("sk_mrr_id", "mrr_month", True),
+    "fct_cohort_retention": ("cohort_month", "cohort_month", True),
+    "fct_user_funnel": ("sk_user_id", "signup_month", False),
 }
 
 
-def fact_table(spark: SparkSession, root: str, name: str) -> MonthTable:
-    key, month, month_in_key = STORED_FACTS[name]
+def mart_table(spark: SparkSession, root: str, name: str) -> MonthTable:
+    key, month, month_in_key = STORED_MARTS[name]
     return MonthTable(spark, f"{root}/{name}", key, month, month_in_key=month_in_key)
 
 
@@ -33,11 +36,17 @@ def _audited(name: str) -> Callable[[DataFrame], None]:
 
 
 def _replace(spark: SparkSession, root: str, name: str, rows: DataFrame) -> DataFrame:
-    contract = CONTRACTS[name]
-    replace_table(contracts.enforce(rows, contract), f"{root}/{name}")
-    stored = spark.read.parquet(f"{root}/{name}")
-    contracts.audit(stored, contract)
-    return stored
+    table = mart_table(spark, root, name)
+    table.replace(contracts.enforce(rows, CONTRACTS[name]), audit=_audited(name))
+    return table.read()
+
+
+def _replace_plans(spark: SparkSession, root: str, rows: DataFrame) -> DataFrame:
+    """The plan catalogue: a handful of rows without a month."""
+    shaped = contracts.enforce(rows, CONTRACTS["dim_plans"])
+    contracts.audit(shaped, CONTRACTS["dim_plans"])
+    replace_table(shaped, f"{root}/dim_plans")
+    return spark.read.parquet(f"{root}/dim_plans")
 
 
 def _recent(raw: DataFrame, column: str, table: MonthTable, day: str, ctx: RunContext) -> DataFrame:
@@ -58,10 +67,10 @@ def build_marts(
     Written rows are audited against their contract before they become visible.
     """
     users = _replace(spark, root, "dim_users", dimensions.dim_users(staging.stg_users(raw.users)))
-    plans = _replace(spark, root, "dim_plans", dimensions.dim_plans(staging.stg_plans(raw.plans)))
+    plans = _replace_plans(spark, root, dimensions.dim_plans(staging.stg_plans(raw.plans)))
 
     def load(name: str, rows: Callable[[MonthTable, bool], DataFrame]) -> DataFrame:
-        table = fact_table(spark, root, name)
+        table = mart_table(spark, root, name)
         incremental = table.exists() and not full_refresh
         shaped = contracts.enforce(rows(table, incremental), CONTRACTS[name])
         write = table.upsert if incremental else table.replace
