@@ -5,14 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def ratio(top: Column, base: Column) -> Column:
-    return F.try_divide(top, base)
-
-
 def percent(top: Column, base: Column, digits: int = 1) -> Column:
     """``top`` in percent of ``base`` in decimal arithmetic."""
     return F.round(F.try_divide(top * F.lit(100.0).cast("decimal(4,1)"), base), digits)
-
-
-def flag_count(flag: Column) -> Column:
-    return F.count_if(flag)

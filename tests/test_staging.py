@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 
 from ledgerlight.context import RunContext
 from ledgerlight.operators import dimensions, staging
-from ledgerlight.sources.readers import plan_seed, read_csv_table
+from ledgerlight.sources.readers import plan_seed, read_catalog_table, read_csv_table, read_raw
 
 CTX = RunContext(as_of=date(2024, 3, 15))
 
@@ -118,6 +118,16 @@ def test_plans_from_csv(spark, tmp_path):
     assert row.features == "a,b" and row.monthly_price == Decimal("5.00")
 
 
+def test_raw_tables_from_files_and_catalog(spark, tmp_path):
+    for name in ("events", "payments", "subscriptions", "users"):
+        table(spark, name, []).write.parquet(str(tmp_path / name))
+    table(spark, "users", [{"user_id": "1"}]).write.mode("overwrite").parquet(str(tmp_path / "users"))
+    raw = read_raw(spark, str(tmp_path))
+    assert raw.users.count() == 1 and raw.plans.count() == 4 and raw.events.columns[0] == "event_id"
+    raw.users.write.mode("overwrite").saveAsTable("raw_users_test")
+    assert read_catalog_table(spark, "default", "raw_users_test").first().user_id == "1"
+
+
 def test_values_that_do_not_fit(spark):
     raw = spark.createDataFrame(
         [("1", "12.5", "2024-01-01"), ("2", "abc", "2024-01-01"), ("3", None, "01/02/2024")],
