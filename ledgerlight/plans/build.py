@@ -1,17 +1,18 @@
-"""A scheduled run: write the marts, facts incrementally where they already exist."""
+"""A scheduled run: write the marts, facts incrementally where they already exist, then check them."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import timedelta
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlight.context import RunContext
-from ledgerlight.operators import contracts, dimensions, facts, funnel, mrr, retention, staging
+from ledgerlight.operators import checks, contracts, dimensions, facts, funnel, mrr, retention, staging
 from ledgerlight.operators.contracts import CONTRACTS
 from ledgerlight.operators.tables import MonthTable, changing_subscriptions, replace_table
+from ledgerlight.plans.check_list import declared_checks
 from ledgerlight.sources.readers import RawTables
 
 # Mart -> (unique key, month column, whether the key contains the month).
@@ -110,3 +111,20 @@ def build_marts(
         funnel.fct_user_funnel(marts["fct_events"], marts["fct_subscriptions"], users, ctx, zero_stages=True),
     )
     return marts
+
+
+def check_tables(spark: SparkSession, tables: Mapping[str, DataFrame], failures: str) -> DataFrame:
+    """Run every declared check the given tables allow; failing rows go below ``failures``.
+
+    The result has one row per check. Pass it to ``checks.require`` to end a run
+    on errors; warnings only show.
+    """
+    chosen = [c for c in declared_checks() if c.table in tables and (not c.parent or c.parent in tables)]
+    results = checks.run_checks(tables, chosen)
+    # One row per check, kept so that the checks run once.
+    found = results.collect()
+    failed = {(r.table_name, r.check_type, r.column_name, r.detail) for r in found if r.failures}
+    for check in chosen:
+        if (check.table, check.kind, check.column_name, check.detail) in failed:
+            checks.store_failures(check, tables, failures)
+    return spark.createDataFrame(found, results.schema)

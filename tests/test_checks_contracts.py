@@ -5,6 +5,7 @@ import pytest
 
 from ledgerlight.operators import checks, contracts
 from ledgerlight.operators.contracts import CONTRACTS
+from ledgerlight.plans.build import check_tables
 from ledgerlight.plans.check_list import declared_checks
 from ledgerlight.plans.registry import _layer_tables, sample_marts
 from ledgerlight.sources.schemas import RAW_PII
@@ -70,6 +71,18 @@ def test_checks_on_the_sample_marts(spark, sf_dir):
                       ("fct_user_funnel", "days_to_email_verified"), ("fct_user_funnel", "days_to_conversion")}
 
 
+def test_a_checked_run_stores_what_failed(spark, sf_dir, tmp_path):
+    marts = sample_marts(spark, sf_dir)
+    chosen = {"stg_users": marts.staged_users, "dim_users": marts.users, "dim_plans": marts.plans}
+    results = check_tables(spark, chosen, str(tmp_path))
+    assert [(r.table_name, r.check_type, r.failures) for r in results.where("status != 'pass'").collect()] == [
+        ("stg_users", "email", 3)
+    ]
+    assert spark.read.parquet(str(tmp_path / "stg_users" / "email__email")).count() == 3
+    with pytest.raises(checks.ChecksFailed, match="stg_users.email email: 3"):
+        checks.require(results)
+
+
 def test_contract_counts():
     assert sum(len(c.required) for c in CONTRACTS.values()) == 82
     assert sum(c.primary_key is not None for c in CONTRACTS.values()) == 7
