@@ -326,6 +326,12 @@ def _pct(top: str, base: str, digits: int = 1) -> str:
     return f"round(100.0 * ({top}) / nullif({base}, 0), {digits})"
 
 
+def _per_user(amount: str) -> str:
+    """A sum per distinct user, rounded half up to whole cents in integers; amounts are not negative."""
+    users = "count(DISTINCT user_id)"
+    return f"CAST((2 * CAST(sum({amount}) * 100 AS BIGINT) + {users}) // (2 * {users}) / 100.0 AS DOUBLE)"
+
+
 def _finals(ctx) -> dict[str, str]:
     recent = f"CAST({_day(ctx.as_of)} - to_months({ctx.lookback_months}) AS DATE)"
     event_floor = f"(SELECT max(event_date) - {ctx.lookback_days} FROM stg_events WHERE event_date <= {_day(EVENTS_LOADED)})"
@@ -405,7 +411,7 @@ def _finals(ctx) -> dict[str, str]:
                    {_pct('m.total - p.total', 'p.total', 2)} AS yoy_growth_pct
             FROM live_totals AS m LEFT JOIN live_totals AS p ON p.month_start + to_months(12) = m.month_start""",
         "arpu_by_plan": f"""
-            SELECT plan_name, mrr_month, round(sum(mrr) / {users_of}, 2) AS arpu
+            SELECT plan_name, mrr_month, {_per_user('mrr')} AS arpu
             FROM live JOIN dim_plans USING (sk_plan_id) GROUP BY ALL""",
         "ltv_by_plan": """
             SELECT plan_name, round(avg(mrr), 2) AS avg_mrr,
@@ -425,7 +431,7 @@ def _finals(ctx) -> dict[str, str]:
         "ltv_per_user": "SELECT user_id, CAST(sum(mrr) AS DOUBLE) AS lifetime_mrr, "
         "count(DISTINCT mrr_month) AS active_months FROM live GROUP BY user_id",
         "ltv_by_cohort": f"SELECT cohort_month, CAST(sum(mrr) AS DOUBLE) AS lifetime_mrr, {users_of} AS users, "
-        f"round(sum(mrr) / {users_of}, 2) AS mrr_per_user FROM live GROUP BY cohort_month",
+        f"{_per_user('mrr')} AS mrr_per_user FROM live GROUP BY cohort_month",
         "funnel_conversion": """
             SELECT count(*) AS total_users, count(*) FILTER (has_verified_email) AS email_verified,
                    count(*) FILTER (has_started_trial) AS trial_started, count(*) FILTER (has_activated) AS activated,
@@ -511,7 +517,7 @@ def _finals(ctx) -> dict[str, str]:
             FROM fct_payments WHERE is_revenue_recognised GROUP BY payment_month""",
         "arpu_payments": f"""
             SELECT payment_month, CAST(sum(amount) AS DOUBLE) AS revenue, {users_of} AS paying_users,
-                   round(sum(amount) / {users_of}, 2) AS arpu
+                   {_per_user('amount')} AS arpu
             FROM fct_payments WHERE is_revenue_recognised GROUP BY payment_month""",
         "subscription_churn_rate": f"""
             SELECT count(*) AS total_subscriptions, count(*) FILTER (is_churned) AS churned_subscriptions,
