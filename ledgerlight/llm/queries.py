@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlight.llm import binary_records, decontaminate, packing
+from ledgerlight.llm import binary_records, decontaminate, packing, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +46,13 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(names, 256).alias("items_sha256"), "contaminated")
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    judged = quality_rules.judge(docs, labels, rejected=0.01, risk=0.05)
+    return judged.select([F.col(c).alias(c.removeprefix("_quality_")) for c in judged.columns])
+
+
 OP3_SQL = r"""
 WITH doc_words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -75,7 +82,12 @@ FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_binary_records": op1_binary_records, "op2_packing": op2_packing, "op3_decontamination": op3_decontamination}
+    return {
+        "op1_binary_records": op1_binary_records,
+        "op2_packing": op2_packing,
+        "op3_decontamination": op3_decontamination,
+        "op10_quality_rules": op10_quality_rules,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
