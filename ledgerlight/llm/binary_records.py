@@ -36,6 +36,7 @@ from ledgerlight.llm.tokens import encoder
 INDEX_ENTRY = np.dtype([("id", "<i8"), ("has_id", "u1"), ("offset", "<u8"), ("n", "<u8")])
 FRAME = 16  # bytes around a payload
 READ_BYTES = 4 << 20
+MOST_READERS = 20_000  # tasks; each then reads several shards
 
 MANIFEST = "shard int, path string, width int, records long, tokens long, bytes long"
 RECORDS = "id long, position long, ids binary"
@@ -205,4 +206,6 @@ def read_records(manifest: DataFrame, seed: int | None = None) -> DataFrame:
     With a seed, each shard's records come in a random order, fetched through the index.
     """
     shards = manifest.select("shard", "path", "width", "start")
-    return map_batches(shards.repartition(F.col("path")), _shard_reader(seed), RECORDS)
+    # A stated number of partitions: left to itself, Spark would join these small rows into one task.
+    tasks = min(max(shards.count(), 1), MOST_READERS)
+    return map_batches(shards.repartition(tasks, "path"), _shard_reader(seed), RECORDS)

@@ -6,7 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlight.llm import binary_records, decontaminate, packing, quality_rules
+from ledgerlight.llm import (
+    binary_records,
+    decontaminate,
+    html_extract,
+    packing,
+    quality_rules,
+    url_filters,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +53,26 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(names, 256).alias("items_sha256"), "contaminated")
 
 
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    rules = spark.createDataFrame(
+        [
+            ("org", "/", "allow"),
+            ("example.org", "/es/", "block"),
+            ("example.org", "/en/1", "block"),
+            ("com", "/fr/", "allow"),
+            ("com", "/de/", "block"),
+        ],
+        url_filters.RULES,
+    )
+    return url_filters.judge_urls(pages, rules)
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return html_extract.extract_text(pages).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -81,14 +108,35 @@ FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+# No page of the tables names an alias, so the rules alone decide here; tests cover aliases by brute force.
+OP6_SQL = r"""
+WITH addresses AS (
+  SELECT page_id,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+  FROM pages),
+rules(rule_host, rule_path, verdict) AS (VALUES
+  ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+  ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+fitting AS (
+  SELECT page_id, host, path, rule_host || rule_path AS rule, verdict,
+         row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC NULLS LAST) AS rank
+  FROM addresses LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fitting WHERE rank = 1
+"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_binary_records": op1_binary_records,
         "op2_packing": op2_packing,
         "op3_decontamination": op3_decontamination,
+        "op6_url_filters": op6_url_filters,
+        "op8_html_extraction": op8_html_extraction,
         "op10_quality_rules": op10_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": OP3_SQL}
+    return {"op3_decontamination": OP3_SQL, "op6_url_filters": OP6_SQL}
