@@ -10,6 +10,7 @@ from ledgerlight.llm import (
     binary_records,
     decontaminate,
     html_extract,
+    near_dedup,
     packing,
     quality_rules,
     url_filters,
@@ -53,6 +54,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(names, 256).alias("items_sha256"), "contaminated")
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return near_dedup.near_duplicates(docs, size=5, percent=85)
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     rules = spark.createDataFrame(
@@ -132,6 +138,7 @@ def queries() -> dict[str, Query]:
         "op1_binary_records": op1_binary_records,
         "op2_packing": op2_packing,
         "op3_decontamination": op3_decontamination,
+        "op5_near_dedup": op5_near_dedup,
         "op6_url_filters": op6_url_filters,
         "op8_html_extraction": op8_html_extraction,
         "op10_quality_rules": op10_quality_rules,
