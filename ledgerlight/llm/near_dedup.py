@@ -7,11 +7,8 @@ A document is the set of its distinct five-word shingles (64-bit hashes).
    Empty registers of short texts borrow from full ones along fixed random orders.
 2. Documents with equal sets become one class, so copies cost nothing below.
 3. Registers are banded, 25 bands of five: two sets of similarity 0.85 share no bucket with a chance of 4e-7.
-4. Buckets are worked off from hubs. The first round compares every member with the bucket's smallest one. Links
-   found join members into components; later rounds take members outside the largest
-   component of their bucket as hubs, ever more of them, and compare these with members of
-   other components, until no bucket holds an uncompared pair of different components. A group
-   of n near copies thus costs about n comparisons, yet no link between components is missed.
+4. Buckets are worked off from hubs (``hubs.py``): a group of n near copies costs about n comparisons, and no link
+   between components is missed.
 5. A pair is first estimated from the registers, corrected for accidental agreement and
    with six standard deviations to spare, then confirmed on the full sets.
 6. Components over the links give each document its group.
@@ -24,9 +21,9 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ledgerlight.llm.components import connected_components
+from ledgerlight.llm.hubs import alike, bucket_members, link_members
 from ledgerlight.llm.storage import Workspace, map_batches
 from ledgerlight.llm.text_arrays import SPACE, Block, blocks, lists, mix, owner, prefix_sums, span_hashes
 
@@ -163,11 +160,7 @@ class _Pairs:
         sized = pairs.join(sides["a"], "a").join(sides["b"], "b")
         sized = sized.where(100 * F.least("na", "nb") >= self.percent * F.greatest("na", "nb")).where(_estimated(self.percent))
         likely = self.work.write(sized.select("a", "b").distinct(), f"{name}-likely")
-        full = {s: self.sets.select(F.col("id").alias(s), F.col("shingles").alias(f"s{s}")) for s in "ab"}
-        both = likely.join(full["a"], "a").join(full["b"], "b")
-        common = F.size(F.array_intersect("sa", "sb"))
-        union = F.size("sa") + F.size("sb") - common
-        return self.work.write(both.where(100 * common >= self.percent * union).select("a", "b").distinct(), f"{name}-links")
+        return self.work.write(alike(self.sets, likely, self.percent), f"{name}-links")
 
 
 def near_duplicates(
@@ -193,45 +186,14 @@ def near_duplicates(
         held.join(smallest, ["k1", "k2", "id"], "left_semi").distinct().select(F.col("id").alias("rep"), "k1", "k2", "n", "registers"), "classes"
     )
     keys = F.expr(f"transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, substring(registers, b * {2 * ROWS} + 1, {2 * ROWS})))")
-    bands = classes.select("rep", F.explode(keys).alias("key"))
-    hubs = bands.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("top")).where("hub < top").drop("top")
-    members = work.write(bands.join(hubs, "key").distinct(), "members")
-    involved = members.select(F.col("rep").alias("id")).distinct()
-    chosen = own.join(involved, "id", "left_semi")
-    sets = map_batches(chosen, _set_maker(size), SETS)
+    bands = classes.select(F.col("rep").alias("item"), F.explode(keys).alias("key"))
+    members = work.write(bucket_members(bands).distinct(), "members")
+    involved = members.select(F.col("item").alias("id")).distinct()
+    sets = map_batches(own.join(involved, "id", "left_semi"), _set_maker(size), SETS)
     wanted = classes.select(F.col("rep").alias("id"), "k1", "k2")
-    sets = work.write(sets.join(wanted, ["id", "k1", "k2"], "left_semi").distinct().select("id", "shingles"), "sets")
-    check = _Pairs(classes, sets, percent, work)
-
-    pairs = members.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    compared = work.write(pairs, "pairs-0")
-    links = check.links(compared, "round-0")
-    labels = connected_components(links, work, "round-0")
-    spent = members.select("key", F.col("hub").alias("rep")).distinct()
-    turn = 0
-    while True:
-        turn += 1
-        left = members.select("key", "rep").join(spent, ["key", "rep"], "left_anti")
-        left = left.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "key", "rep", F.coalesce("component", "rep").alias("label")
-        )
-        sizes = left.groupBy("key", "label").agg(F.count("*").alias("c"))
-        mixed = sizes.groupBy("key").agg(F.count("*").alias("labels"), F.max_by("label", "c").alias("major")).where("labels > 1")
-        open_rows = work.write(left.join(mixed.select("key", "major"), "key"), f"open-{turn}")
-        if open_rows.isEmpty():
-            break
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("rep"))
-        next_hubs = open_rows.where("label <> major").withColumn("rank", rank).where(F.col("rank") <= 4**turn)
-        next_hubs = work.write(next_hubs.select("key", F.col("rep").alias("hub"), F.col("label").alias("hub_label")), f"hubs-{turn}")
-        cross = open_rows.join(next_hubs, "key").where("label <> hub_label")
-        pairs = cross.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-        pairs = work.write(pairs.join(compared, ["a", "b"], "left_anti"), f"pairs-{turn}")
-        compared = compared.unionByName(pairs)
-        spent = spent.unionByName(next_hubs.select("key", F.col("hub").alias("rep")))
-        found = check.links(pairs, f"round-{turn}")
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            labels = connected_components(links, work, f"round-{turn}")
+    sets = sets.join(wanted, ["id", "k1", "k2"], "left_semi").distinct()
+    sets = work.write(sets.select(F.col("id").alias("item"), F.col("shingles").alias("members")), "sets")
+    labels = link_members(members, _Pairs(classes, sets, percent, work).links, work)
     groups = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "k1", "k2", F.coalesce("component", "rep").alias("component_id")
     )

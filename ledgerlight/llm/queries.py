@@ -10,6 +10,7 @@ from ledgerlight.llm import (
     binary_records,
     decontaminate,
     html_extract,
+    line_dedup,
     near_dedup,
     packing,
     quality_rules,
@@ -74,6 +75,13 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(pages, rules)
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    kept = line_dedup.dedup_lines(docs, percent=80)
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return kept.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"), digest.alias("kept_sha256"))
+
+
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return html_extract.extract_text(pages).withColumn("n_chars", F.char_length("text").cast("long"))
@@ -140,6 +148,7 @@ def queries() -> dict[str, Query]:
         "op3_decontamination": op3_decontamination,
         "op5_near_dedup": op5_near_dedup,
         "op6_url_filters": op6_url_filters,
+        "op7_line_dedup": op7_line_dedup,
         "op8_html_extraction": op8_html_extraction,
         "op10_quality_rules": op10_quality_rules,
     }
