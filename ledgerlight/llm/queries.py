@@ -14,6 +14,7 @@ from ledgerlight.llm import (
     near_dedup,
     packing,
     quality_rules,
+    substring_dedup,
     url_filters,
 )
 
@@ -87,6 +88,12 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_text(pages).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = substring_dedup.remove_repeats(docs, window=35)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -141,6 +148,23 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 """
 
 
+OP9_SQL = r"""
+WITH doc_words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT doc_id, i, md5_number(array_to_string(words[i : i + 34], ' ')) AS win
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS i FROM doc_words WHERE len(words) >= 35)),
+repeated AS (SELECT doc_id, i FROM windows WHERE win IN (SELECT win FROM windows GROUP BY win HAVING count(*) > 1)),
+gone AS (SELECT doc_id, list(DISTINCT p) AS places FROM (SELECT doc_id, unnest(range(i, i + 35)) AS p FROM repeated) GROUP BY doc_id),
+kept AS (
+  SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(len(places), 0)::BIGINT AS n_removed,
+         CASE WHEN places IS NULL THEN words
+              WHEN len(places) = len(words) THEN []::VARCHAR[]
+              ELSE list_transform(list_sort(list_filter(range(1, len(words) + 1), lambda p: NOT list_contains(places, p))), lambda p: words[p]) END AS rest
+  FROM doc_words d LEFT JOIN gone USING (doc_id))
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(rest, ' ')) AS kept_sha256 FROM kept
+"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_binary_records": op1_binary_records,
@@ -150,9 +174,10 @@ def queries() -> dict[str, Query]:
         "op6_url_filters": op6_url_filters,
         "op7_line_dedup": op7_line_dedup,
         "op8_html_extraction": op8_html_extraction,
+        "op9_substring_dedup": op9_substring_dedup,
         "op10_quality_rules": op10_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": OP3_SQL, "op6_url_filters": OP6_SQL}
+    return {"op3_decontamination": OP3_SQL, "op6_url_filters": OP6_SQL, "op9_substring_dedup": OP9_SQL}
