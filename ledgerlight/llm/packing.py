@@ -217,3 +217,18 @@ def pack(
     silent = F.col(silent_col).cast("int") if silent_col else F.lit(0)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), silent.alias("silent"))
     return map_batches(rows, _packer(tokenizer, end_id, limits), SEQUENCES)
+
+
+def pieces(packed: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """One row per segment of the packed sequences, with the CRC-32 of its ids."""
+    segment = F.col("segment")
+    ids = F.substring(F.col("ids"), (segment["offset"] * 4 + 1).cast("int"), (segment["length"] * 4).cast("int"))
+    return packed.select("sequence_id", "ids", F.explode("segments").alias("segment")).select(
+        segment["id"].alias(id_col),
+        segment["start"].alias("start"),
+        segment["length"].alias("length"),
+        F.crc32(ids).alias("ids_crc32"),
+        segment["doc_tokens"].alias("doc_tokens"),
+        "sequence_id",
+        segment["offset"].alias("offset"),
+    )

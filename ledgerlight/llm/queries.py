@@ -10,6 +10,7 @@ from ledgerlight.llm import (
     binary_records,
     decontaminate,
     html_extract,
+    license_scan,
     line_dedup,
     near_dedup,
     packing,
@@ -34,18 +35,7 @@ def op1_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    packed = packing.pack(docs, "word_bpe_49k.json", end_id=2)
-    segment = F.col("segment")
-    ids = F.substring(F.col("ids"), (segment["offset"] * 4 + 1).cast("int"), (segment["length"] * 4).cast("int"))
-    return packed.select("sequence_id", "ids", F.explode("segments").alias("segment")).select(
-        segment["id"].alias("doc_id"),
-        segment["start"].alias("start"),
-        segment["length"].alias("length"),
-        F.crc32(ids).alias("ids_crc32"),
-        segment["doc_tokens"].alias("doc_tokens"),
-        "sequence_id",
-        segment["offset"].alias("offset"),
-    )
+    return packing.pieces(packing.pack(docs, "word_bpe_49k.json", end_id=2))
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +46,22 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(names, 256).alias("items_sha256"), "contaminated")
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = license_scan.scan_licenses(docs)
+    labels = F.array_sort(F.array_union("base_labels", F.transform("spans", lambda s: s["label"])))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join(labels, ",").alias("labels"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["score"])), F.lit(0.0)).alias("score"),
+    )
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return near_dedup.near_duplicates(docs, size=5, percent=85)
@@ -170,6 +176,7 @@ def queries() -> dict[str, Query]:
         "op1_binary_records": op1_binary_records,
         "op2_packing": op2_packing,
         "op3_decontamination": op3_decontamination,
+        "op4_license_scan": op4_license_scan,
         "op5_near_dedup": op5_near_dedup,
         "op6_url_filters": op6_url_filters,
         "op7_line_dedup": op7_line_dedup,
