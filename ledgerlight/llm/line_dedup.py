@@ -163,7 +163,7 @@ def dedup_lines(
     union; of a group the line that stands first stays, by id, then by the text's hash, then by place. Lines shorter
     than ``least_chars`` characters, and lines without a word, stay. ``_lines`` counts a text's lines and ``_removed`` those
     taken out. A null text stays null and has no lines. Rows that share id and text keep the same lines; a null
-    id comes first. An empty table gives no rows; any other columns pass through.
+    id comes first. An empty table gives no rows; any other columns pass through, but for older ones of the two names.
     """
     spark = docs.sparkSession
     work = Workspace(spark, "lines")
@@ -190,16 +190,22 @@ def dedup_lines(
     stays = work.write(stays.where("c > 1").withColumnRenamed("k", "stays_k"), "stays")
     gone = placed.withColumn("k", null_first).join(stays, "group")
     gone = gone.where("NOT (k = stays_k AND part = stays_part AND line = stays_line)")
-    removed = gone.select("k", "part", "line").distinct().groupBy("k", "part").agg(F.collect_list("line").alias("_gone"))
-    removed = work.write(removed.withColumnsRenamed({"k": "_k", "part": "_part"}), "removed")
-
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
-    joined = docs.join(removed, (key == F.col("_k")) & (part == F.col("_part")), "left")
-    joined = joined.withColumn("_split", F.split(text_col, "\n"))
-    places = F.array_except(F.sequence(F.lit(0), F.size("_split") - 1), "_gone")
-    cut = F.array_join(F.transform(places, lambda i: F.get("_split", i)), "\n")
+    removed = gone.select("k", "part", "line").distinct().groupBy("k", "part").agg(F.collect_list("line").alias("gone"))
+    removed = work.write(removed, "removed")
+
+    own = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("k"),
+        part.alias("part"),
+        F.split(text_col, "\n").alias("split"),
+    )
+    joined = own.join(removed, ["k", "part"], "left")
+    places = F.array_except(F.sequence(F.lit(0), F.size("split") - 1), "gone")
+    cut = F.array_join(F.transform(places, lambda i: F.get("split", i)), "\n")
+    text = F.when(F.col("gone").isNull(), F.col("row")[text_col]).otherwise(cut)
+    kept = [text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns if c not in ("_lines", "_removed")]
     return joined.select(
-        *[F.when(F.col("_gone").isNull(), F.col(c)).otherwise(cut).alias(c) if c == text_col else F.col(c) for c in docs.columns],
-        F.coalesce(F.size("_split"), F.lit(0)).cast("long").alias("_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("_removed"),
+        *kept,
+        F.coalesce(F.size("split"), F.lit(0)).cast("long").alias("_lines"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("_removed"),
     )

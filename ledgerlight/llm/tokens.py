@@ -69,14 +69,16 @@ class Encoder:
         printable, latin = _PRINTABLE[data], _LATIN[data]
         ends_latin = np.zeros(n, dtype=bool)
         ends_latin[1:] = latin[:-1]
-        # × and ÷ are Latin characters but no letters.
-        sign = ends_latin & ((data == 0x97) | (data == 0xB7))
+        # Letters from À to ÿ, without × and ÷; beyond them, one may turn into a letter and a mark in lower case.
+        ends_letter = np.zeros(n, dtype=bool)
+        ends_letter[1:] = data[:-1] == 0xC3
+        ends_letter &= (data != 0x97) & (data != 0xB7)
         left, right = np.zeros(n, dtype=bool), np.zeros(n, dtype=bool)
         left[1:] = (printable | ends_latin)[:-1]
         right[:-1] = (printable | latin)[1:]
         gap = ((data == 0x20) | (data == 0x0A)) & left & right
         letter = np.zeros(n, dtype=bool)
-        letter[1:] = (_LETTER[data] | (ends_latin & ~sign))[:-1]
+        letter[1:] = (_LETTER[data] | ends_letter)[:-1]
         cut = gap | (letter & _MARK[data])
         after_feed = np.flatnonzero(gap if self.plain else gap & (data == 0x0A)) + 1
         cut[after_feed] = True
