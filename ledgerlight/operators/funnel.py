@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlight.context import RunContext
+from ledgerlight.operators.staging import FUNNEL_EVENTS, FUNNEL_STAGES
 
 FUNNEL_COLUMNS = [
     "sk_user_id",
@@ -61,9 +62,11 @@ def user_milestones(events: DataFrame) -> DataFrame:
     """First date per milestone, deepest stage and number of distinct stages per user.
 
     A funnel event name and its stage number stand for each other, so the
-    distinct names are counted as bits of one integer: no second aggregation.
+    distinct names are counted as bits of one integer, and the deepest name is
+    looked up by its number: no second aggregation, and no text in the buffer, which would make Spark sort all events.
     """
     name, stage = F.col("event_name"), F.col("funnel_stage_order")
+    name_of = F.create_map(*[F.lit(x) for n in FUNNEL_EVENTS for x in (FUNNEL_STAGES[n], n)])
     first_dates = [
         F.min(F.when(name == event, F.col("event_date"))).alias(column) for column, event in MILESTONES.items()
     ]
@@ -74,9 +77,9 @@ def user_milestones(events: DataFrame) -> DataFrame:
         .agg(
             *first_dates,
             F.max(stage).alias("highest_funnel_stage_order"),
-            F.max_by(name, stage).alias("highest_funnel_stage_name"),
             F.bit_count(F.bit_or(stage_bit)).cast("bigint").alias("distinct_funnel_stages_reached"),
         )
+        .withColumn("highest_funnel_stage_name", F.element_at(name_of, F.col("highest_funnel_stage_order")))
     )
 
 

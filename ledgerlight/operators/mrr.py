@@ -22,10 +22,11 @@ from ledgerlight.context import RunContext
 from ledgerlight.functions.dates import each_month, month_from_text, month_number, month_start, yyyymm
 from ledgerlight.functions.keys import surrogate_key
 
-# A user takes the split lane above this many month rows and above this share of
-# all month rows. The share bounds the list of such users: at most 1 / share.
+# A user takes the split lane above this many month rows, whatever the size of the data: what one task
+# may have to hold stays the same.
 HOT_USER_ROWS = 2_000_000
-HOT_USER_SHARE = 1e-5
+# So many hot users may be broadcast; more are joined by their key.
+BROADCAST_USERS = 100_000
 
 
 MRR_COLUMNS = [
@@ -117,39 +118,38 @@ def active_mrr_by_month(subscriptions: DataFrame, ctx: RunContext) -> DataFrame:
 
 
 def find_hot_users(
-    subscriptions: DataFrame, ctx: RunContext, *, min_rows: int = HOT_USER_ROWS, share: float = HOT_USER_SHARE
+    subscriptions: DataFrame, ctx: RunContext, *, min_rows: int = HOT_USER_ROWS
 ) -> DataFrame | None:
     """Users whose month rows need the split lane, or None if there are none.
 
-    Runs one aggregate, combined map-side, over user, id and dates; only the
-    largest and the total load come to the driver.
+    Counts the rows per user, combined map-side; the ids are looked at for hot
+    users only. Only the number of hot users comes to the driver.
     """
     counted = counted_subscriptions(subscriptions, ctx)
     live = F.greatest(month_number(F.col("last_month")) - month_number(F.col("first_month")) + 1, F.lit(0))
     churned = F.col("churn_month").isNotNull().cast("int")
-    loads = counted.groupBy("user_id").agg(
-        F.sum(live + churned).alias("month_rows"),
-        F.min("subscription_id").alias("low_id"),
-        F.max("subscription_id").alias("high_id"),
-    )
-    seen = loads.agg(F.max("month_rows").alias("largest"), F.sum("month_rows").alias("total")).first()
-    limit = max(min_rows, (seen.total or 0) * share)
-    if (seen.largest or 0) <= limit:
+    loads = counted.groupBy("user_id").agg(F.sum(live + churned).alias("month_rows"))
+    heavy = loads.where(F.col("month_rows") > min_rows).select(F.col("user_id").alias("hot_user_id"))
+    number = heavy.count()
+    if not number:
         return None
+    few = F.broadcast(heavy) if number <= BROADCAST_USERS else heavy
+    ids = counted.join(few, F.col("user_id").eqNullSafe(F.col("hot_user_id"))).groupBy("hot_user_id").agg(
+        F.min("subscription_id").alias("low_id"), F.max("subscription_id").alias("high_id")
+    )
     # All ids of a user lie between the lowest and the highest, so they share the prefix of those two.
     shared = F.expr("size(filter(sequence(1, greatest(length(low_id), 1)), i -> left(low_id, i) = left(high_id, i)))")
-    hot = loads.where(F.col("month_rows") > limit).select(
-        F.col("user_id").alias("hot_user_id"), shared.alias("shared_chars")
-    )
-    return hot.withColumn("block_chars", F.lit(_block_chars(with_hot_users(counted, hot), limit)))
+    hot = ids.select("hot_user_id", shared.alias("shared_chars"))
+    chars = _block_chars(with_hot_users(counted, hot), min_rows)
+    return (F.broadcast(hot) if number <= BROADCAST_USERS else hot).withColumn("block_chars", F.lit(chars))
 
 
 def with_hot_users(rows: DataFrame, hot: DataFrame, how: str = "inner") -> DataFrame:
     """Rows of hot users with their block columns, or (``left_anti``) the rows of all others.
 
-    At most 1 / share users are hot, whatever the size of the data, so the list is broadcast.
+    ``find_hot_users`` has counted them: a list that is short enough is broadcast.
     """
-    joined = rows.join(F.broadcast(hot), F.col("user_id").eqNullSafe(F.col("hot_user_id")), how)
+    joined = rows.join(hot, F.col("user_id").eqNullSafe(F.col("hot_user_id")), how)
     return joined if how == "left_anti" else joined.drop("hot_user_id")
 
 

@@ -84,13 +84,13 @@ def rejected_rows(raw: DataFrame, casts: Mapping[str, str]) -> DataFrame:
 
 
 def stg_events(
-    raw: DataFrame, *, lenient: bool = False, keep_event_time: bool = False, single_pass_json: bool = False
+    raw: DataFrame, *, lenient: bool = False, keep_event_time: bool = False, single_pass_json: bool = True
 ) -> DataFrame:
     """Clean events: name, stage, flags, JSON properties, date.
 
-    ``single_pass_json`` parses each JSON text once instead of once per field.
-    The result is the same unless an object repeats a key: a field-wise read
-    takes the first occurrence, the single pass the last.
+    ``single_pass_json`` parses each JSON text once instead of once per field. If a
+    text may repeat a key (it holds a quoted field name twice, or an escape), its
+    fields are read one by one all the same, as there the first occurrence counts.
     """
     cast = _caster(lenient)
     name = spaced("event_name")
@@ -100,7 +100,16 @@ def stg_events(
     if single_pass_json:
         fields = F.json_tuple(F.col("properties").cast("string"), *JSON_FIELDS.values()).alias(*JSON_FIELDS)
         rows = rows.select("*", fields)
-        properties = [F.col(target) for target in JSON_FIELDS]
+        text = F.col("properties").cast("string")
+        once = F.lit(True)
+        for field in JSON_FIELDS.values():
+            quoted = f'"{field}"'
+            once &= F.length(text) - F.length(F.replace(text, F.lit(quoted))) <= len(quoted)
+        once &= ~text.contains("\\")
+        properties = [
+            F.when(once, F.col(target)).otherwise(F.get_json_object(text, f"$.{field}")).alias(target)
+            for target, field in JSON_FIELDS.items()
+        ]
     else:
         properties = [
             F.get_json_object(F.col("properties").cast("string"), f"$.{field}").alias(target)

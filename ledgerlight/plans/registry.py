@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime, timedelta
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, DecimalType
@@ -20,7 +19,7 @@ from ledgerlight.plans.check_list import declared_checks
 from ledgerlight.plans.marts import Marts
 from ledgerlight.session import scratch_folder
 from ledgerlight.sources.sample_feed import SAMPLE_CONTEXT, TEST_SCHEMAS, SampleTables, events_from_events
-from ledgerlight.streaming.events import churn_monitor, stream_events, write_append
+from ledgerlight.streaming.events import churn_counts, churn_monitor, stream_events
 from ledgerlight.streaming.freshness import freshness
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +32,6 @@ EVENTS_LOADED = date(2024, 1, 20)
 PAYMENTS_LOADED = date(2001, 6, 30)
 
 
-@lru_cache(maxsize=8)
 def sample_marts(spark: SparkSession, sf_dir: str, late: bool = False) -> Marts:
     return Marts(SampleTables(spark, sf_dir), LATE_CONTEXT if late else SAMPLE_CONTEXT)
 
@@ -104,15 +102,6 @@ def _segment_query(m: Marts) -> DataFrame:
     return revenue.revenue_by_segment(facts.with_user_key(month, m.users), m.users, m.plans, latest)
 
 
-def _plans_in_use(m: Marts) -> DataFrame:
-    """The catalogue itself is four fixed rows; here it meets the subscriptions."""
-    return m.plans.join(m.keyless_subscriptions.select("plan_id").distinct(), "plan_id", "left_semi")
-
-
-def _staged_plans_in_use(m: Marts) -> DataFrame:
-    return m.staged_plans.join(m.raw.payments.select("plan_id").distinct(), "plan_id", "left_semi")
-
-
 def _upsert_events(m: Marts) -> DataFrame:
     """A stored month of events meets a later delivery of the same events and new ones."""
     stored = m.keyless_events.where(F.col("event_date") <= F.lit(EVENTS_LOADED)).withColumn(
@@ -157,14 +146,13 @@ BATCH_QUERIES: dict[str, Callable[[Marts], DataFrame]] = {
     # Staging
     "stg_events": lambda m: m.staged_events,
     "stg_events_single_pass_json": lambda m: staging.stg_events(m.raw.events, single_pass_json=True),
+    "stg_events_field_wise_json": lambda m: staging.stg_events(m.raw.events, single_pass_json=False),
     "stg_payments": lambda m: m.staged_payments,
-    "stg_plans": _staged_plans_in_use,
     "stg_subscriptions": lambda m: m.staged_subscriptions,
     "stg_users": lambda m: m.staged_users,
     "rejected_payments": _rejected_payments,
     # Dimensions and facts
     "dim_users": lambda m: m.users,
-    "dim_plans": _plans_in_use,
     "fct_events": lambda m: m.events,
     "fct_payments": lambda m: m.payments,
     "fct_subscriptions": lambda m: m.subscriptions,
@@ -255,9 +243,9 @@ def _streamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _streamed_churn(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = sample_marts(spark, sf_dir)
     root = scratch_folder(spark, "stream_churn_monitor")
-    counts = churn_monitor(_event_stream(spark, sf_dir), m.users, m.ctx)
-    write_append(counts, f"{root}/counts", f"{root}/checkpoint").awaitTermination()
-    return comparable(spark.read.schema(counts.schema).parquet(f"{root}/counts"))
+    table = tables.MonthTable(spark, f"{root}/cancellations", "sk_event_id", "event_month")
+    churn_monitor(_event_stream(spark, sf_dir), m.users, table, f"{root}/checkpoint", m.ctx).awaitTermination()
+    return comparable(churn_counts(table.read()))
 
 
 def _batch(build: Callable[[Marts], DataFrame], late: bool = False) -> Query:

@@ -47,33 +47,30 @@ def stream_events(
     )
 
 
-def churn_monitor(raw: DataFrame, users: DataFrame, ctx: RunContext) -> DataFrame:
-    """Cancellations per day, reason and channel of a raw event stream.
+def churn_monitor(
+    raw: DataFrame, users: DataFrame, table: MonthTable, checkpoint: str, ctx: RunContext
+) -> StreamingQuery:
+    """Keep the cancellations of a raw event stream; takes what is there, then stops.
 
-    A day is final once the lookback has passed, so the append mode applies.
+    One row per cancellation, keyed by event, so open days show at once, later
+    ones replace nothing, and a batch that is run again counts once. ``churn_counts`` reads the table.
     """
-    cancelled = cleaned_stream(raw, ctx).where("is_churn")
     channels = users.select("user_id", "acquisition_channel")
-    return (
-        cancelled.join(channels, "user_id", "left")
-        .groupBy(F.window("event_ts", "1 day").alias("day"), "churn_reason", "acquisition_channel")
-        .agg(F.count("*").alias("cancellations"))
-        .select(
-            F.col("day.start").cast("date").alias("event_date"),
-            "churn_reason",
-            "acquisition_channel",
-            "cancellations",
-        )
-    )
+    kept = ["sk_event_id", "event_date", "event_month", "churn_reason", "acquisition_channel"]
 
+    def merge(batch: DataFrame, _: int) -> None:
+        table.upsert(batch.join(channels, "user_id", "left").select(kept))
 
-def write_append(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append the final rows of a stream to Parquet; takes what is there, then stops."""
     return (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
+        cleaned_stream(raw, ctx)
+        .where("is_churn")
+        .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def churn_counts(cancellations: DataFrame) -> DataFrame:
+    """Cancellations per day, reason and channel, open days included."""
+    return cancellations.groupBy("event_date", "churn_reason", "acquisition_channel").agg(F.count("*").alias("cancellations"))

@@ -51,7 +51,7 @@ def key(r):
 
 def all_split(subs, ctx=CTX):
     """Every user with two month rows or more in the split lane."""
-    return mrr.find_hot_users(subs, ctx, min_rows=1, share=0)
+    return mrr.find_hot_users(subs, ctx, min_rows=1)
 
 
 def test_every_movement(spark):

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
-from ledgerlight.operators import facts, mrr
+from ledgerlight.operators import facts, funnel, mrr
 from ledgerlight.plans.registry import BATCH_QUERIES, comparable, sample_marts
 
 
@@ -62,7 +62,7 @@ def test_distinct_users_reuse_the_partitioning_by_user(spark, sf_dir):
 
 def test_split_lane_is_cut_by_month_and_start(spark, sf_dir):
     marts = sample_marts(spark, sf_dir)
-    hot = mrr.find_hot_users(marts.keyless_subscriptions, marts.ctx, min_rows=1, share=1e-4)
+    hot = mrr.find_hot_users(marts.keyless_subscriptions, marts.ctx, min_rows=1)
     counted = mrr.counted_subscriptions(marts.keyless_subscriptions, marts.ctx)
     rows = mrr.fct_mrr(marts.keyless_subscriptions, marts.ctx, hot=hot)
     assert hot.count() > 0
@@ -132,3 +132,14 @@ def test_results_equal_the_sql(spark, sf_dir, database, name):
     theirs = database.sql(oracle_sql()[name])
     assert sorted(mine.columns) == sorted(theirs.columns)
     assert plain(mine.columns, [tuple(r) for r in mine.collect()]) == plain(theirs.columns, theirs.fetchall())
+
+
+def test_milestones_are_not_sorted(spark, sf_dir):
+    milestones = funnel.user_milestones(sample_marts(spark, sf_dir).staged_events)
+    assert "SortAggregate" not in plan_of(milestones)
+
+
+def test_every_source_row_becomes_an_event(spark, sf_dir):
+    events = sample_marts(spark, sf_dir).raw.events
+    assert events.count() == spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    assert events.where("event_name IS NULL").count() == 0

@@ -55,6 +55,17 @@ def test_json_fields_by_either_parse(spark):
             assert all(rows[event_id][c] is None for c in staging.JSON_FIELDS)
 
 
+def test_repeated_json_keys_by_either_parse(spark):
+    texts = ['{"source":"a","source":"b","reason":"r"}', '{"so\\u0075rce":"a","source":"b"}', '{"reason":"source","action":"\\"x"}']
+    raw = table(spark, "events", [event(str(i), "u", "x", "2024-01-01", properties=t) for i, t in enumerate(texts)])
+    found = [
+        {r.event_id: tuple(r[c] for c in staging.JSON_FIELDS) for r in staging.stg_events(raw, single_pass_json=s).collect()}
+        for s in (False, True)
+    ]
+    assert found[0] == found[1]
+    assert found[0]["0"][0] == "a"
+
+
 def test_payment_monthly_share(spark):
     base = {"user_id": "u", "status": "Succeeded", "payment_date": "2024-01-31", "period_start": "2024-01-31",
             "period_end": "2024-02-29", "currency": " gbp"}

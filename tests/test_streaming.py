@@ -6,7 +6,7 @@ import pytest
 from ledgerlight.context import RunContext
 from ledgerlight.operators.tables import MonthTable
 from ledgerlight.sources.schemas import RAW_EVENTS
-from ledgerlight.streaming.events import churn_monitor, stream_events, write_append
+from ledgerlight.streaming.events import churn_counts, churn_monitor, stream_events
 from ledgerlight.streaming.freshness import freshness
 
 CTX = RunContext(as_of=date(2024, 3, 15))
@@ -59,19 +59,25 @@ def test_stream_upserts_each_event_once(spark, users, tmp_path):
     assert table.read().count() == 4
 
 
-def test_churn_monitor_emits_final_days(spark, users, tmp_path):
+def test_churn_monitor_shows_open_days_and_goes_on(spark, users, tmp_path):
     feed = Feed(spark, tmp_path / "feed")
     feed.add(("e1", "u1", "cancellation_initiated", "2024-01-01 10:00:00", "price"),
              ("e2", "u1", "cancellation_initiated", "2024-01-01 12:00:00", "price"),
              ("e3", "u2", "cancellation_initiated", "2024-01-01 12:00:00", "price"),
              ("e4", "u2", "signed_up", "2024-01-01 12:00:00"))
     feed.add(("e5", "u2", "cancellation_initiated", "2024-01-05 12:00:00", "other"))
-    counts = churn_monitor(feed.stream(), users, CTX)
-    write_append(counts, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
-    rows = spark.read.schema(counts.schema).parquet(str(tmp_path / "out")).collect()
-    found = {(r.event_date, r.churn_reason, r.acquisition_channel): r.cancellations for r in rows}
-    day = date(2024, 1, 1)
-    assert found == {(day, "price", "ads"): 2, (day, "price", "organic"): 1}
+    table = MonthTable(spark, str(tmp_path / "out"), "sk_event_id", "event_month")
+
+    def counts():
+        churn_monitor(feed.stream(), users, table, str(tmp_path / "checkpoint"), CTX).awaitTermination()
+        rows = churn_counts(table.read()).collect()
+        return {(r.event_date, r.churn_reason, r.acquisition_channel): r.cancellations for r in rows}
+
+    first, later = date(2024, 1, 1), date(2024, 1, 5)
+    closed = {(first, "price", "ads"): 2, (first, "price", "organic"): 1}
+    assert counts() == closed | {(later, "other", "organic"): 1}
+    feed.add(("e6", "u2", "cancellation_initiated", "2024-01-05 13:00:00", "other"), ("e5", "u2", "cancellation_initiated", "2024-01-05 12:00:00", "other"))
+    assert counts() == closed | {(later, "other", "organic"): 2}
 
 
 @pytest.mark.parametrize(("hours", "status"), [(1, "pass"), (30, "warn"), (100, "error")])
