@@ -12,7 +12,8 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 RESULT_COLUMNS = ["table_name", "check_type", "column_name", "detail", "severity", "failures", "status"]
 
@@ -150,13 +151,29 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> Data
     return reduce(DataFrame.unionByName, results)
 
 
+def failures_path(check: Check, root: str) -> str:
+    return f"{root}/{check.table}/{check.kind}__{'__'.join(check.columns)}"
+
+
 def store_failures(check: Check, tables: Mapping[str, DataFrame], root: str) -> str:
     """Write the failing rows of a check below ``root`` and return the path."""
-    path = f"{root}/{check.table}/{check.kind}__{'__'.join(check.columns)}"
+    path = failures_path(check, root)
     failing_rows(check, tables).write.mode("overwrite").parquet(path)
     return path
 
 
+def clear_failures(check: Check, spark: SparkSession, root: str) -> None:
+    """Leave no rows of an earlier run behind for a check that passes now."""
+    path = failures_path(check, root)
+    try:
+        schema = spark.read.parquet(path).schema
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+
+
 class ChecksFailed(Exception):
     pass
 

@@ -59,13 +59,23 @@ def _recent(raw: DataFrame, column: str, table: MonthTable, day: str, ctx: RunCo
 
 
 def build_marts(
-    spark: SparkSession, raw: RawTables, ctx: RunContext, root: str, *, full_refresh: bool = False
+    spark: SparkSession,
+    raw: RawTables,
+    ctx: RunContext,
+    root: str,
+    *,
+    full_refresh: bool = False,
+    replace_months: bool = False,
+    failures: str | None = None,
 ) -> dict[str, DataFrame]:
     """Write all marts below ``root`` and return them as stored.
 
     Events and payments take the lookback days again, subscriptions the ones that
     can still change, MRR the lookback months. ``full_refresh`` rebuilds all.
     Written rows are audited against their contract before they become visible.
+    ``replace_months=True`` drops the stored MRR of the months that are taken again, so
+    months that a subscription lost vanish. With ``failures`` all declared checks run after the
+    build, rows that fail go below that folder, and a failed check of severity ``error`` ends the run.
     """
     users = _replace(spark, root, "dim_users", dimensions.dim_users(staging.stg_users(raw.users)))
     plans = _replace_plans(spark, root, dimensions.dim_plans(staging.stg_plans(raw.plans)))
@@ -74,8 +84,10 @@ def build_marts(
         table = mart_table(spark, root, name)
         incremental = table.exists() and not full_refresh
         shaped = contracts.enforce(rows(table, incremental), CONTRACTS[name])
-        write = table.upsert if incremental else table.replace
-        write(shaped, audit=_audited(name))
+        if incremental:
+            table.upsert(shaped, replace_months=replace_months and name == "fct_mrr", audit=_audited(name))
+        else:
+            table.replace(shaped, audit=_audited(name))
         return table.read()
 
     def events(table: MonthTable, incremental: bool) -> DataFrame:
@@ -110,9 +122,33 @@ def build_marts(
         "fct_user_funnel",
         funnel.fct_user_funnel(marts["fct_events"], marts["fct_subscriptions"], users, ctx, zero_stages=True),
     )
+    if failures is not None:
+        checks.require(check_build(spark, raw, ctx, root, marts, failures))
     return marts
 
 
+def check_build(
+    spark: SparkSession, raw: RawTables, ctx: RunContext, root: str, marts: Mapping[str, DataFrame], failures: str
+) -> DataFrame:
+    """Run all declared checks over a finished build: raw tables, staging, intermediate results and marts.
+
+    Staging is written once below ``root``, so that no check derives it again.
+    """
+    layers = {
+        "stg_events": staging.stg_events(raw.events),
+        "stg_payments": staging.stg_payments(raw.payments),
+        "stg_plans": staging.stg_plans(raw.plans),
+        "stg_subscriptions": staging.stg_subscriptions(raw.subscriptions, ctx),
+        "stg_users": staging.stg_users(raw.users),
+    }
+    tables = {"raw_events": raw.events, "raw_payments": raw.payments, "raw_subscriptions": raw.subscriptions, "raw_users": raw.users}
+    for name, rows in layers.items():
+        replace_table(rows, f"{root}/staging/{name}")
+        tables[name] = spark.read.parquet(f"{root}/staging/{name}")
+    asof = retention.cohort_retention_asof(tables["stg_subscriptions"], tables["stg_events"], ctx)
+    return check_tables(spark, tables | {"int_cohort_retention": asof} | dict(marts), failures)
+
+
 def check_tables(spark: SparkSession, tables: Mapping[str, DataFrame], failures: str) -> DataFrame:
     """Run every declared check the given tables allow; failing rows go below ``failures``.
 
@@ -127,4 +163,6 @@ def check_tables(spark: SparkSession, tables: Mapping[str, DataFrame], failures:
     for check in chosen:
         if (check.table, check.kind, check.column_name, check.detail) in failed:
             checks.store_failures(check, tables, failures)
+        else:
+            checks.clear_failures(check, spark, failures)
     return spark.createDataFrame(found, results.schema)

@@ -15,6 +15,7 @@ from pyspark.sql.types import DateType, DecimalType
 
 from ledgerlight.operators import checks, contracts, facts, mrr, retention, staging, tables
 from ledgerlight.plans import billing, product, revenue
+from ledgerlight.plans.build import build_marts, check_build
 from ledgerlight.plans.check_list import declared_checks
 from ledgerlight.plans.marts import Marts
 from ledgerlight.session import scratch_folder
@@ -224,6 +225,14 @@ BATCH_QUERIES: dict[str, Callable[[Marts], DataFrame]] = {
 }
 
 
+def _build_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored build of all marts, and every declared check over it."""
+    m = sample_marts(spark, sf_dir)
+    root = scratch_folder(spark, "build")
+    marts = build_marts(spark, m.raw, m.ctx, root)
+    return check_build(spark, m.raw, m.ctx, root, marts, f"{root}/failures")
+
+
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = (
         spark.readStream.schema(TEST_SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
@@ -255,6 +264,7 @@ def _batch(build: Callable[[Marts], DataFrame], late: bool = False) -> Query:
 def registered_queries() -> dict[str, Query]:
     queries = {name: _batch(build) for name, build in BATCH_QUERIES.items()}
     queries["revenue_by_segment"] = _batch(_segment_query, late=True)
+    queries["build_checks"] = _build_checks
     queries["stream_events"] = _streamed_events
     queries["stream_churn_monitor"] = _streamed_churn
     return queries

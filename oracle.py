@@ -643,5 +643,6 @@ def oracle_queries() -> dict[str, str]:
     for kind in (*ROW_KINDS, "unique", "relationships", "unique_combo"):
         final = " UNION ALL ".join(_check_sql(c) for c in declared_checks({kind}))
         queries[f"dq_{kind}"] = _with(ctes, final, materialized=True)
+    queries["build_checks"] = _with(ctes, " UNION ALL ".join(_check_sql(c) for c in declared_checks()), materialized=True)
     queries["enforce_contract"] = _with(ctes, _contract_sql(), materialized=True)
     return queries

@@ -6,7 +6,7 @@ from fixtures import event, subscription, table
 from pyspark.sql import functions as F
 
 from ledgerlight.context import RunContext
-from ledgerlight.operators import contracts, tables
+from ledgerlight.operators import checks, contracts, tables
 from ledgerlight.operators.contracts import CONTRACTS
 from ledgerlight.operators.dimensions import dim_plans
 from ledgerlight.operators.funnel import fct_user_funnel
@@ -167,11 +167,26 @@ def test_incremental_build_equals_a_full_one(spark, tmp_path):
     extra = set(mart_rows(grown["fct_mrr"])) - set(mart_rows(fresh["fct_mrr"]))
     assert {(r.subscription_id, r.mrr_month) for r in extra} == {("s1", "202403")}
     assert set(mart_rows(fresh["fct_mrr"])) <= set(mart_rows(grown["fct_mrr"]))
+    replaced = build_marts(spark, raw, CTX, str(tmp_path / "a"), replace_months=True)
+    assert mart_rows(replaced["fct_mrr"]) == mart_rows(fresh["fct_mrr"])
     refreshed = build_marts(spark, raw, CTX, str(tmp_path / "a"), full_refresh=True)
     for name in fresh:
         assert mart_rows(refreshed[name]) == mart_rows(fresh[name]), name
 
 
+def test_checks_end_a_build_and_leave_no_old_failures(spark, tmp_path):
+    events = [event("e1", "u1", "signed_up", "2024-02-27")]
+    subs = [subscription("s1", "u1", "2023-05-01", None, 49, "active")]
+    bad = [*subs, subscription("s2", "u1", "2023-06-01", None, 49, "no such status")]
+    root, failures = str(tmp_path / "a"), str(tmp_path / "failures")
+    with pytest.raises(checks.ChecksFailed, match="status accepted_values"):
+        build_marts(spark, raw_tables(spark, events, bad), CTX, root, failures=failures)
+    rows_of = lambda: spark.read.parquet(f"{failures}/stg_subscriptions/accepted_values__status").count()
+    assert rows_of() == 1
+    build_marts(spark, raw_tables(spark, events, subs), CTX, root, full_refresh=True, failures=failures)
+    assert rows_of() == 0
+
+
 def test_views_and_replace(spark, tmp_path):
     first = rows(spark, [("a", "202401", 1)])
     tables.replace_table(first, str(tmp_path / "t"))
