@@ -1,16 +1,18 @@
-"""Stored marts: full replace and keyed upsert over month-partitioned Parquet.
+"""Stored marts: full replace and keyed upsert over Parquet partitioned by month or by day.
 
-A table is a folder of immutable month partitions, ``<root>/version=N/<month
-column>=yyyyMM``, and one small list per publish that names the version each
-month is read from. A run writes only the months it touches and then publishes
+A table is a folder of immutable partitions, ``<root>/version=N/<column>=...``,
+and one small list per publish that names the version each month (or day) is
+read from. A run writes only the partitions it touches and then publishes
 a new list; readers keep the list they opened, a failed run leaves nothing
-visible, and a month nobody touched is never copied.
+visible, and a partition nobody touched is never copied. A feed that delivers a few days again
+should be stored by day: an upsert then rewrites those days and not their months.
 
 Where the catalog supports row-level merge (``merge_into``), use that instead.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -24,6 +26,7 @@ MONTH_LISTS = "month_lists"
 MONTH_LIST_SCHEMA = "publish int, month string, version int"
 INCOMING = "incoming"
 # The folder name Spark gives to a NULL partition value.
+DAY_COLUMN = "partition_day"
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -50,19 +53,30 @@ def duplicate_keys(batch: DataFrame, key: str) -> DataFrame:
 
 
 class MonthTable:
-    """One stored mart, partitioned by a ``yyyyMM`` column.
+    """One stored mart, partitioned by a ``yyyyMM`` column, or by the days of a date column (``day``).
 
     ``month_in_key=True`` says that the key already contains the month, so a row
     cannot move to another one and an upsert need not look for old copies.
     """
 
-    def __init__(self, spark: SparkSession, root: str, key: str, month: str, *, month_in_key: bool = False) -> None:
+    def __init__(
+        self, spark: SparkSession, root: str, key: str, month: str, *, month_in_key: bool = False, day: str | None = None
+    ) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
         self.key = key
-        self.month = month
+        self.day = day
+        # The partition column; that of a table by day is no column of the mart.
+        self.month = DAY_COLUMN if day else month
         self.month_in_key = month_in_key
 
+    def _cut(self, rows: DataFrame) -> DataFrame:
+        """Rows with the partition column."""
+        return rows.withColumn(DAY_COLUMN, F.date_format(self.day, "yyyyMMdd")) if self.day else rows
+
+    def _uncut(self, rows: DataFrame) -> DataFrame:
+        return rows.drop(DAY_COLUMN) if self.day else rows
+
     def _published(self) -> tuple[int, dict[str, int]]:
         """The newest publish and its months; one row per calendar month."""
         try:
@@ -105,7 +119,7 @@ class MonthTable:
         listed = self.months()
         if not listed:
             raise ValueError(f"nothing published in {self.root}")
-        return self._read(listed)
+        return self._uncut(self._read(listed))
 
     def newest_day(self, day: str) -> date | None:
         """The latest value of a date column that the month is derived from; reads the last month only."""
@@ -121,7 +135,7 @@ class MonthTable:
         rows.hint("rebalance", self.month).write.mode("overwrite").partitionBy(self.month).parquet(target)
         written = self.spark.read.schema(rows.schema).parquet(target)
         if audit is not None:
-            audit(written)
+            audit(self._uncut(written))
         listed = dict(keep)
         if any_rows(written):
             listed |= {r[0]: publish for r in written.select(self._label()).distinct().collect()}
@@ -136,7 +150,7 @@ class MonthTable:
 
         ``audit`` sees the written rows before they are published and may raise.
         """
-        self._publish(rows, self._published()[0] + 1, {}, audit)
+        self._publish(self._cut(rows), self._published()[0] + 1, {}, audit)
 
     def upsert(self, batch: DataFrame, *, replace_months: bool = False, audit: Audit | None = None) -> None:
         """Merge a batch by key; only months that gain, change or lose a row are rewritten.
@@ -149,8 +163,8 @@ class MonthTable:
         """
         publish, listed = self._published()
         # Written once: the batch is read several times below, and a lost executor costs no rerun of its plan.
-        incoming_path = f"{self.root}/{INCOMING}"
-        batch.write.mode("overwrite").parquet(incoming_path)
+        incoming_path = f"{self.root}/{INCOMING}/{uuid.uuid4().hex}"
+        batch.write.parquet(incoming_path)
         batch = self.spark.read.schema(batch.schema).parquet(incoming_path)
         if not any_rows(batch):
             return
@@ -159,7 +173,8 @@ class MonthTable:
         if audit is not None:
             audit(batch)
         if not listed:
-            return self._publish(batch, publish + 1, {})
+            return self._publish(self._cut(batch), publish + 1, {})
+        batch = self._cut(batch)
         incoming = {r[0] for r in batch.select(self._label()).distinct().collect()}
         stored = self._read(listed)
         moved_from = set()

@@ -15,7 +15,7 @@ from pyspark.sql.types import DateType, DecimalType
 
 from ledgerlight.operators import checks, contracts, facts, mrr, retention, staging, tables
 from ledgerlight.plans import billing, product, revenue
-from ledgerlight.plans.build import build_marts, check_build
+from ledgerlight.plans.build import build_marts, check_build, mart_table
 from ledgerlight.plans.check_list import declared_checks
 from ledgerlight.plans.marts import Marts
 from ledgerlight.session import scratch_folder
@@ -103,13 +103,21 @@ def _segment_query(m: Marts) -> DataFrame:
     return revenue.revenue_by_segment(facts.with_user_key(month, m.users), m.users, m.plans, latest)
 
 
+def _stored_upsert(m: Marts, stored: DataFrame, batch: DataFrame, name: str) -> DataFrame:
+    """Load a stored mart, merge a batch into it, and read it back."""
+    table = mart_table(m.raw.spark, scratch_folder(m.raw.spark, "upsert"), name)
+    table.replace(stored)
+    table.upsert(batch)
+    return table.read()
+
+
 def _upsert_events(m: Marts) -> DataFrame:
     """A stored month of events meets a later delivery of the same events and new ones."""
     stored = m.keyless_events.where(F.col("event_date") <= F.lit(EVENTS_LOADED)).withColumn(
         "raw_properties", F.lit("as loaded first")
     )
     batch = tables.since_last_load(m.keyless_events, stored, "event_date", m.ctx)
-    return tables.merge_rows(stored, batch, "sk_event_id")
+    return _stored_upsert(m, stored, batch, "fct_events")
 
 
 def _upsert_payments(m: Marts) -> DataFrame:
@@ -117,13 +125,13 @@ def _upsert_payments(m: Marts) -> DataFrame:
         "status", F.lit("as loaded first")
     )
     batch = tables.since_last_load(m.keyless_payments, stored, "payment_date", m.ctx)
-    return tables.merge_rows(stored, batch, "sk_payment_id")
+    return _stored_upsert(m, stored, batch, "fct_payments")
 
 
 def _upsert_subscriptions(m: Marts) -> DataFrame:
     stored = m.keyless_subscriptions.withColumn("status", F.lit("as loaded first"))
     batch = tables.changing_subscriptions(m.keyless_subscriptions, m.ctx)
-    return tables.merge_rows(stored, batch, "sk_subscription_id")
+    return _stored_upsert(m, stored, batch, "fct_subscriptions")
 
 
 def _incremental_mrr(m: Marts) -> DataFrame:
@@ -243,9 +251,11 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _streamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = sample_marts(spark, sf_dir)
     root = scratch_folder(spark, "stream_events")
-    table = tables.MonthTable(spark, f"{root}/fct_events", "sk_event_id", "event_month")
-    query = stream_events(_event_stream(spark, sf_dir), m.users, table, f"{root}/checkpoint", m.ctx)
-    query.awaitTermination()
+    table = mart_table(spark, root, "fct_events")
+    # The feed up to a day first, then the whole feed again: the second run merges into stored days.
+    feed = _event_stream(spark, sf_dir)
+    for run, part in enumerate((feed.where(F.col("event_at") < F.lit(EVENTS_LOADED)), feed)):
+        stream_events(part, m.users, table, f"{root}/checkpoint-{run}", m.ctx).awaitTermination()
     return comparable(table.read())
 
 

@@ -12,7 +12,7 @@ from ledgerlight.operators.dimensions import dim_plans
 from ledgerlight.operators.funnel import fct_user_funnel
 from ledgerlight.operators.staging import stg_plans, stg_subscriptions
 from ledgerlight.operators.tables import MonthTable
-from ledgerlight.plans.build import build_marts
+from ledgerlight.plans.build import build_marts, check_build
 from ledgerlight.plans.marts import Marts
 from ledgerlight.sources.readers import RawTables, plan_seed
 
@@ -174,16 +174,33 @@ def test_incremental_build_equals_a_full_one(spark, tmp_path):
         assert mart_rows(refreshed[name]) == mart_rows(fresh[name]), name
 
 
+def test_a_batch_of_one_day_leaves_other_days_alone(spark, tmp_path):
+    def days(*rows):
+        return spark.createDataFrame(rows, "k string, d date, v int")
+
+    table = MonthTable(spark, str(tmp_path / "t"), "k", "unused", day="d")
+    table.replace(days(("a", date(2024, 1, 1), 1), ("b", date(2024, 1, 2), 1), ("c", date(2024, 1, 3), 1), ("n", None, 1)))
+    table.upsert(days(("b", date(2024, 1, 2), 2), ("d", date(2024, 1, 2), 2)))
+    assert table.months() == {"20240101": 1, "20240102": 2, "20240103": 1, "": 1}
+    assert {tuple(r) for r in table.read().select("k", "v").collect()} == {("a", 1), ("b", 2), ("c", 1), ("d", 2), ("n", 1)}
+    # A row that moves to another day leaves the old one.
+    table.upsert(days(("a", date(2024, 1, 3), 3)))
+    assert table.months() == {"20240102": 2, "20240103": 3, "": 1}
+    assert table.read().columns == ["k", "d", "v"]
+    assert table.newest_day("d") == date(2024, 1, 3)
+
+
 def test_checks_end_a_build_and_leave_no_old_failures(spark, tmp_path):
     events = [event("e1", "u1", "signed_up", "2024-02-27")]
     subs = [subscription("s1", "u1", "2023-05-01", None, 49, "active")]
     bad = [*subs, subscription("s2", "u1", "2023-06-01", None, 49, "no such status")]
     root, failures = str(tmp_path / "a"), str(tmp_path / "failures")
-    with pytest.raises(checks.ChecksFailed, match="status accepted_values"):
+    with pytest.raises(checks.ChecksFailed, match="stg_subscriptions.status accepted_values: 1"):
         build_marts(spark, raw_tables(spark, events, bad), CTX, root, failures=failures)
     rows_of = lambda: spark.read.parquet(f"{failures}/stg_subscriptions/accepted_values__status").count()
     assert rows_of() == 1
-    build_marts(spark, raw_tables(spark, events, subs), CTX, root, full_refresh=True, failures=failures)
+    raw = raw_tables(spark, events, subs)
+    check_build(spark, raw, CTX, root, build_marts(spark, raw, CTX, root, full_refresh=True), failures)
     assert rows_of() == 0
 
 
