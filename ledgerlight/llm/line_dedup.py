@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlight.llm.hubs import alike, bucket_members, link_members
+from ledgerlight.llm.hubs import alike, hub_members, link_members, partner_bounds, shared_buckets
 from ledgerlight.llm.storage import Workspace, map_batches
 from ledgerlight.llm.text_arrays import LOWER, NEWLINE, SPACE, Block, blocks, lists, mix, owner, prefix_sums, span_hashes
 
@@ -172,11 +172,13 @@ def dedup_lines(
     lines = work.write(map_batches(own, _line_rows(shingle, least_chars), LINES), "lines")
     keyed = lines.where(F.size("keys") > 0).select(F.explode("keys").alias("key"), F.col("node").alias("item"))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    members = work.write(bucket_members(keyed, partitions).distinct(), "members")
-    involved = members.select("item").distinct()
+    shared = work.write(shared_buckets(keyed, partitions).distinct(), "shared")
+    involved = shared.select("item").distinct()
     content = map_batches(own.select("text"), _wanted_lines(shingle, least_chars), "item long, content string")
     content = content.join(involved, "item", "left_semi").groupBy("item").agg(F.min("content").alias("content"))
     sets = work.write(map_batches(content, _shingle_sets(shingle), "item long, members array<long>"), "sets")
+    bounds = work.write(partner_bounds(sets, percent), "bounds")
+    members = work.write(hub_members(shared, bounds), "members")
     labels = link_members(members, lambda pairs, name: work.write(alike(sets, pairs, percent), f"{name}-links"), work)
 
     placed = lines.select("id", "part", "line", "node").join(labels, "node", "left")

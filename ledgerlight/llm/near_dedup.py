@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlight.llm.hubs import alike, bucket_members, link_members
+from ledgerlight.llm.hubs import alike, hub_members, link_members, partner_bounds, shared_buckets
 from ledgerlight.llm.storage import Workspace, map_batches
 from ledgerlight.llm.text_arrays import SPACE, Block, blocks, lists, mix, owner, prefix_sums, span_hashes
 
@@ -187,12 +187,14 @@ def near_duplicates(
     )
     keys = F.expr(f"transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, substring(registers, b * {2 * ROWS} + 1, {2 * ROWS})))")
     bands = classes.select(F.col("rep").alias("item"), F.explode(keys).alias("key"))
-    members = work.write(bucket_members(bands).distinct(), "members")
-    involved = members.select(F.col("item").alias("id")).distinct()
+    shared = work.write(shared_buckets(bands).distinct(), "shared")
+    involved = shared.select(F.col("item").alias("id")).distinct()
     sets = map_batches(own.join(involved, "id", "left_semi"), _set_maker(size), SETS)
     wanted = classes.select(F.col("rep").alias("id"), "k1", "k2")
     sets = sets.join(wanted, ["id", "k1", "k2"], "left_semi").distinct()
     sets = work.write(sets.select(F.col("id").alias("item"), F.col("shingles").alias("members")), "sets")
+    bounds = work.write(partner_bounds(sets, percent), "bounds")
+    members = work.write(hub_members(shared, bounds).distinct(), "members")
     labels = link_members(members, _Pairs(classes, sets, percent, work).links, work)
     groups = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "k1", "k2", F.coalesce("component", "rep").alias("component_id")
