@@ -20,13 +20,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerlight.llm.hubs import alike, hub_members, link_members, partner_bounds, shared_buckets
 from ledgerlight.llm.storage import Workspace, map_batches
-from ledgerlight.llm.text_arrays import LOWER, NEWLINE, SPACE, Block, blocks, lists, mix, owner, prefix_sums, span_hashes
+from ledgerlight.llm.text_arrays import LOWER, NEWLINE, SPACE, Block, blocks, byte_values, lists, mix, owner, prefix_sums, span_hashes
 
 REGISTERS = 64
 BANDS, ROWS = 16, 4
 BLOCK_BYTES = 1 << 20
 _NONE = np.uint64((1 << 64) - 1)
 
+LEAST = -(1 << 63)  # stands for a missing id, which comes first
+
 LINES = "id long, part long, line int, node long, keys array<long>"
 
 # Lower case, and every white space as a blank.
@@ -55,7 +57,7 @@ class Lines:
         self.text = np.searchsorted(block.bounds, self.starts, side="right") - 1
         feeds = np.append(0, np.cumsum(NEWLINE[block.data]))
         self.number = feeds[self.starts] - feeds[block.bounds[self.text]]
-        self.sums = prefix_sums(mix(self.block.data.astype(np.uint64) + np.uint64(1)))
+        self.sums = prefix_sums(byte_values()[self.block.data])
         self.nodes = span_hashes(self.sums, self.starts, self.ends).view(np.int64)
 
     def shingles(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,21 +117,6 @@ def _line_rows(shingle: int, least_chars: int):
     return rows
 
 
-def _wanted_lines(shingle: int, least_chars: int):
-    """Each line's content as text, once per block."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block in blocks(batch.column(0), BLOCK_BYTES):
-                lines = Lines(block, shingle, least_chars)
-                nodes, sample = np.unique(lines.nodes, return_index=True)
-                raw = lines.block.data.tobytes()
-                content = [raw[a:b] for a, b in zip(lines.starts[sample].tolist(), lines.ends[sample].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(content, pa.binary()).cast(pa.string())], names=["item", "content"])
-
-    return rows
-
-
 def _shingle_sets(shingle: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,6 +136,15 @@ def _shingle_sets(shingle: int):
     return rows
 
 
+def first_places(places: DataFrame) -> DataFrame:
+    """The first place of each group of ``places(group, k, part, line)``, and the number of places."""
+    per_text = places.groupBy("group", "k", "part").agg(F.min("line").alias("line"), F.count("*").alias("c"))
+    per_id = per_text.groupBy("group", "k").agg(F.min("part").alias("part"), F.min_by("line", "part").alias("line"), F.sum("c").alias("c"))
+    return per_id.groupBy("group").agg(
+        F.min("k").alias("k"), F.min_by("part", "k").alias("part"), F.min_by("line", "k").alias("line"), F.sum("c").alias("c")
+    )
+
+
 def dedup_lines(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -174,8 +170,14 @@ def dedup_lines(
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared = work.write(shared_buckets(keyed, partitions).distinct(), "shared")
     involved = shared.select("item").distinct()
-    content = map_batches(own.select("text"), _wanted_lines(shingle, least_chars), "item long, content string")
-    content = content.join(involved, "item", "left_semi").groupBy("item").agg(F.min("content").alias("content"))
+    # One place of each candidate line, and the line's text from there.
+    candidates = lines.select(F.coalesce("id", F.lit(LEAST)).alias("k"), "part", "line", F.col("node").alias("group"))
+    wanted = first_places(candidates.join(involved.withColumnRenamed("item", "group"), "group", "left_semi"))
+    wanted = wanted.groupBy("k", "part").agg(F.collect_list(F.struct("line", "group")).alias("wanted"))
+    found = own.withColumn("k", F.coalesce("id", F.lit(LEAST))).join(wanted, ["k", "part"])
+    found = found.select(F.split("text", "\n").alias("split"), "wanted").select("split", F.explode("wanted").alias("w"))
+    content = found.select(F.col("w.group").alias("item"), F.get("split", F.col("w.line")).alias("content"))
+    content = content.groupBy("item").agg(F.min("content").alias("content"))
     sets = work.write(map_batches(content, _shingle_sets(shingle), "item long, members array<long>"), "sets")
     bounds = work.write(partner_bounds(sets, percent), "bounds")
     members = work.write(hub_members(shared, bounds), "members")
@@ -183,21 +185,17 @@ def dedup_lines(
 
     placed = lines.select("id", "part", "line", "node").join(labels, "node", "left")
     placed = placed.select("id", "part", "line", F.coalesce("component", "node").alias("group"))
-    null_first = F.coalesce("id", F.lit(-(1 << 63)))
-    per_text = placed.groupBy("group", null_first.alias("k"), "part").agg(F.min("line").alias("line"), F.count("*").alias("c"))
-    per_id = per_text.groupBy("group", "k").agg(F.min("part").alias("part"), F.min_by("line", "part").alias("line"), F.sum("c").alias("c"))
-    stays = per_id.groupBy("group").agg(
-        F.min("k").alias("k"), F.min_by("part", "k").alias("stays_part"), F.min_by("line", "k").alias("stays_line"), F.sum("c").alias("c")
-    )
-    stays = work.write(stays.where("c > 1").withColumnRenamed("k", "stays_k"), "stays")
-    gone = placed.withColumn("k", null_first).join(stays, "group")
+    placed = placed.withColumn("k", F.coalesce("id", F.lit(LEAST)))
+    stays = first_places(placed).withColumnsRenamed({"k": "stays_k", "part": "stays_part", "line": "stays_line"})
+    stays = work.write(stays.where("c > 1"), "stays")
+    gone = placed.join(stays, "group")
     gone = gone.where("NOT (k = stays_k AND part = stays_part AND line = stays_line)")
     removed = gone.select("k", "part", "line").distinct().groupBy("k", "part").agg(F.collect_list("line").alias("gone"))
     removed = work.write(removed, "removed")
 
     own = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("k"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)).alias("k"),
         part.alias("part"),
         F.split(text_col, "\n").alias("split"),
     )

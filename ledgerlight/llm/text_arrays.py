@@ -46,7 +46,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 @lru_cache(maxsize=1)
-def _byte_values() -> np.ndarray:
+def byte_values() -> np.ndarray:
+    """A random number for each byte."""
     return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD))
 
 
@@ -110,7 +111,7 @@ class Block:
         return starts, ends, np.searchsorted(starts, self.bounds)
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return span_hashes(prefix_sums(_byte_values()[self.data]), starts, ends)
+        return span_hashes(prefix_sums(byte_values()[self.data]), starts, ends)
 
 
 def blocks(texts: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[Block]:
