@@ -60,11 +60,18 @@ def _may_link(n: str, top: str, other_n: str, other_top: str) -> Column:
     return (F.col(n) <= F.col(other_top)) & (F.col(other_n) <= F.col(top))
 
 
-def link_members(members: DataFrame, links_of: Callable[[DataFrame, str], DataFrame], work: Workspace) -> DataFrame:
+def link_members(
+    members: DataFrame,
+    links_of: Callable[[DataFrame, str], DataFrame],
+    work: Workspace,
+    sketches: DataFrame | None = None,
+    plausible: Callable[[str, str, str, str], Column] | None = None,
+) -> DataFrame:
     """``(node, component)`` of all linked items.
 
     ``members`` is a written table as of ``hub_members``; ``links_of`` takes candidate
-    pairs (a < b) and a name and gives a written table of those that are links.
+    pairs (a < b) and a name and gives a written table of those that are links. With ``sketches(item, sketch)`` later rounds
+    keep only pairs that ``plausible`` (columns of two sketches and two sizes) lets through, before they become rows.
     """
     ends = [F.least("hub", "item").alias("a"), F.greatest("hub", "item").alias("b")]
     first = members.where("item <> hub").where(_may_link("n", "top", "hub_n", "hub_top"))
@@ -88,14 +95,21 @@ def link_members(members: DataFrame, links_of: Callable[[DataFrame, str], DataFr
         # Both ends of a possible link wait, so a bucket with a single component is done.
         sizes = suited.groupBy("key", "label").agg(F.count("*").alias("c"))
         mixed = sizes.groupBy("key").agg(F.count("*").alias("labels"), F.max_by("label", "c").alias("major")).where("labels > 1")
-        waiting = work.write(suited.join(mixed.drop("labels"), "key"), f"waiting-{turn}")
+        waiting = suited.join(mixed.drop("labels"), "key")
+        if sketches is not None:
+            waiting = waiting.join(sketches, "item")
+        waiting = work.write(waiting, f"waiting-{turn}")
         if waiting.isEmpty():
             return labels
         rank = F.row_number().over(Window.partitionBy("key").orderBy("own", "item"))
         hubs = waiting.where("label <> major").withColumn("rank", rank).where(F.col("rank") <= 8 ** min(turn, 8))
-        hubs = hubs.select("key", *[F.col(c).alias(f"hub_{c}") for c in ("item", "n", "top", "label")]).withColumnRenamed("hub_item", "hub")
+        carried = ["n", "top", "label"] + (["sketch"] if sketches is not None else [])
+        hubs = hubs.select("key", F.col("item").alias("hub"), *[F.col(c).alias(f"hub_{c}") for c in carried])
         hubs = work.write(hubs, f"hubs-{turn}")
-        cross = waiting.join(hubs, "key").where(_may_link("n", "top", "hub_n", "hub_top") & (F.col("label") != F.col("hub_label")))
+        meets = _may_link("n", "top", "hub_n", "hub_top") & (F.col("label") != F.col("hub_label"))
+        if plausible is not None:
+            meets &= plausible("sketch", "hub_sketch", "n", "hub_n")
+        cross = waiting.join(hubs, "key").where(meets)
         pairs = work.write(cross.select(*ends).distinct().join(compared, ["a", "b"], "left_anti"), f"pairs-{turn}")
         compared = compared.unionByName(pairs)
         spent = spent.unionByName(hubs.select("key", F.col("hub").alias("item")))

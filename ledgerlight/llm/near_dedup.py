@@ -10,18 +10,18 @@ A document is the set of its distinct five-word shingles (64-bit hashes).
 4. Buckets are worked off from hubs (``hubs.py``): a group of n near copies costs about n comparisons, and no link
    between components is missed.
 5. A pair is first estimated from the registers, corrected for accidental agreement and
-   with six standard deviations to spare, then confirmed on the full sets.
+   with five standard deviations to spare, then confirmed on the full sets.
 6. Components over the links give each document its group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlight.llm.hubs import alike, hub_members, link_members, partner_bounds, shared_buckets
 from ledgerlight.llm.storage import Workspace, map_batches
@@ -134,16 +134,16 @@ def _set_maker(size: int):
     return make
 
 
-def _estimated(percent: int):
-    """Whether the registers leave room for the similarity: agreement without chance hits, six deviations to spare."""
-    agreeing = F.size(
-        F.filter(F.sequence(F.lit(0), F.lit(REGISTERS - 1)), lambda i: F.substring("ra", i * 2 + 1, F.lit(2)) == F.substring("rb", i * 2 + 1, F.lit(2)))
-    )
+def estimated(percent: int, ra: str, rb: str, na: str, nb: str) -> Column:
+    """Whether registers leave room for the similarity: agreement without chance hits, with five deviations to spare."""
+    places = F.sequence(F.lit(0), F.lit(REGISTERS - 1))
+    agreeing = F.size(F.filter(places, lambda i: F.substring(ra, i * 2 + 1, F.lit(2)) == F.substring(rb, i * 2 + 1, F.lit(2))))
     # Expected share of chance hits of unequal registers for sets of such sizes.
-    chance = 0.169919487 / (1 << MANTISSA) * 4 * F.col("na") * F.col("nb") / ((F.col("na") + F.col("nb")) * (F.col("na") + F.col("nb")))
+    total = F.col(na) + F.col(nb)
+    chance = 0.169919487 / (1 << MANTISSA) * 4 * F.col(na) * F.col(nb) / (total * total)
     estimate = (agreeing / float(REGISTERS) - chance) / (1 - chance)
     p = percent / 100
-    return estimate >= p - 6 * (p * (1 - p) / REGISTERS) ** 0.5
+    return estimate >= p - 5 * (p * (1 - p) / REGISTERS) ** 0.5
 
 
 class _Pairs:
@@ -158,7 +158,9 @@ class _Pairs:
             s: self.classes.select(F.col("rep").alias(s), F.col("n").alias(f"n{s}"), F.col("registers").alias(f"r{s}")) for s in "ab"
         }
         sized = pairs.join(sides["a"], "a").join(sides["b"], "b")
-        sized = sized.where(100 * F.least("na", "nb") >= self.percent * F.greatest("na", "nb")).where(_estimated(self.percent))
+        sized = sized.where(100 * F.least("na", "nb") >= self.percent * F.greatest("na", "nb")).where(
+            estimated(self.percent, "ra", "rb", "na", "nb")
+        )
         likely = self.work.write(sized.select("a", "b").distinct(), f"{name}-likely")
         return self.work.write(alike(self.sets, likely, self.percent), f"{name}-links")
 
@@ -195,7 +197,10 @@ def near_duplicates(
     sets = work.write(sets.select(F.col("id").alias("item"), F.col("shingles").alias("members")), "sets")
     bounds = work.write(partner_bounds(sets, percent), "bounds")
     members = work.write(hub_members(shared, bounds).distinct(), "members")
-    labels = link_members(members, _Pairs(classes, sets, percent, work).links, work)
+    registers = classes.select(F.col("rep").alias("item"), F.col("registers").alias("sketch")).join(involved.withColumnRenamed("id", "item"), "item", "left_semi")
+    registers = work.write(registers.dropDuplicates(["item"]), "registers")
+    check = _Pairs(classes, sets, percent, work)
+    labels = link_members(members, check.links, work, registers, partial(estimated, percent))
     groups = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "k1", "k2", F.coalesce("component", "rep").alias("component_id")
     )
