@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 import ledgerlight
@@ -37,9 +38,14 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def map_batches(table: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package on the workers."""
+    """``mapInArrow`` with this package on the workers, which give Arrow's free memory back after each task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+
     ship_package(table.sparkSession)
-    return table.mapInArrow(function, schema)
+    return table.mapInArrow(run, schema)
 
 
 @contextmanager

@@ -18,7 +18,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 

@@ -43,7 +43,7 @@ class Encoder:
     not used for long are forgotten.
     """
 
-    def __init__(self, name: str, remembered: int = 700_000) -> None:
+    def __init__(self, name: str, remembered: int = 300_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
