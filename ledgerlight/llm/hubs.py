@@ -66,12 +66,14 @@ def link_members(
     work: Workspace,
     sketches: DataFrame | None = None,
     plausible: Callable[[str, str, str, str], Column] | None = None,
+    confirm: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """``(node, component)`` of all linked items.
 
     ``members`` is a written table as of ``hub_members``; ``links_of`` takes candidate
     pairs (a < b) and a name and gives a written table of those that are links. With ``sketches(item, sketch)`` later rounds
-    keep only pairs that ``plausible`` (columns of two sketches and two sizes) lets through, before they become rows.
+    keep only pairs that ``plausible`` (columns of two sketches and two sizes) lets through, before they become rows;
+    ``confirm`` then takes the place of ``links_of``.
     """
     ends = [F.least("hub", "item").alias("a"), F.greatest("hub", "item").alias("b")]
     first = members.where("item <> hub").where(_may_link("n", "top", "hub_n", "hub_top"))
@@ -113,7 +115,7 @@ def link_members(
         pairs = work.write(cross.select(*ends).distinct().join(compared, ["a", "b"], "left_anti"), f"pairs-{turn}")
         compared = compared.unionByName(pairs)
         spent = spent.unionByName(hubs.select("key", F.col("hub").alias("item")))
-        found = links_of(pairs, f"round-{turn}")
+        found = (confirm or links_of)(pairs, f"round-{turn}")
         if not found.isEmpty():
             labels = _joined(labels, found, work, f"round-{turn}")
 

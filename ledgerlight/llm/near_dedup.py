@@ -162,7 +162,10 @@ class _Pairs:
             estimated(self.percent, "ra", "rb", "na", "nb")
         )
         likely = self.work.write(sized.select("a", "b").distinct(), f"{name}-likely")
-        return self.work.write(alike(self.sets, likely, self.percent), f"{name}-links")
+        return self.confirmed(likely, name)
+
+    def confirmed(self, pairs: DataFrame, name: str) -> DataFrame:
+        return self.work.write(alike(self.sets, pairs, self.percent), f"{name}-links")
 
 
 def near_duplicates(
@@ -200,7 +203,7 @@ def near_duplicates(
     registers = classes.select(F.col("rep").alias("item"), F.col("registers").alias("sketch")).join(involved.withColumnRenamed("id", "item"), "item", "left_semi")
     registers = work.write(registers.dropDuplicates(["item"]), "registers")
     check = _Pairs(classes, sets, percent, work)
-    labels = link_members(members, check.links, work, registers, partial(estimated, percent))
+    labels = link_members(members, check.links, work, registers, partial(estimated, percent), check.confirmed)
     groups = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "k1", "k2", F.coalesce("component", "rep").alias("component_id")
     )
