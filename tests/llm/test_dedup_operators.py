@@ -149,6 +149,28 @@ def test_lines_of_edge_rows(spark):
     assert line_dedup.dedup_lines(empty_documents(spark)).count() == 0
 
 
+def op7_and_stage(spark, rows, folder):
+    """(lines, removed) by id of the query, and texts by id of the pipeline's stage."""
+    docs = [(i, t, "en", "s", len(t)) for i, t in rows]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    found = queries()["op7_line_dedup"](spark, str(folder)).collect()
+    stage = corpus_pipeline.drop_similar_lines(spark, spark.read.parquet(f"{folder}/documents.parquet"), str(folder)).collect()
+    return {r["doc_id"]: (r["n_lines"], r["n_removed"]) for r in found}, {r["doc_id"]: r["text"] for r in stage}
+
+
+def test_lines_that_differ_in_one_digit(spark, tmp_path):
+    """Anywhere in a line of 49 to 80 characters, at its end from 40 on."""
+    rng = random.Random(11)
+    rows = []
+    for n in range(40, 81):
+        line = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+        at = rng.randrange(n) if n >= 49 else n - 1
+        rows += [(2 * n, f"{line[:at]}1{line[at + 1 :]}"), (2 * n + 1, f"{line[:at]}2{line[at + 1 :]}")]
+    found, kept = op7_and_stage(spark, rows, tmp_path)
+    assert found == {i: (1, i % 2) for i, _ in rows}
+    assert kept == {i: t for i, t in rows if i % 2 == 0}
+
+
 def plain_repeats(rows, window):
     starts = Counter()
     for _, text in rows:
