@@ -25,7 +25,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_similar_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that stand elsewhere too; a document that loses its last word goes."""
-    kept = line_dedup.dedup_lines(docs, percent=80, shingle=5)
+    kept = line_dedup.dedup_lines(docs, percent=80, shingle=5, least_chars=1)
     worded = (F.col("_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
     length = F.when(F.col("_removed") == 0, F.col("n_chars")).otherwise(F.char_length("text"))
     return kept.where(worded).withColumn("n_chars", length).select(*docs.columns)

@@ -157,8 +157,9 @@ def dedup_lines(
     """All rows and columns, with similar lines removed from the text, and two columns more.
 
     Lines (between line feeds) are similar if their shingle sets share at least ``percent`` of their
-    union; of a group the line that stands first stays, by id, then by the text's hash, then by place. Lines shorter
-    than ``least_chars`` characters, and lines without a word, stay. ``_lines`` counts a text's lines and ``_removed`` those
+    union; of a group the line that stands first stays, by id, then by the text's hash, then by place. A line
+    shorter than a shingle is one shingle, so only its copies are similar. Lines without a word stay, and
+    those shorter than ``least_chars`` characters; with 1 every line with a word takes part. ``_lines`` counts a text's lines and ``_removed`` those
     taken out. A null text stays null and has no lines. Rows that share id and text keep the same lines; a null
     id comes first. An empty table gives no rows; any other columns pass through, but for older ones of the two names.
     """

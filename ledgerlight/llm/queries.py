@@ -84,7 +84,7 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    kept = line_dedup.dedup_lines(docs, percent=80, shingle=5)
+    kept = line_dedup.dedup_lines(docs, percent=80, shingle=5, least_chars=1)
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
     return kept.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"), digest.alias("kept_sha256"))
 

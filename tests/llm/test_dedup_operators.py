@@ -171,6 +171,21 @@ def test_lines_that_differ_in_one_digit(spark, tmp_path):
     assert kept == {i: t for i, t in rows if i % 2 == 0}
 
 
+def test_short_lines_have_copies_too(spark, tmp_path):
+    """Of copies of a line one stays, down to one character; edge rows as in the plain version."""
+    rng = random.Random(12)
+    stock = ["Home", "Read more", "Read mode", "今日は晴れです。", "x", "é", " \t", "", "Chapter 10, part 1", "Chapter 10, part 2", "read MORE\t"]
+    rows = [(i, "\n".join(rng.choice(stock) if rng.random() < 0.8 else sentence(rng, 1) for _ in range(5))) for i in range(30)]
+    found, kept = op7_and_stage(spark, rows, tmp_path)
+    gone, stays = defaultdict(set), {}
+    for k, at, group in plain_lines(rows, 80, 5, 1):
+        if stays.setdefault(group, (k, at)) != (k, at):
+            gone[k].add(at)
+    assert found == {i: (5, len(gone[i])) for i, _ in rows}
+    expected = {i: "\n".join(x for at, x in enumerate(t.split("\n")) if at not in gone[i]) for i, t in rows}
+    assert kept == {i: t for i, t in expected.items() if not gone[i] or spaced(t)}
+
+
 def plain_repeats(rows, window):
     starts = Counter()
     for _, text in rows:
