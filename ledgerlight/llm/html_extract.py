@@ -7,7 +7,8 @@ node's importance is one minus the mean entropy of its features: near 0 where
 all pages say the same, 1 where every page says something else. For inner nodes the variety
 of their child sequences (presentation) counts beside that of their content.
 Copies of a page count once. Branches of low importance are removed from each page,
-besides what names itself as menu, form, advert, comment and the like.
+besides what names itself as menu, form, advert, comment and the like. A name is a whole class, id or role; where
+branches so named hold much of a page's text, they go only if their importance is low too.
 """
 
 from __future__ import annotations
@@ -35,7 +36,8 @@ SKIPPED = {
     "head", "nav", "footer", "aside", "form", "noscript", "template", "iframe", "svg", "math", "button", "select", "option",
     "dialog", "menu", "object", "canvas", "audio", "video",
 }
-CONTENT = {"article", "main"}
+CONTENT = {"article": 2, "main": 1}
+UNNAMED = {"html", "body", "main"}  # names on these, and on an article that is not inside another, say nothing
 CLOSED_BY_ITSELF = {"p", "li", "td", "th", "tr", "dt", "dd", "option"}
 # Words that name a part as something else than main text.
 NOISE_WORDS = {
@@ -44,6 +46,7 @@ NOISE_WORDS = {
     "comment", "comments", "respond", "disqus", "cookie", "cookies", "consent", "notice", "popup", "modal", "newsletter",
     "subscribe", "share", "sharing", "social", "related", "widget", "pagination", "pager", "skip", "toolbar",
 }
+MUCH = 0.5  # share of a page's text that a name alone does not remove
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""",
@@ -57,19 +60,28 @@ NODES = "host string, page long, path string, kind byte, feature long"
 
 
 class _Element:
-    __slots__ = ("children", "content", "noise", "path", "tag")
+    __slots__ = ("children", "content", "named", "noise", "path", "tag")
 
-    def __init__(self, tag: str, path: str, noise: bool, content: bool) -> None:
-        self.tag, self.path, self.noise, self.content = tag, path, noise, content
+    def __init__(self, tag: str, path: str, noise: bool, content: int, named: tuple[str, ...]) -> None:
+        self.tag, self.path, self.noise, self.content, self.named = tag, path, noise, content, named
         self.children: list[str] = []
 
 
-def page_blocks(html: str) -> tuple[list[tuple[str, str, bool, bool]], list[tuple[str, str]]]:
-    """Text blocks in page order as (path, text, in main content, in a part that names itself noise), and
-    the child sequence of each inner element."""
-    blocks: list[tuple[str, str, bool, bool]] = []
+def _says_noise(names: list[str], content: int) -> bool:
+    """Whether a whole name is made of noise words; a header inside the content is its title."""
+    for name in (x for value in names for x in value.split()):
+        words = set(_WORDS.findall(name))
+        if words and words <= NOISE_WORDS and not (content and words <= {"header"}):
+            return True
+    return False
+
+
+def page_blocks(html: str) -> tuple[list[tuple[str, str, int, bool, tuple[str, ...]]], list[tuple[str, str]]]:
+    """Text blocks in page order as (path, text, in main content (2: in an article), in an element that is
+    no text, paths of the branches around it that name themselves noise), and the child sequence of each inner element."""
+    blocks: list[tuple[str, str, int, bool, tuple[str, ...]]] = []
     shapes: list[tuple[str, str]] = []
-    stack = [_Element("", "", False, False)]
+    stack = [_Element("", "", False, 0, ())]
     parts: list[str] = []
 
     def flush() -> None:
@@ -78,7 +90,7 @@ def page_blocks(html: str) -> tuple[list[tuple[str, str, bool, bool]], list[tupl
             parts.clear()
             if text.strip():
                 top = stack[-1]
-                blocks.append((top.path, text, top.content, top.noise))
+                blocks.append((top.path, text, top.content, top.noise, top.named))
 
     def close(depth: int) -> None:
         while len(stack) > depth:
@@ -125,13 +137,16 @@ def page_blocks(html: str) -> tuple[list[tuple[str, str, bool, bool]], list[tupl
         parent = stack[-1]
         style = ".".join([tag, *(_DIGITS.sub("0", x) for x in names)])
         parent.children.append(style)
-        noisy = tag in SKIPPED or any(w in NOISE_WORDS for x in names for w in _WORDS.findall(x))
-        if tag in CONTENT and not noisy:
-            content, noise = True, False
+        path = f"{parent.path}/{style}"
+        if tag in CONTENT:
+            content, noise = max(parent.content, CONTENT[tag]), False
         else:
             content = parent.content
-            noise = parent.noise or noisy or (tag == "header" and not content)
-        stack.append(_Element(tag, f"{parent.path}/{style}", noise, content))
+            noise = parent.noise or tag in SKIPPED or (tag == "header" and not content)
+        named = () if tag in UNNAMED else parent.named
+        if names and tag not in UNNAMED and not (tag == "article" and parent.content < 2) and _says_noise(names, content):
+            named = (*named, path)
+        stack.append(_Element(tag, path, noise, content, named))
         if rest.endswith("/") and tag in ("svg", "iframe"):
             close(len(stack) - 1)
     flush()
@@ -155,7 +170,7 @@ def _node_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             blocks, shapes = page_blocks(html)
             page = _hash(html)
-            seen = {(path, 0, _hash(text)) for path, text, _, _ in blocks} | {(path, 1, _hash(shape)) for path, shape in shapes if shape}
+            seen = {(path, 0, _hash(text)) for path, text, *_ in blocks} | {(path, 1, _hash(shape)) for path, shape in shapes if shape}
             hosts += [host] * len(seen)
             pages += [page] * len(seen)
             for path, kind, feature in seen:
@@ -219,11 +234,18 @@ def main_text(html: str, noise: set[str]) -> str:
         return False
 
     kept = [b for b in blocks if not b[3]]
-    if any(content for _, _, content, _ in kept):
+    sizes: dict[str, int] = {}
+    for b in kept:
+        for path in b[4]:
+            sizes[path] = sizes.get(path, 0) + len(b[1].strip())
+    much = MUCH * sum(len(b[1].strip()) for b in kept)
+    gone = {path for path, size in sizes.items() if size <= much or dropped(path)}
+    kept = [b for b in kept if gone.isdisjoint(b[4])]
+    if any(b[2] for b in kept):
         kept = [b for b in kept if b[2]]
     if noise:
         kept = [b for b in kept if not dropped(b[0])]
-    return "\n".join(t for t in (clean(text) for _, text, _, _ in kept) if t)
+    return "\n".join(t for t in (clean(text) for _, text, *_ in kept) if t)
 
 
 # A list of this many noisy branches, all told, goes to every worker; a longer one is joined by host.

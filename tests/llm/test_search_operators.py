@@ -215,3 +215,22 @@ def test_style_tree_finds_what_all_pages_say(spark):
     for i, _, html in pages:
         assert texts[i].split("\n")[:3] == re.findall(r"<p>([^<]*)</p>", html)[1:]
         assert "Welcome" not in texts[i]
+
+
+@pytest.mark.parametrize("page", [
+    '<body class="no-sidebar" id="menu"><p>Text</p></body>', '<body><main class="with-sidebar menu"><p>Text</p></main></body>',
+    '<article class="post category-social tag-ads comments-open"><p>Text</p></article>', '<article class="sponsored"><p>Text</p></article>',
+    '<article><div class="entry-header"><h1>Text</h1></div></article>', '<article><div class="header">Text</div></article>',
+    '<div class="widget"><article>Text</article></div><nav>Menu</nav>', '<div class="promo"><main>Text</main></div><div>Some longer text beside it</div>',
+    '<div class="main share"><p>Text</p><div class="ad-banner">Ad</div></div>',
+])
+def test_names_alone_do_not_empty_a_page(page):
+    assert html_extract.main_text(f"<html>{page}</html>", set()) == "Text"
+
+
+def test_importance_confirms_names_of_large_branches():
+    page = "<html><body><p>Text</p><div class='related'><p>Much more than the text of it</p></div><div class='ad'>Ad</div></body></html>"
+    assert html_extract.main_text(page, set()) == "Text\nMuch more than the text of it"
+    assert html_extract.main_text(page, {"/html/body/div.related"}) == "Text"
+    thread = "<article><p>The text of it</p></article><section class='comments'><article class='comment'><p>Nice</p></article></section>"
+    assert html_extract.main_text(thread, set()) == "The text of it"
