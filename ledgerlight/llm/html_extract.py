@@ -6,7 +6,8 @@ blocks); a feature on d of the site's m pages has entropy log d / log m, and a
 node's importance is one minus the mean entropy of its features: near 0 where
 all pages say the same, 1 where every page says something else. For inner nodes the variety
 of their child sequences (presentation) counts beside that of their content.
-Copies of a page count once. Branches of low importance are removed from each page,
+Pages that say the same, menus and the like aside, count once. Branches of low importance are removed from each page,
+but not from an article, and not from a main element that would be left empty,
 besides what names itself as menu, form, advert, comment and the like. A name is a whole class, id or role; where
 branches so named hold much of a page's text, they go only if their importance is low too.
 """
@@ -169,8 +170,8 @@ def _node_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not html:
                 continue
             blocks, shapes = page_blocks(html)
-            page = _hash(html)
-            seen = {(path, 0, _hash(text)) for path, text, *_ in blocks} | {(path, 1, _hash(shape)) for path, shape in shapes if shape}
+            page = _hash(text_of(blocks, set()))
+            seen = {("", 2, 0)} | {(path, 0, _hash(text)) for path, text, *_ in blocks} | {(path, 1, _hash(shape)) for path, shape in shapes if shape}
             hosts += [host] * len(seen)
             pages += [page] * len(seen)
             for path, kind, feature in seen:
@@ -187,14 +188,14 @@ def _node_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Importance of each node of each host: ``(host, path, pages, importance)``."""
     rows = map_batches(pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")), _node_rows, NODES)
-    # Pages that hold a feature; a copy of a page has the same page number.
+    # Pages that hold a feature; pages that say the same have the same number.
     held = rows.distinct().groupBy("host", "path", "kind", "feature").agg(F.count("*").alias("d"))
     nodes = held.groupBy("host", "path", "kind").agg(
         F.sum("d").alias("n"), F.sum(F.col("d") * F.log("d")).alias("weighted"), F.max("d").alias("most")
     )
     nodes = Workspace(pages.sparkSession, "styles").write(nodes, "nodes")
-    # The root's child sequence is one feature per page, so it counts the site's pages.
-    site = nodes.where("path = '/html' AND kind = 1 OR path = ''").groupBy("host").agg(F.max("n").alias("m"))
+    # The feature of kind 2 is one per page, so it counts the site's pages.
+    site = nodes.where("kind = 2").groupBy("host").agg(F.max("n").alias("m"))
     sizes = nodes.groupBy("host").agg(F.max("most").alias("most")).join(site, "host", "left")
     sizes = sizes.select("host", F.greatest(F.coalesce("m", F.lit(1)), "most").alias("m"))
     depth = F.size(F.split("path", "/"))
@@ -224,8 +225,10 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def main_text(html: str, noise: set[str]) -> str:
     """The text of a page without noisy parts and without the branches in ``noise``."""
-    blocks, _ = page_blocks(html)
+    return text_of(page_blocks(html)[0], noise)
 
+
+def text_of(blocks: list[tuple[str, str, int, bool, tuple[str, ...]]], noise: set[str]) -> str:
     def dropped(path: str) -> bool:
         while path:
             if path in noise:
@@ -244,7 +247,9 @@ def main_text(html: str, noise: set[str]) -> str:
     if any(b[2] for b in kept):
         kept = [b for b in kept if b[2]]
     if noise:
-        kept = [b for b in kept if not dropped(b[0])]
+        left = [b for b in kept if b[2] == 2 or not dropped(b[0])]
+        # Main content stays whole where nothing else of it would be left.
+        kept = left if any(b[2] for b in left) else [b for b in kept if b[2] or not dropped(b[0])]
     return "\n".join(t for t in (clean(text) for _, text, *_ in kept) if t)
 
 

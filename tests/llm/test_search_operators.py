@@ -234,3 +234,27 @@ def test_importance_confirms_names_of_large_branches():
     assert html_extract.main_text(page, {"/html/body/div.related"}) == "Text"
     thread = "<article><p>The text of it</p></article><section class='comments'><article class='comment'><p>Nice</p></article></section>"
     assert html_extract.main_text(thread, set()) == "The text of it"
+
+
+def test_copies_of_an_article_count_once(spark):
+    """Under many urls, each copy with its own number in a comment, a script and an advert."""
+    rng = random.Random(13)
+    copied = "".join(f"<p>{sentence(rng, 12)}</p>" for _ in range(3))
+    pages = []
+    for i in range(40):
+        body = copied if i < 34 else "".join(f"<p>{sentence(rng, 12)}</p>" for _ in range(3))
+        for k, (begin, end) in enumerate([("<article><h2>Summary</h2>", "</article>"), ("<main>", "</main>"), ("<div class='text'>", "</div>")]):
+            html = f"<html><body><!-- {i} --><script>track({i})</script><div class='ad'>Ad {i}</div><div class='top'>Welcome</div>{begin}{body}{end}</body></html>"
+            pages.append((3 * i + k, f"http://site{k}.net/{i}", html))
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert {r["pages"] for r in html_extract.style_tree(table).collect()} == {7}
+    texts = {r["page_id"]: r["text"] for r in html_extract.extract_text(table).collect()}
+    for i, url, html in pages:
+        assert texts[i] == "\n".join((["Summary"] if "site0" in url else []) + re.findall(r"<p>([^<]*)</p>", html))
+
+
+def test_importance_leaves_no_main_content_empty():
+    page = "<html><body><div>Top</div><main><p>Text</p></main></body></html>"
+    assert html_extract.main_text(page, {"/html/body/main", "/html/body/div"}) == "Text"
+    assert html_extract.main_text(page.replace("</main>", "<div>More</div></main>"), {"/html/body/main/div"}) == "Text"
+    assert html_extract.main_text(page.replace("main>", "article>"), {"/html/body/article"}) == "Text"
