@@ -39,7 +39,8 @@ class Encoder:
     Texts are cut before a blank, around a line feed and between a letter and
     a mark, where the characters on both sides leave no doubt. The library's
     own rules part the text there too, so joining the ids of the pieces gives
-    the ids of the text. The memory holds at most ``remembered`` pieces; those
+    the ids of the text. A text that holds an added token, such as <|endoftext|>, goes through the
+    library whole, as pieces are cut inside of these. The memory holds at most ``remembered`` pieces; those
     not used for long are forgotten.
     """
 
@@ -48,7 +49,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(vocabulary(name))
-        self.library.encode_special_tokens = True
+        added = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
+        # Also in other cases of letters, as a token may be matched in lower case.
+        self.added = re.compile(b"|".join(map(re.escape, added)), re.I) if added else None
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         self.half = remembered // 2
         self.young: dict[bytes, bytes] = {}
@@ -116,6 +119,30 @@ class Encoder:
 
     def encode(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the block's texts one after the other, and how many each text has."""
+        if self.added is None:
+            return self._encode(block)
+        raw, bounds = block.data.tobytes(), block.bounds
+        places = np.array([m.start() for m in self.added.finditer(raw)], dtype=np.int64)
+        # A match over the edge of two texts sends the first through the library, which does no harm.
+        held = np.unique(np.searchsorted(bounds, places, side="right") - 1).tolist()
+        if not held:
+            return self._encode(block)
+        ids, counts, at = [], [], 0
+        for k in [*held, len(block)]:
+            if k > at:
+                part = Block(block.first + at, block.data[bounds[at] : bounds[k]], bounds[at : k + 1] - bounds[at])
+                found, many = self._encode(part)
+                ids.append(found)
+                counts.append(many)
+            if k < len(block):
+                found = np.array(self._ids(raw[bounds[k] : bounds[k + 1]].decode()), dtype=self.dtype)
+                ids.append(found)
+                counts.append(np.array([len(found)], dtype=np.int64))
+            at = k + 1
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def _encode(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts without added tokens."""
         data = LOWER[block.data] if self.plain else block.data
         starts, ends = self._cuts(data, block.bounds)
         # Equal pieces of a block are known by their 64-bit hashes and looked up once.

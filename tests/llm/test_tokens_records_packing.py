@@ -46,6 +46,22 @@ def test_pieces_give_the_ids_of_the_text(name, texts):
     assert encoded(encoder(name), texts) == [ids_of(name, t) for t in texts]
 
 
+@pytest.mark.parametrize("name", VOCABULARIES)
+def test_added_tokens_are_read_as_the_library_reads_them(name):
+    unchanged = Tokenizer.from_file(public_tokenizers.path(name))
+    added = [t.content for t in unchanged.get_added_tokens_decoder().values()]
+    assert added
+    rng = random.Random(14)
+    texts = ["", None, "plain text", "<|endof", "text|>", "<|ENDOFTEXT|>", "a<|endoftext|>b", *(f"é {t}{t} B{t}" for t in added)]
+    for _ in range(60):
+        texts.append(" ".join(rng.choice([*added, "a", "é日", "<|", "Word's 12!"]) + rng.choice(["", "b", "\n"]) for _ in range(rng.randrange(8))))
+    expected = [unchanged.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert encoded(encoder(name), texts) == expected
+    for size in (1, 30):
+        found = [code for block in blocks(pa.array(texts, pa.string()), size) for code in np.split(*(lambda ids, n: (ids, np.cumsum(n)[:-1]))(*encoder(name).encode(block)))]
+        assert [x.tolist() for x in found] == expected
+
+
 @pytest.mark.parametrize("name", VOCABULARIES)
 def test_memory_may_be_emptied_between_blocks(name):
     code = Encoder(name, remembered=20)
