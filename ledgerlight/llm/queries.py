@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlight.llm import (
+    align_tokens,
     binary_records,
     decontaminate,
     html_extract,
+    lexical_search,
     license_scan,
     line_dedup,
+    multi_index,
     near_dedup,
     packing,
     quality_rules,
@@ -107,6 +110,24 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select([F.col(c).alias(c.removeprefix("_quality_")) for c in judged.columns])
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return lexical_search.rank_documents(docs, benchmark, k=10, b=90)
+
+
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return multi_index.nearest_neighbours(table, F.col("vec_id") % 100 == 0, k=10, recall=0.95)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    aligned = align_tokens.align_tokens(docs, "byte_bpe_50k.json", "piece_bpe_32k.model")
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return aligned.withColumn("groups_sha256", digest).drop("groups")
+
+
 OP3_SQL = r"""
 WITH doc_words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -171,6 +192,52 @@ SELECT doc_id, n_words, n_removed, sha256(array_to_string(rest, ' ')) AS kept_sh
 """
 
 
+OP11_SQL = r"""
+WITH doc_terms AS (
+  SELECT row_number() OVER () AS place, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+held AS (SELECT place, doc_id, len(terms)::BIGINT AS n, terms FROM doc_terms WHERE len(terms) > 0),
+corpus AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS length FROM held),
+item_terms AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+postings AS (
+  SELECT place, doc_id, n, term, count(*)::BIGINT AS tf
+  FROM (SELECT place, doc_id, n, unnest(terms) AS term FROM held)
+  WHERE term IN (SELECT term FROM item_terms) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000.0::DOUBLE * ln((2.0::DOUBLE * docs + 2) / (2.0::DOUBLE * count(*) + 1)))::BIGINT AS w
+  FROM postings, corpus GROUP BY term, docs),
+scores AS (
+  SELECT item_id, place, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // length))))::BIGINT AS score
+  FROM item_terms JOIN postings USING (term) JOIN weights USING (term), corpus GROUP BY ALL),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+  FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
+# Exact neighbours. An index that sees all rows of a table, as it does up to 2,000 of them, finds just these.
+OP12_SQL = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         sqrt(list_reduce(list_transform(list_zip(c.v, q.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])), lambda a, b: a + b)) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank, vec_id, score FROM pairs)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_binary_records": op1_binary_records,
@@ -183,8 +250,17 @@ def queries() -> dict[str, Query]:
         "op8_html_extraction": op8_html_extraction,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_quality_rules": op10_quality_rules,
+        "op11_lexical_search": op11_lexical_search,
+        "op12_nearest_neighbours": op12_nearest_neighbours,
+        "op13_token_alignment": op13_token_alignment,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": OP3_SQL, "op6_url_filters": OP6_SQL, "op9_substring_dedup": OP9_SQL}
+    return {
+        "op3_decontamination": OP3_SQL,
+        "op6_url_filters": OP6_SQL,
+        "op9_substring_dedup": OP9_SQL,
+        "op11_lexical_search": OP11_SQL,
+        "op12_nearest_neighbours": OP12_SQL,
+    }
