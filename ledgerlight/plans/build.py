@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ledgerlight.context import RunContext
 from ledgerlight.operators import checks, contracts, dimensions, facts, funnel, mrr, retention, staging
 from ledgerlight.operators.contracts import CONTRACTS
+from ledgerlight.operators.mrr_carry import CarriedState
 from ledgerlight.operators.tables import MonthTable, changing_subscriptions, replace_table
 from ledgerlight.plans.check_list import declared_checks
 from ledgerlight.sources.readers import RawTables
@@ -75,7 +76,7 @@ def build_marts(
     """Write all marts below ``root`` and return them as stored.
 
     Events and payments take the lookback days again, subscriptions the ones that
-    can still change, MRR the lookback months. ``full_refresh`` rebuilds all.
+    can still change, MRR the lookback months, compared with each user's last stored row before these (``CarriedState``). ``full_refresh`` rebuilds all.
     Written rows are audited against their contract before they become visible.
     ``replace_months=True`` drops the stored MRR of the months that are taken again, so
     months that a subscription lost vanish. With ``failures`` all declared checks run after the
@@ -111,10 +112,13 @@ def build_marts(
     marts["fct_payments"] = load("fct_payments", payments)
     marts["fct_subscriptions"] = load("fct_subscriptions", subscriptions)
     hot = mrr.find_hot_users(marts["fct_subscriptions"], ctx)
-    marts["fct_mrr"] = load(
-        "fct_mrr",
-        lambda _, incremental: mrr.fct_mrr(marts["fct_subscriptions"], ctx, incremental=incremental, hot=hot),
-    )
+
+    def months(table: MonthTable, incremental: bool) -> DataFrame:
+        if incremental:
+            return CarriedState(spark, root, table).rows(marts["fct_subscriptions"], ctx, hot=hot)
+        return mrr.fct_mrr(marts["fct_subscriptions"], ctx, hot=hot)
+
+    marts["fct_mrr"] = load("fct_mrr", months)
     counts = retention.cohort_retention_asof(marts["fct_subscriptions"], marts["fct_events"], ctx)
     marts["fct_cohort_retention"] = _replace(
         spark, root, "fct_cohort_retention", retention.fct_cohort_retention(counts)

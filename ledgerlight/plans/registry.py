@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, DecimalType
 
 from ledgerlight.operators import checks, contracts, facts, mrr, retention, staging, tables
+from ledgerlight.operators.mrr_carry import CarriedState
 from ledgerlight.plans import billing, product, revenue
 from ledgerlight.plans.build import build_marts, check_build, mart_table
 from ledgerlight.plans.check_list import declared_checks
@@ -138,6 +139,16 @@ def _incremental_mrr(m: Marts) -> DataFrame:
     return mrr.fct_mrr(m.keyless_subscriptions, m.ctx, incremental=True, hot=m.hot_users)
 
 
+def _carried_mrr(m: Marts) -> DataFrame:
+    """The lookback months from the stored fact of a run two months earlier and the state read from it."""
+    earlier = replace(m.ctx, as_of=(m.ctx.as_of.replace(day=1) - timedelta(days=40)))
+    root = scratch_folder(m.raw.spark, "carried_mrr")
+    table = mart_table(m.raw.spark, root, "fct_mrr")
+    table.replace(mrr.fct_mrr(m.keyless_subscriptions, earlier, hot=m.hot_users))
+    rows = CarriedState(m.raw.spark, root, table).rows(m.keyless_subscriptions, m.ctx, hot=m.hot_users)
+    return rows.where(F.col("mrr_month") >= m.ctx.oldest_reloaded_month())
+
+
 def _rejected_payments(m: Marts) -> DataFrame:
     """Payments with an amount too large for five digits before the point."""
     return staging.rejected_rows(m.raw.payments, {"amount": "decimal(7,2)"}).select(
@@ -229,6 +240,7 @@ BATCH_QUERIES: dict[str, Callable[[Marts], DataFrame]] = {
     "upsert_payments": _upsert_payments,
     "upsert_subscriptions": _upsert_subscriptions,
     "incremental_mrr": _incremental_mrr,
+    "incremental_mrr_carried": _carried_mrr,
     "freshness": _event_freshness,
 }
 

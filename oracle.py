@@ -405,6 +405,8 @@ def _finals(ctx) -> dict[str, str]:
             FROM fct_mrr""",
         "incremental_mrr": _flat("fct_mrr", decimals="mrr prev_mrr mrr_delta", drop=KEYLESS)
         + f" WHERE mrr_month >= strftime({recent}, '%Y%m')",
+        "incremental_mrr_carried": _flat("fct_mrr", decimals="mrr prev_mrr mrr_delta", drop=KEYLESS)
+        + f" WHERE mrr_month >= strftime({recent}, '%Y%m')",
         "fct_cohort_retention": "SELECT * FROM fct_cohort_retention",
         "fct_user_funnel": _flat("fct_user_funnel", dates=FUNNEL_DATES, decimals="current_mrr"),
         "cohort_retention_asof": "SELECT * FROM int_cohort_retention",

@@ -6,6 +6,8 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 
 from ledgerlight.context import RunContext
 from ledgerlight.operators import facts, mrr, staging
+from ledgerlight.operators.mrr_carry import CarriedState, fct_mrr_window, window_start
+from ledgerlight.operators.tables import MonthTable
 from ledgerlight.plans import revenue
 from ledgerlight.sources.readers import plan_seed
 
@@ -166,3 +168,79 @@ def test_both_lanes_against_brute_force(spark, rows):
             for r in mrr.fct_mrr(subs, CTX, hot=hot).collect()
         )
         assert found == brute_force(rows)
+
+
+def stored_mrr(spark, root, subs, ctx):
+    table_ = MonthTable(spark, f"{root}/fct_mrr", "sk_mrr_id", "mrr_month", month_in_key=True)
+    table_.replace(mrr.fct_mrr(subs, ctx))
+    return table_
+
+
+RUNS = [date(2022, 5, 31), date(2022, 6, 2), date(2022, 8, 15), date(2023, 1, 10)]
+
+
+def test_carried_state_gives_the_rows_of_a_full_run_month_after_month(spark, tmp_path):
+    ctxs = [RunContext(as_of=d, reporting_start=date(2022, 1, 1)) for d in RUNS]
+    subs = subscriptions(spark, CASES)
+    stored = stored_mrr(spark, tmp_path, subs, ctxs[0])
+    states = CarriedState(spark, str(tmp_path), stored)
+    for ctx in ctxs[1:]:
+        rows = states.rows(subs, ctx)
+        full = {key(r) for r in mrr.fct_mrr(subs, ctx).collect()}
+        # Five months pass before the last run, so its window begins where the stored live rows end.
+        start = min(window_start(ctx).strftime("%Y%m"), "202208")
+        assert {key(r) for r in rows.collect()} == {r for r in full if r[1] >= start}
+        stored.upsert(rows)
+        assert {key(r) for r in stored.read().collect()} == full
+
+
+def test_only_months_between_two_windows_are_scanned(spark, tmp_path):
+    subs = subscriptions(spark, CASES)
+    stored = stored_mrr(spark, tmp_path, subs, CTX)
+    states = CarriedState(spark, str(tmp_path), stored)
+    first = states.before(date(2022, 3, 1), subs)
+    assert {r.user_id: (r.month_start, int(r.mrr)) for r in first.collect()} == {"U1": (date(2022, 2, 1), 49), "U2": (date(2022, 2, 1), 49), "U4": (date(2022, 1, 1), 99)}
+    for month in ("202201", "202202"):  # no longer needed
+        for path in (tmp_path / "fct_mrr").glob(f"version=*/mrr_month={month}/*.parquet"):
+            path.unlink()
+    later = states.before(date(2022, 5, 1), subs)
+    assert {r.user_id: r.month_start for r in later.collect()} == {
+        "U1": date(2022, 3, 1), "U2": date(2022, 4, 1), "U4": date(2022, 1, 1)
+    }
+
+
+def test_a_full_load_makes_older_states_invalid(spark, tmp_path):
+    stored = stored_mrr(spark, tmp_path, subscriptions(spark, CASES), CTX)
+    states = CarriedState(spark, str(tmp_path), stored)
+    assert states.before(window_start(CTX), subscriptions(spark, CASES)).count() == 3
+    fewer = subscriptions(spark, CASES[:2])
+    stored.replace(mrr.fct_mrr(fewer, CTX))
+    assert [r.user_id for r in states.before(window_start(CTX), fewer).collect()] == ["U1"]
+
+
+def test_only_changed_users_are_computed(spark, tmp_path):
+    subs = subscriptions(spark, CASES)
+    stored = stored_mrr(spark, tmp_path, subs, CTX)
+    changed = subscriptions(spark, CASES[:3] + [subscription("S4", "U2", "2022-04-01", "2022-07-20", 129, "cancelled")] + CASES[4:])
+    states = CarriedState(spark, str(tmp_path), stored)
+    rows = states.rows(changed, CTX, users=spark.createDataFrame([("U2",)], "user_id string"))
+    assert {r.user_id for r in rows.collect()} == {"U2"}
+    expected = {key(r) for r in mrr.fct_mrr(changed, CTX, incremental=True).collect() if r.user_id == "U2"}
+    assert {key(r) for r in rows.collect()} == expected
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(one_subscription, min_size=1, max_size=8))
+def test_carried_state_of_random_histories_in_both_lanes(spark, tmp_path_factory, rows):
+    raw = [
+        subscription(f"id{i}", user, str(start), str(end) if end else None, amount, status)
+        for i, (user, start, end, amount, status) in enumerate(rows)
+    ]
+    subs, root = subscriptions(spark, raw), tmp_path_factory.mktemp("carry")
+    full = mrr.fct_mrr(subs, CTX)
+    if full.isEmpty():
+        return
+    states = CarriedState(spark, str(root), stored_mrr(spark, root, subs, CTX))
+    expected = {key(r) for r in mrr.fct_mrr(subs, CTX, incremental=True).collect()}
+    for hot in (None, all_split(subs)):
+        assert {key(r) for r in fct_mrr_window(subs, states.before(window_start(CTX), subs), CTX, hot=hot).collect()} == expected
