@@ -1,9 +1,10 @@
-"""Data checks: declared per table, counted in few jobs, failing rows kept.
+"""Data checks: declared per table, counted in one pass over each, failing rows kept.
 
-All row-level checks of a table (not null, accepted values, expressions, email)
-are counted in one aggregate over one scan. Uniqueness and relationship checks
-shuffle pre-aggregated keys, so a key that fills a third of the table travels as
-one row per task.
+A scan turns each row into a mask of the row-level checks it breaks (not null, accepted values, expressions, email) and one
+64-bit hash per key that has to be unique. Masks are few and combine map-side; hashes are
+counted in the same shuffle, for all tables together. Only a key of which some hash was met twice is looked at again, by its
+exact values. Relationship checks shuffle distinct keys per task with their counts, so a key that fills a third of the
+table travels as one row per task, and a fact with several foreign keys is scanned once.
 """
 
 from __future__ import annotations
@@ -12,9 +13,10 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ledgerlight.session import path_exists
+
 RESULT_COLUMNS = ["table_name", "check_type", "column_name", "detail", "severity", "failures", "status"]
 
 # Fixed value: what counts as an email address.
@@ -126,28 +128,103 @@ def _result(check: Check, failures: Column) -> Column:
     return F.struct(*[v.alias(name) for v, name in zip(values, RESULT_COLUMNS, strict=True)])
 
 
-def _row_level_results(rows: DataFrame, checks: list[Check]) -> DataFrame:
-    counted = rows.agg(*[F.count_if(row_failure(c)).alias(f"failures_{i}") for i, c in enumerate(checks)])
-    results = F.array(*[_result(c, F.col(f"failures_{i}")) for i, c in enumerate(checks)])
-    return counted.select(F.inline(results))
+def _masked(checks: list[Check]) -> Column:
+    """The row-level checks that a row breaks, as bits; a check that gives NULL is not broken."""
+    bits = [F.when(row_failure(c), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, c in enumerate(checks)]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits) if bits else F.lit(0).cast("bigint")
+
+
+def _key_hash(check: Check) -> Column:
+    """The hash of a key, NULL where the key does not count."""
+    hashed = F.xxhash64(*check.columns)
+    return F.when(F.col(check.columns[0]).isNotNull(), hashed) if check.kind == "unique" else hashed
+
+
+def _measured(rows: DataFrame, number: int, row_level: list[Check], keys: list[Check]) -> DataFrame:
+    """``(table, part, value)`` per row: its mask as part -1, if any check is broken, and the hash of each key."""
+    mask = F.struct(F.lit(-1).alias("part"), F.nullif(_masked(row_level), F.lit(0).cast("bigint")).alias("value"))
+    hashes = [F.struct(F.lit(i).alias("part"), _key_hash(c).alias("value")) for i, c in enumerate(keys)]
+    parts = rows.select(F.explode(F.array(*([mask] if row_level else []), *hashes)).alias("m"))
+    return parts.select(F.lit(number).alias("table"), "m.part", "m.value").where("value IS NOT NULL")
+
+
+# Bits of a mask that are used; a table with more row-level checks is scanned once per so many.
+MASK_BITS = 62
+
+
+def _one_pass(tables: Mapping[str, DataFrame], checks: list[Check]) -> tuple[dict[Check, int], list[Check]]:
+    """Failures of row-level checks, and the keys of which some hash was met twice; one job."""
+    groups: list[tuple[str, list[Check], list[Check]]] = []
+    for table in dict.fromkeys(c.table for c in checks):
+        row_level = [c for c in checks if c.table == table and c.kind in ROW_KINDS]
+        keys = [c for c in checks if c.table == table and c.kind not in ROW_KINDS]
+        cuts = range(0, max(len(row_level), 1), MASK_BITS)
+        groups += [(table, row_level[i : i + MASK_BITS], keys if i == 0 else []) for i in cuts]
+    measured = [_measured(tables[t], number, row_level, keys) for number, (t, row_level, keys) in enumerate(groups)]
+    counted = reduce(DataFrame.unionByName, measured).groupBy("table", "part", "value").agg(F.count("*").alias("n"))
+    # A mask counts for each of its bits, a hash met twice for its key: one row per check at most.
+    bits = F.filter(F.sequence(F.lit(0), F.lit(MASK_BITS - 1)), lambda i: F.getbit("value", i) == 1)
+    failed = counted.where("part = -1 OR n > 1").withColumn("bit", F.explode(F.when(F.col("part") == -1, bits).otherwise(F.array(F.lit(-1)))))
+    found = {(r["table"], r["part"], r["bit"]): r["n"] for r in failed.groupBy("table", "part", "bit").agg(F.sum("n").alias("n")).collect()}
+    broken, repeated = {}, []
+    for number, (_, row_level, keys) in enumerate(groups):
+        broken |= {c: found.get((number, -1, bit), 0) for bit, c in enumerate(row_level)}
+        repeated += [c for part, c in enumerate(keys) if (number, part, -1) in found]
+    return broken, repeated
+
+
+def _orphan_counts(tables: Mapping[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """Results of relationship checks: every fact and every parent is scanned once.
+
+    Distinct keys with their counts meet the parents' keys; a Bloom filter in their place would let
+    some orphans through.
+    """
+    parents = list(dict.fromkeys((c.parent, c.parent_column) for c in checks))
+    children = []
+    for table in dict.fromkeys(c.table for c in checks):
+        keys = [
+            F.struct(F.lit(i).alias("check"), F.lit(parents.index((c.parent, c.parent_column))).alias("parent"), F.col(c.columns[0]).cast("string").alias("key"))
+            for i, c in enumerate(checks) if c.table == table
+        ]
+        children.append(tables[table].select(F.inline(F.array(*keys))).where("key IS NOT NULL"))
+    counted = reduce(DataFrame.unionByName, children).groupBy("parent", "key", "check").agg(F.count("*").alias("n"))
+    known = [
+        tables[name].select(F.lit(i).alias("parent"), F.col(column).cast("string").alias("key")) for i, (name, column) in enumerate(parents)
+    ]
+    orphans = counted.join(reduce(DataFrame.unionByName, known).distinct(), ["parent", "key"], "left_anti")
+    # Grouped first, so the list holds a number per check.
+    per_check = orphans.groupBy("check").agg(F.sum("n").alias("n"))
+    failures = per_check.agg(F.map_from_entries(F.collect_list(F.struct("check", "n"))).alias("failures"))
+    results = [_result(c, F.coalesce(F.try_element_at("failures", F.lit(i)), F.lit(0).cast("bigint"))) for i, c in enumerate(checks)]
+    return failures.select(F.inline(F.array(*results)))
 
 
 def _key_results(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
-    bad = failing_rows(check, tables)
-    # A repeated key is one failure; an orphaned key counts every row that carries it.
-    failures = F.coalesce(F.sum("n_records"), F.lit(0)) if check.kind == "relationships" else F.count("*")
-    return bad.agg(failures.alias("failures")).select(F.inline(F.array(_result(check, F.col("failures")))))
+    # A repeated key is one failure.
+    counted = failing_rows(check, tables).agg(F.count("*").alias("failures"))
+    return counted.select(F.inline(F.array(_result(check, F.col("failures")))))
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
-    """One result row per check: failures, and pass, warn or fail."""
+    """One result row per check: failures, and pass, warn or fail.
+
+    Row-level and uniqueness checks run at once, in one job over all tables; keys with a repeated hash
+    are counted exactly and relationships looked up when the result is read.
+    """
     checks = list(checks)
+    measured = [c for c in checks if c.kind != "relationships"]
+    related = [c for c in checks if c.kind == "relationships"]
     results = []
-    for table in dict.fromkeys(c.table for c in checks):
-        row_level = [c for c in checks if c.table == table and c.kind in ROW_KINDS]
-        if row_level:
-            results.append(_row_level_results(tables[table], row_level))
-    results += [_key_results(c, tables) for c in checks if c.kind not in ROW_KINDS]
+    if measured:
+        broken, repeated = _one_pass(tables, measured)
+        known = broken | {c: 0 for c in measured if c.kind not in ROW_KINDS and c not in repeated}
+        if known:
+            spark = next(iter(tables.values())).sparkSession
+            one = spark.range(1).select(F.inline(F.array(*[_result(c, F.lit(n)) for c, n in known.items()])))
+            results.append(one)
+        results += [_key_results(c, tables) for c in repeated]
+    if related:
+        results.append(_orphan_counts(tables, related))
     return reduce(DataFrame.unionByName, results)
 
 
@@ -162,15 +239,32 @@ def store_failures(check: Check, tables: Mapping[str, DataFrame], root: str) ->
     return path
 
 
+FAILED_CHECK = "failed_check"
+
+
+def store_failing_rows(table: str, tables: Mapping[str, DataFrame], checks: list[Check], root: str) -> DataFrame | None:
+    """Write the failing rows of all row-level checks of a table in one scan, whatever fails.
+
+    The rows lie below ``<root>/<table>/rows/failed_check=<kind>__<columns>``, once for each check they break, and take the
+    place of an earlier run's. The result reads them back; None if the table has no such check.
+    """
+    own = [c for c in checks if c.table == table and c.kind in ROW_KINDS]
+    if not own:
+        return None
+    names = F.array_compact(F.array(*[F.when(row_failure(c), F.lit(failures_path(c, "").rsplit("/", 1)[1])) for c in own]))
+    rows = tables[table].withColumn(FAILED_CHECK, F.explode(names))
+    path = f"{root}/{table}/rows"
+    rows.write.mode("overwrite").partitionBy(FAILED_CHECK).parquet(path)
+    schema = tables[table].schema.add(FAILED_CHECK, "string")
+    return tables[table].sparkSession.read.schema(schema).parquet(path)
+
+
 def clear_failures(check: Check, spark: SparkSession, root: str) -> None:
     """Leave no rows of an earlier run behind for a check that passes now."""
     path = failures_path(check, root)
-    try:
-        schema = spark.read.parquet(path).schema
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, path):
         return
+    schema = spark.read.parquet(path).schema
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 
 

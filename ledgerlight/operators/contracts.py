@@ -2,17 +2,19 @@
 
 ``enforce`` settles names and types when the plan is built, before any job runs.
 ``violations`` counts what only the data can tell, and ``audit`` refuses rows
-that break the contract; stored tables run it on written rows before they publish.
+that break the contract. Stored tables check written rows before they publish; ``WriteAudit`` counts NULLs in the write itself.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.types import StructType
 
+from ledgerlight.operators import checks
+from ledgerlight.operators.checks import Check
+
 # One line per column: name, type, and "!" where NULL is not allowed.
 DIM_PLANS = """
 sk_plan_id string !
@@ -379,41 +381,57 @@ def enforce(rows: DataFrame, contract: Contract) -> DataFrame:
     return rows.select(columns)
 
 
+def _rules(contract: Contract) -> list[Check]:
+    rules = [checks.not_null(contract.table, c) for c in contract.required]
+    return rules + ([checks.unique(contract.table, contract.primary_key)] if contract.primary_key else [])
+
+
+def _report(tables: dict[str, DataFrame], contracts: list[Contract]) -> DataFrame:
+    found = checks.run_checks(tables, [rule for c in contracts for rule in _rules(c)])
+    rule = F.when(F.col("check_type") == "unique", "primary_key").otherwise(F.col("check_type"))
+    return found.select("table_name", rule.alias("rule"), "column_name", F.col("failures").alias("violations"))
+
+
 def violations(rows: DataFrame, contract: Contract) -> DataFrame:
-    """One row per rule: NULLs per required column (one scan), and repeated primary keys."""
-    counts = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in contract.required])
-    results = F.array(*[
-        F.struct(
-            F.lit(contract.table).alias("table_name"),
-            F.lit("not_null").alias("rule"),
-            F.lit(c).alias("column_name"),
-            F.col(c).alias("violations"),
-        )
-        for c in contract.required
-    ])
-    report = counts.select(F.inline(results))
-    if contract.primary_key is None:
-        return report
-    key = contract.primary_key
-    repeated = rows.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1")
-    return report.unionByName(
-        repeated.agg(F.count("*").alias("violations")).select(
-            F.lit(contract.table).alias("table_name"),
-            F.lit("primary_key").alias("rule"),
-            F.lit(key).alias("column_name"),
-            "violations",
-        )
-    )
+    """One row per rule: NULLs per required column, and repeated primary keys; one scan."""
+    return _report({contract.table: rows}, [contract])
 
 
 def contract_report(marts: dict[str, DataFrame]) -> DataFrame:
-    """The rules of several marts in one table."""
-    parts = [violations(enforce(rows, CONTRACTS[name]), CONTRACTS[name]) for name, rows in marts.items()]
-    return reduce(DataFrame.unionByName, parts)
+    """The rules of several marts in one table; each mart is scanned once."""
+    return _report({name: enforce(rows, CONTRACTS[name]) for name, rows in marts.items()}, [CONTRACTS[name] for name in marts])
+
+
+def _raise(contract: Contract, broken: list[tuple[str, str, int]]) -> None:
+    if broken:
+        raise ContractBroken("; ".join(f"{contract.table}.{column} {rule}: {n}" for column, rule, n in broken))
 
 
 def audit(rows: DataFrame, contract: Contract) -> None:
     """Raise if rows break the contract; the message names rule, column and count."""
-    broken = violations(rows, contract).where("violations > 0").collect()
-    if broken:
-        raise ContractBroken("; ".join(f"{contract.table}.{r.column_name} {r.rule}: {r.violations}" for r in broken))
+    found = violations(rows, contract).where("violations > 0").collect()
+    _raise(contract, [(r.column_name, r.rule, r.violations) for r in found])
+
+
+class WriteAudit:
+    """An audit whose NULLs are counted by the job that writes the rows; only keys are looked at afterwards.
+
+    Good for one write. The counts tell none from some; a task that ran twice may count its rows twice.
+    """
+
+    def __init__(self, contract: Contract) -> None:
+        self.contract = contract
+        self.observed = Observation()
+
+    def watched(self, rows: DataFrame) -> DataFrame:
+        return rows.observe(self.observed, *[F.count_if(F.col(c).isNull()).alias(c) for c in self.contract.required])
+
+    def check(self, written: DataFrame, unique: str | None = None) -> None:
+        """Raise if the written rows break the contract; the key ``unique`` is known to have no repeats."""
+        nulls = self.observed.get
+        broken = [(c, "not_null", nulls[c]) for c in self.contract.required if nulls.get(c)]
+        key = self.contract.primary_key
+        if key is not None and key != unique:
+            (found,) = checks.run_checks({self.contract.table: written}, [checks.unique(self.contract.table, key)]).collect()
+            broken += [(key, "primary_key", found.failures)] if found.failures else []
+        _raise(self.contract, broken)

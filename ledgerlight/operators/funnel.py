@@ -58,31 +58,50 @@ MILESTONES = {
 }
 
 
-def user_milestones(events: DataFrame) -> DataFrame:
-    """First date per milestone, deepest stage and number of distinct stages per user.
+STATE_COLUMNS = ["user_id", *MILESTONES, "stage_bits"]
+
+
+def milestone_state(events: DataFrame) -> DataFrame:
+    """What the funnel keeps of a user's events: the first date per milestone, and a bit per stage reached.
 
     A funnel event name and its stage number stand for each other, so the
     distinct names are counted as bits of one integer, and the deepest name is
     looked up by its number: no second aggregation, and no text in the buffer, which would make Spark sort all events.
+    Users without a funnel event have no row. Both parts only ever take the smaller date or add a bit, so states
+    can be merged in any order and any number of times.
     """
     name, stage = F.col("event_name"), F.col("funnel_stage_order")
-    name_of = F.create_map(*[F.lit(x) for n in FUNNEL_EVENTS for x in (FUNNEL_STAGES[n], n)])
     first_dates = [
         F.min(F.when(name == event, F.col("event_date"))).alias(column) for column, event in MILESTONES.items()
     ]
     stage_bit = F.call_function("shiftleft", F.lit(1), stage)
-    return (
-        events.where("is_funnel_event")
-        .groupBy("user_id")
-        .agg(
-            *first_dates,
-            F.max(stage).alias("highest_funnel_stage_order"),
-            F.bit_count(F.bit_or(stage_bit)).cast("bigint").alias("distinct_funnel_stages_reached"),
-        )
-        .withColumn("highest_funnel_stage_name", F.element_at(name_of, F.col("highest_funnel_stage_order")))
+    return events.where("is_funnel_event").groupBy("user_id").agg(*first_dates, F.bit_or(stage_bit).alias("stage_bits"))
+
+
+def merged_milestones(state: DataFrame, batch: DataFrame) -> DataFrame:
+    """The state after the events of ``batch``, itself a state. Late and repeated events do no harm."""
+    both = state.select(STATE_COLUMNS).unionByName(batch.select(STATE_COLUMNS))
+    return both.groupBy("user_id").agg(*[F.min(c).alias(c) for c in MILESTONES], F.bit_or("stage_bits").alias("stage_bits"))
+
+
+def milestones(state: DataFrame) -> DataFrame:
+    """First date per milestone, deepest stage and number of distinct stages per user, from the state."""
+    name_of = F.create_map(*[F.lit(x) for n in FUNNEL_EVENTS for x in (FUNNEL_STAGES[n], n)])
+    deepest = F.length(F.bin("stage_bits")) - 1
+    return state.select(
+        "user_id",
+        *MILESTONES,
+        deepest.alias("highest_funnel_stage_order"),
+        F.bit_count("stage_bits").cast("bigint").alias("distinct_funnel_stages_reached"),
+        F.element_at(name_of, deepest).alias("highest_funnel_stage_name"),
     )
 
 
+def user_milestones(events: DataFrame) -> DataFrame:
+    """The milestones of each user with funnel events, read off all events."""
+    return milestones(milestone_state(events))
+
+
 def user_subscription_state(subscriptions: DataFrame, ctx: RunContext) -> DataFrame:
     """Subscriptions of a user as one row; the latest start decides MRR and reason.
 
@@ -107,11 +126,12 @@ def fct_user_funnel(
     Users without funnel events have a NULL stage count; ``zero_stages=True``
     gives 0 instead.
     """
-    joined = (
-        users.select(FUNNEL_COLUMNS[:8])
-        .join(user_milestones(events), "user_id", "left")
-        .join(user_subscription_state(subscriptions, ctx), "user_id", "left")
-    )
+    return funnel_of(user_milestones(events), user_subscription_state(subscriptions, ctx), users, zero_stages=zero_stages)
+
+
+def funnel_of(reached: DataFrame, subscribed: DataFrame, users: DataFrame, *, zero_stages: bool = False) -> DataFrame:
+    """The snapshot from the milestones and the subscription state of users."""
+    joined = users.select(FUNNEL_COLUMNS[:8]).join(reached, "user_id", "left").join(subscribed, "user_id", "left")
     signed_up = F.coalesce("signed_up_event_date", "signed_up_at")
     stages = F.col("distinct_funnel_stages_reached")
     return joined.withColumns({

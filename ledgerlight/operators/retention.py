@@ -43,7 +43,7 @@ def _rate(kept: str, total: str) -> Column:
     return F.round(F.try_divide(kept_col, total_col), 4).cast(RATE)
 
 
-def _with_rates(counts: DataFrame) -> DataFrame:
+def with_rates(counts: DataFrame) -> DataFrame:
     return counts.withColumns({
         "retention_rate": _rate("retained_users", "total_users"),
         "activated_retention_rate": _rate("activated_retained_users", "activated_total_users"),
@@ -67,7 +67,7 @@ def cohort_retention_asof(subscriptions: DataFrame, events: DataFrame, ctx: RunC
             F.count_if(known & ~activated & kept).alias("non_activated_retained_users"),
         )
     )
-    return _with_rates(counts)
+    return with_rates(counts)
 
 
 def cohort_retention_triangle(subscriptions: DataFrame, events: DataFrame, ctx: RunContext) -> DataFrame:
@@ -97,7 +97,7 @@ def cohort_retention_triangle(subscriptions: DataFrame, events: DataFrame, ctx:
         counted(~activated).alias("non_activated_total_users"),
         counted(~activated & kept).alias("non_activated_retained_users"),
     )
-    return _with_rates(counts)
+    return with_rates(counts)
 
 
 def fct_cohort_retention(retention: DataFrame) -> DataFrame:

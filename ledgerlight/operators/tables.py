@@ -15,12 +15,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date
+from typing import Protocol
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlight.context import RunContext
+from ledgerlight.session import path_exists
 
 MONTH_LISTS = "month_lists"
 MONTH_LIST_SCHEMA = "publish int, month string, version int"
@@ -30,8 +31,27 @@ DAY_COLUMN = "partition_day"
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
+class Watcher(Protocol):
+    """An audit that also rides on the write of the rows it looks at."""
+
+    def watched(self, rows: DataFrame) -> DataFrame: ...
+
+    def check(self, written: DataFrame, unique: str | None = None) -> None: ...
+
+
 # Looks at written rows before they are published; raises to stop the publish.
-Audit = Callable[[DataFrame], None]
+Audit = Callable[[DataFrame], None] | Watcher
+
+
+def _watched(rows: DataFrame, audit: Audit | None) -> DataFrame:
+    return audit.watched(rows) if hasattr(audit, "watched") else rows
+
+
+def _run_audit(audit: Audit | None, written: DataFrame, unique: str | None = None) -> None:
+    if hasattr(audit, "check"):
+        audit.check(written, unique)
+    elif audit is not None:
+        audit(written)
 
 
 def any_rows(rows: DataFrame) -> bool:
@@ -79,12 +99,9 @@ class MonthTable:
 
     def _published(self) -> tuple[int, dict[str, int]]:
         """The newest publish and its months; one row per calendar month."""
-        try:
-            lists = self.spark.read.schema(MONTH_LIST_SCHEMA).json(f"{self.root}/{MONTH_LISTS}")
-        except AnalysisException as problem:
-            if problem.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not path_exists(self.spark, f"{self.root}/{MONTH_LISTS}"):
             return 0, {}
+        lists = self.spark.read.schema(MONTH_LIST_SCHEMA).json(f"{self.root}/{MONTH_LISTS}")
         newest = lists.agg(F.max("publish")).scalar()
         rows = lists.where(F.col("publish") == newest).collect()
         return rows[0].publish, {r.month: r.version for r in rows if r.month is not None}
@@ -132,10 +149,9 @@ class MonthTable:
     def _publish(self, rows: DataFrame, publish: int, keep: dict[str, int], audit: Audit | None = None) -> None:
         target = f"{self.root}/version={publish}"
         # Rebalance joins small pieces of a month and splits a month that is too large for one file.
-        rows.hint("rebalance", self.month).write.mode("overwrite").partitionBy(self.month).parquet(target)
+        _watched(rows, audit).hint("rebalance", self.month).write.mode("overwrite").partitionBy(self.month).parquet(target)
         written = self.spark.read.schema(rows.schema).parquet(target)
-        if audit is not None:
-            audit(self._uncut(written))
+        _run_audit(audit, self._uncut(written))
         listed = dict(keep)
         if any_rows(written):
             listed |= {r[0]: publish for r in written.select(self._label()).distinct().collect()}
@@ -164,14 +180,13 @@ class MonthTable:
         publish, listed = self._published()
         # Written once: the batch is read several times below, and a lost executor costs no rerun of its plan.
         incoming_path = f"{self.root}/{INCOMING}/{uuid.uuid4().hex}"
-        batch.write.parquet(incoming_path)
+        _watched(batch, audit).write.parquet(incoming_path)
         batch = self.spark.read.schema(batch.schema).parquet(incoming_path)
         if not any_rows(batch):
             return
         if any_rows(duplicate_keys(batch, self.key)):
             raise ValueError(f"batch repeats a value of {self.key}")
-        if audit is not None:
-            audit(batch)
+        _run_audit(audit, batch, self.key)
         if not listed:
             return self._publish(self._cut(batch), publish + 1, {})
         batch = self._cut(batch)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from datetime import timedelta
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -37,8 +36,8 @@ def mart_table(spark: SparkSession, root: str, name: str) -> MonthTable:
     return MonthTable(spark, f"{root}/{name}", key, month, month_in_key=month_in_key, day=DAY_COLUMNS.get(name))
 
 
-def _audited(name: str) -> Callable[[DataFrame], None]:
-    return partial(contracts.audit, contract=CONTRACTS[name])
+def _audited(name: str) -> contracts.WriteAudit:
+    return contracts.WriteAudit(CONTRACTS[name])
 
 
 def _replace(spark: SparkSession, root: str, name: str, rows: DataFrame) -> DataFrame:
@@ -72,6 +71,7 @@ def build_marts(
     full_refresh: bool = False,
     replace_months: bool = False,
     failures: str | None = None,
+    by_table: bool = False,
 ) -> dict[str, DataFrame]:
     """Write all marts below ``root`` and return them as stored.
 
@@ -80,7 +80,7 @@ def build_marts(
     Written rows are audited against their contract before they become visible.
     ``replace_months=True`` drops the stored MRR of the months that are taken again, so
     months that a subscription lost vanish. With ``failures`` all declared checks run after the
-    build, rows that fail go below that folder, and a failed check of severity ``error`` ends the run.
+    build, rows that fail go below that folder (``by_table``: in one scan per table, see ``check_tables``), and a failed check of severity ``error`` ends the run.
     """
     users = _replace(spark, root, "dim_users", dimensions.dim_users(staging.stg_users(raw.users)))
     plans = _replace_plans(spark, root, dimensions.dim_plans(staging.stg_plans(raw.plans)))
@@ -131,12 +131,13 @@ def build_marts(
         funnel.fct_user_funnel(marts["fct_events"], marts["fct_subscriptions"], users, ctx, zero_stages=True),
     )
     if failures is not None:
-        checks.require(check_build(spark, raw, ctx, root, marts, failures))
+        checks.require(check_build(spark, raw, ctx, root, marts, failures, by_table=by_table))
     return marts
 
 
 def check_build(
-    spark: SparkSession, raw: RawTables, ctx: RunContext, root: str, marts: Mapping[str, DataFrame], failures: str
+    spark: SparkSession, raw: RawTables, ctx: RunContext, root: str, marts: Mapping[str, DataFrame], failures: str,
+    *, by_table: bool = False,
 ) -> DataFrame:
     """Run all declared checks over a finished build: raw tables, staging, intermediate results and marts.
 
@@ -154,13 +155,14 @@ def check_build(
         replace_table(rows, f"{root}/staging/{name}")
         tables[name] = spark.read.parquet(f"{root}/staging/{name}")
     asof = retention.cohort_retention_asof(tables["stg_subscriptions"], tables["stg_events"], ctx)
-    return check_tables(spark, tables | {"int_cohort_retention": asof} | dict(marts), failures)
+    return check_tables(spark, tables | {"int_cohort_retention": asof} | dict(marts), failures, by_table=by_table)
 
 
-def check_tables(spark: SparkSession, tables: Mapping[str, DataFrame], failures: str) -> DataFrame:
+def check_tables(spark: SparkSession, tables: Mapping[str, DataFrame], failures: str, *, by_table: bool = False) -> DataFrame:
     """Run every declared check the given tables allow; failing rows go below ``failures``.
 
-    The result has one row per check. Pass it to ``checks.require`` to end a run
+    With ``by_table`` the rows that break any row-level check of a table are written in one scan (``store_failing_rows``);
+    otherwise each failed check has a folder and a job of its own. The result has one row per check. Pass it to ``checks.require`` to end a run
     on errors; warnings only show.
     """
     chosen = [c for c in declared_checks() if c.table in tables and (not c.parent or c.parent in tables)]
@@ -168,7 +170,15 @@ def check_tables(spark: SparkSession, tables: Mapping[str, DataFrame], failures:
     # One row per check, kept so that the checks run once.
     found = results.collect()
     failed = {(r.table_name, r.check_type, r.column_name, r.detail) for r in found if r.failures}
+    broken = {c.table for c in chosen if (c.table, c.kind, c.column_name, c.detail) in failed and c.kind in checks.ROW_KINDS}
+    if by_table:
+        for table in dict.fromkeys(c.table for c in chosen):
+            # A table that breaks nothing has no rows to write, only those of an earlier run to take away.
+            rows = tables if table in broken else {**tables, table: tables[table].limit(0)}
+            checks.store_failing_rows(table, rows, chosen, failures)
     for check in chosen:
+        if by_table and check.kind in checks.ROW_KINDS:
+            continue
         if (check.table, check.kind, check.column_name, check.detail) in failed:
             checks.store_failures(check, tables, failures)
         else:

@@ -6,15 +6,18 @@ compared with another engine value by value; the load timestamp is left out.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import replace
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, DecimalType
 
-from ledgerlight.operators import checks, contracts, facts, mrr, retention, staging, tables
+from ledgerlight.operators import checks, contracts, facts, mrr, retention, staging, tables, user_bitmaps
+from ledgerlight.operators.funnel_state import FunnelState
 from ledgerlight.operators.mrr_carry import CarriedState
+from ledgerlight.operators.retention_state import RetentionState
 from ledgerlight.plans import billing, product, revenue
 from ledgerlight.plans.build import build_marts, check_build, mart_table
 from ledgerlight.plans.check_list import declared_checks
@@ -149,6 +152,87 @@ def _carried_mrr(m: Marts) -> DataFrame:
     return rows.where(F.col("mrr_month") >= m.ctx.oldest_reloaded_month())
 
 
+# Batches of the carried states: events and subscriptions up to these days, and the rest. Subscriptions that
+# a later batch changes come into an earlier one as they were before.
+FIRST_DAY, LAST_DAY = date(1900, 1, 1), date(9999, 12, 31)
+BATCH_ENDS = ((date(2024, 1, 12), date(1997, 6, 30)), (date(2024, 1, 22), date(1999, 12, 31)), (LAST_DAY, LAST_DAY))
+
+
+def _batches(m: Marts) -> Iterator[tuple[DataFrame, DataFrame, DataFrame]]:
+    """Three batches as (events, subscriptions, all subscriptions known after it).
+
+    Events of the last days before a batch are delivered again. A quarter of the subscriptions is in the first batch as an
+    active one without an end, and in the last as it is.
+    """
+    events, subs = m.keyless_events, m.keyless_subscriptions
+    changing = F.pmod(F.xxhash64("subscription_id"), F.lit(4)) == 0
+    begun = F.coalesce("trial_start_date", F.lit(FIRST_DAY + timedelta(days=1)))
+    before = {"is_active": F.lit(True), "is_churned": F.lit(False), "mrr": (F.col("mrr") + 1).cast("decimal(10,2)"), "cancel_reason": F.lit("as known first")}
+    early = subs.where(changing).withColumns(before)
+    floor = (FIRST_DAY, FIRST_DAY)
+    for number, (day, start) in enumerate(BATCH_ENDS):
+        last = start == LAST_DAY
+        fresh = subs.where(~changing & (begun > F.lit(floor[1])) & (begun <= F.lit(start)))
+        known = subs.where(~changing & (begun <= F.lit(start))).unionByName(subs.where(changing) if last else early)
+        batch = fresh if 0 < number and not last else fresh.unionByName(subs.where(changing) if last else early)
+        repeated = floor[0] - timedelta(days=3) if number else FIRST_DAY
+        yield events.where((F.col("event_date") > F.lit(repeated)) & (F.col("event_date") <= F.lit(day))), batch, known
+        floor = (day, start)
+
+
+def _carried_funnel(m: Marts) -> DataFrame:
+    """The funnel after three batches, from state alone."""
+    state = FunnelState(m.raw.spark, scratch_folder(m.raw.spark, "funnel"))
+    for events, subscriptions, known in _batches(m):
+        state.update(events, subscriptions, known, m.ctx)
+    return state.funnel(m.users)
+
+
+def _carried_retention(m: Marts) -> DataFrame:
+    """Both forms of cohort retention after three batches, from the histogram alone."""
+    state = RetentionState(m.raw.spark, scratch_folder(m.raw.spark, "retention"))
+    for events, subscriptions, known in _batches(m):
+        state.update(events, subscriptions, known)
+    forms = {"asof": state.asof(m.ctx), "triangle": state.triangle(m.ctx)}
+    asof, triangle = (retention.fct_cohort_retention(rows).withColumn("form", F.lit(name)) for name, rows in forms.items())
+    return asof.unionByName(triangle)
+
+
+def _user_bitmaps(m: Marts) -> DataFrame:
+    """Live users per month and plan as stored bitmaps, merged from two halves of the subscriptions."""
+    spans = mrr.paid_spans(m.keyless_subscriptions, m.ctx)
+    early = spans.where(F.col("subscription_start_date") <= F.lit(PAYMENTS_LOADED))
+    spark, root = m.raw.spark, scratch_folder(m.raw.spark, "user_bitmaps")
+
+    def stored(rows: DataFrame, name: str) -> DataFrame:
+        tables.replace_table(rows, f"{root}/{name}")
+        return spark.read.parquet(f"{root}/{name}")
+
+    numbers = stored(user_bitmaps.numbered_users(early), "numbers-0")
+    first = stored(user_bitmaps.user_months(early, numbers, ["plan_id"]), "bitmaps-0")
+    numbers = stored(user_bitmaps.numbered_users(spans, numbers), "numbers-1")
+    late = spans.where(F.col("subscription_start_date") > F.lit(PAYMENTS_LOADED))
+    return stored(user_bitmaps.merged(first, user_bitmaps.user_months(late, numbers, ["plan_id"])), "bitmaps-1")
+
+
+def _users_by_span(m: Marts) -> DataFrame:
+    """Distinct users per month, quarter and year, by plan and over all plans, from the same bitmaps."""
+    bitmaps = _user_bitmaps(m)
+    year, month = F.substring("mrr_month", 1, 4), F.substring("mrr_month", 5, 2).cast("int")
+    spans = {"month": F.col("mrr_month"), "quarter": F.concat(year, F.lit("Q"), F.ceil(month / 3)), "year": year}
+    parts = []
+    for kind, span in spans.items():
+        for plan in (F.col("plan_id"), F.lit("all plans")):
+            counted = user_bitmaps.distinct_users(bitmaps, span.alias("span"), plan.alias("plan"))
+            parts.append(counted.withColumn("kind", F.lit(kind)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _rolling_users(m: Marts) -> DataFrame:
+    """Distinct users of the last twelve months, month by month."""
+    return user_bitmaps.rolling_users(_user_bitmaps(m), 12)
+
+
 def _rejected_payments(m: Marts) -> DataFrame:
     """Payments with an amount too large for five digits before the point."""
     return staging.rejected_rows(m.raw.payments, {"amount": "decimal(7,2)"}).select(
@@ -241,6 +325,10 @@ BATCH_QUERIES: dict[str, Callable[[Marts], DataFrame]] = {
     "upsert_subscriptions": _upsert_subscriptions,
     "incremental_mrr": _incremental_mrr,
     "incremental_mrr_carried": _carried_mrr,
+    "users_by_span": _users_by_span,
+    "users_rolling_year": _rolling_users,
+    "funnel_from_batches": _carried_funnel,
+    "retention_from_batches": _carried_retention,
     "freshness": _event_freshness,
 }
 

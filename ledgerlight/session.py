@@ -37,3 +37,10 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="ledgerlight-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any store that Spark reaches."""
+    context = spark.sparkContext
+    hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()).exists(hadoop_path)

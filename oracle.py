@@ -409,6 +409,21 @@ def _finals(ctx) -> dict[str, str]:
         + f" WHERE mrr_month >= strftime({recent}, '%Y%m')",
         "fct_cohort_retention": "SELECT * FROM fct_cohort_retention",
         "fct_user_funnel": _flat("fct_user_funnel", dates=FUNNEL_DATES, decimals="current_mrr"),
+        "users_by_span": """
+            SELECT kind, span, plan, count(DISTINCT user_id) AS distinct_users FROM (
+              SELECT user_id, unnest([plan_id, 'all plans']) AS plan, mrr_month FROM live WHERE user_id IS NOT NULL),
+              LATERAL (VALUES ('month', mrr_month), ('year', left(mrr_month, 4)),
+                ('quarter', left(mrr_month, 4) || 'Q' || CAST(ceil(CAST(right(mrr_month, 2) AS INT) / 3) AS INT))) AS s(kind, span)
+            GROUP BY ALL""",
+        "users_rolling_year": """
+            SELECT m.mrr_month, count(DISTINCT user_id) AS distinct_users
+            FROM (SELECT DISTINCT mrr_month FROM live WHERE user_id IS NOT NULL) AS m JOIN live AS l
+              ON strptime(l.mrr_month, '%Y%m') <= strptime(m.mrr_month, '%Y%m')
+             AND strptime(l.mrr_month, '%Y%m') > strptime(m.mrr_month, '%Y%m') - INTERVAL 12 MONTH
+            GROUP BY ALL""",
+        "funnel_from_batches": _flat("fct_user_funnel", dates=FUNNEL_DATES, decimals="current_mrr"),
+        "retention_from_batches": "SELECT 'asof' AS form, * FROM fct_cohort_retention "
+        "UNION ALL BY NAME SELECT 'triangle' AS form, * FROM fct_cohort_triangle",
         "cohort_retention_asof": "SELECT * FROM int_cohort_retention",
         "cohort_retention_triangle": "SELECT * FROM fct_cohort_triangle",
         "mrr_arr": "SELECT mrr_month, CAST(sum(mrr) AS DOUBLE) AS total_mrr, CAST(sum(mrr) * 12 AS DOUBLE) AS arr "

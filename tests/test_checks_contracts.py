@@ -3,8 +3,11 @@ from datetime import date
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from ledgerlight.operators import checks, contracts
 from ledgerlight.operators.contracts import CONTRACTS
+from ledgerlight.operators.tables import MonthTable
 from ledgerlight.plans.build import check_tables
 from ledgerlight.plans.check_list import declared_checks
 from ledgerlight.plans.registry import _layer_tables, sample_marts
@@ -113,3 +116,68 @@ def test_personal_data_stays_out_of_the_marts():
     for contract in CONTRACTS.values():
         assert not set(RAW_PII["users"]) & set(contract.schema.names)
     assert contracts.pii_columns("stg_users") == ("email",)
+
+
+def test_rows_that_break_several_checks_are_written_in_one_scan(spark, tables, tmp_path):
+    declared = [
+        checks.not_null("child", "id"), checks.email("child", "email"), checks.expression("child", "amount", ">= 0"),
+        checks.accepted_values("child", "kind", ["a", "b"]), checks.unique("child", "id"),
+    ]
+    for given in (tables, {**tables, "child": tables["child"].where("id = 1")}):
+        stored = checks.store_failing_rows("child", given, declared, str(tmp_path))
+        found = sorted((r.failed_check, r.kind, r.email) for r in stored.collect())
+        expected = sorted(
+            (f"{c.kind}__{c.column_name}", r.kind, r.email)
+            for c in declared[:4] for r in given["child"].where(checks.row_failure(c)).collect()
+        )
+        assert found == expected and (found == [] or len(found) == 4)
+    assert checks.store_failing_rows("parent", tables, declared, str(tmp_path)) is None
+
+
+def test_one_pass_equals_the_single_checks(spark):
+    rows = spark.range(500).selectExpr(
+        "id % 400 a", "if(id % 7 = 0, null, id) b", "cast(id % 3 as string) c", "if(id < 3, null, 'k') d", "cast(id as string) e"
+    )
+    parents = spark.createDataFrame([("0",), ("1",), (None,)], "p string")
+    tables = {"t": rows, "empty": rows.where("false"), "parent": parents}
+    declared = [f(t, c) for t in ("t", "empty") for f in (checks.unique, checks.not_null) for c in "abcde"]
+    declared += [checks.unique_combination("t", ["a", "c"]), checks.unique_combination("t", ["d", "c"]), checks.unique_combination("t", ["b", "e"])]
+    declared += [checks.relationships(t, c, "parent", "p") for t in ("t", "empty") for c in "ce"]
+    declared += [checks.expression("t", "a", f"<> {k}") for k in range(70)]  # more than one mask holds
+    found = {(r.table_name, r.check_type, r.column_name, r.detail): r.failures for r in checks.run_checks(tables, declared).collect()}
+    assert len(found) == len(declared)
+    for c in declared:
+        bad = checks.failing_rows(c, tables)
+        many = bad.agg({"n_records": "sum"}).first()[0] or 0 if c.kind == "relationships" else bad.count()
+        assert found[c.table, c.kind, c.column_name, c.detail] == many, c
+
+
+def test_a_table_is_scanned_once_for_all_its_checks(spark, tmp_path):
+    spark.range(100).selectExpr("id", "cast(id as string) k", "id % 5 v").write.parquet(str(tmp_path / "t"))
+    seen = spark.sparkContext.accumulator(0)
+    table = spark.read.parquet(str(tmp_path / "t"))
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    watched = table.mapInArrow(count, table.schema)
+    declared = [checks.unique("t", "id"), checks.unique("t", "k"), checks.not_null("t", "id"), checks.expression("t", "v", "< 5")]
+    results = checks.run_checks({"t": watched}, declared).collect()
+    assert {r.status for r in results} == {"pass"} and seen.value == 100
+
+
+def test_nulls_are_counted_by_the_write(spark, tmp_path):
+    contract = CONTRACTS["dim_users"]
+    good = spark.range(3).selectExpr(*[f"cast(id as {f.dataType.simpleString()}) {f.name}" if f.dataType.simpleString() in ("string", "int", "timestamp")
+                                       else f"cast('2024-01-01' as {f.dataType.simpleString()}) {f.name}" for f in contract.schema])
+    table = MonthTable(spark, str(tmp_path / "users"), "sk_user_id", "signup_month")
+    table.replace(good, audit=contracts.WriteAudit(contract))
+    bad = good.withColumn("signup_month", F.expr("if(sk_user_id = '1', null, signup_month)"))
+    for write in (table.replace, table.upsert):
+        with pytest.raises(contracts.ContractBroken, match="dim_users.signup_month not_null: 1"):
+            write(bad, audit=contracts.WriteAudit(contract))
+    with pytest.raises(contracts.ContractBroken, match="sk_user_id primary_key: 1"):
+        table.replace(good.withColumn("sk_user_id", F.expr("least(sk_user_id, '1')")), audit=contracts.WriteAudit(contract))
+    assert table.read().count() == 3 and table.read().where("signup_month IS NULL").isEmpty()
