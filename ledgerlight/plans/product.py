@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlight.functions.ratios import percent
 
@@ -52,6 +52,33 @@ def time_to_milestones(funnel: DataFrame, *, approximate: bool = False) -> DataF
     )
 
 
+MILESTONE_SPANS = {"email_verified": "days_to_email_verified", "activation": "days_to_activation", "conversion": "days_to_conversion"}
+
+
+def milestone_sketches(funnel: DataFrame, k: int = 4096) -> DataFrame:
+    """Quantile sketches of the days to three milestones per signup month; a few kilobytes each, to be stored and merged.
+
+    Up to ``k`` values a sketch is exact. Beyond that a quantile's rank is off by about 3.3 / k ** 0.9 (0.2 % for 4,096), with
+    a confidence of 99 %, however many sketches were merged.
+    """
+    sketches = [F.kll_sketch_agg_bigint(F.col(days).cast("bigint"), F.lit(k)).alias(name) for name, days in MILESTONE_SPANS.items()]
+    return funnel.groupBy("signup_month").agg(*sketches)
+
+
+def milestone_quantiles(sketches: DataFrame, *by: Column | str, quantiles: tuple[float, ...] = (0.5, 0.9)) -> DataFrame:
+    """Quantiles of the days to each milestone over the months that share ``by``: ``milestone``, ``users``, ``p50`` ...
+
+    Only sketches are read. A milestone that nobody reached has no row.
+    """
+    grouped = sketches.select(*by, *MILESTONE_SPANS)
+    keys = [c for c in grouped.columns if c not in MILESTONE_SPANS]
+    merged = grouped.groupBy(*keys).agg(*[F.kll_merge_agg_bigint(name).alias(name) for name in MILESTONE_SPANS])
+    rows = merged.select(*keys, F.inline(F.array(*[F.struct(F.lit(name).alias("milestone"), F.col(name).alias("sketch")) for name in MILESTONE_SPANS])))
+    known = rows.withColumn("users", F.kll_sketch_get_n_bigint("sketch")).where("users > 0")
+    shown = [F.kll_sketch_get_quantile_bigint("sketch", F.lit(q)).alias(f"p{round(q * 100)}") for q in quantiles]
+    return known.select(*keys, "milestone", "users", *shown)
+
+
 def activation_retention(retention: DataFrame) -> DataFrame:
     """Mean retention per offset, activated against not activated users."""
 

@@ -233,6 +233,45 @@ def _rolling_users(m: Marts) -> DataFrame:
     return user_bitmaps.rolling_users(_user_bitmaps(m), 12)
 
 
+def _in_order(rows: DataFrame) -> DataFrame:
+    """A sorted report with the place at which each row comes out."""
+    return rows.coalesce(1).withColumn("place", F.monotonically_increasing_id() + 1)
+
+
+def _full_refresh(m: Marts) -> DataFrame:
+    """A stored fact with outdated and foreign rows is loaded anew."""
+    table = mart_table(m.raw.spark, scratch_folder(m.raw.spark, "refresh"), "fct_subscriptions")
+    subs = m.keyless_subscriptions
+    outdated = subs.withColumns({"status": F.lit("outdated"), "cohort_month": F.lit("190001")})
+    table.replace(subs.unionByName(outdated.withColumn("sk_subscription_id", F.concat(F.lit("x"), "sk_subscription_id"))))
+    table.replace(subs)
+    return table.read()
+
+
+def _appended_columns(m: Marts) -> DataFrame:
+    """Payments stored without a column that a later batch brings."""
+    stored = m.keyless_payments.where(F.col("payment_date") <= F.lit(PAYMENTS_LOADED)).drop("days_in_period")
+    batch = tables.since_last_load(m.keyless_payments, stored, "payment_date", m.ctx)
+    return _stored_upsert(m, stored, batch, "fct_payments")
+
+
+def _from_view(m: Marts) -> DataFrame:
+    """A staged layer as a view, read by SQL."""
+    tables.as_view(m.staged_payments, "staged_payments")
+    return m.raw.spark.sql(
+        "SELECT status, payment_month, count(*) AS payments, sum(amount) AS amount FROM staged_payments GROUP BY ALL"
+    )
+
+
+def _milestone_quantiles(m: Marts) -> DataFrame:
+    """Medians and ninth deciles per signup year and over all, from stored monthly sketches."""
+    path = scratch_folder(m.raw.spark, "milestones")
+    tables.replace_table(product.milestone_sketches(m.funnel), path)
+    stored = m.raw.spark.read.parquet(path)
+    years = product.milestone_quantiles(stored, F.substring("signup_month", 1, 4).alias("period"))
+    return years.unionByName(product.milestone_quantiles(stored, F.lit("all").alias("period")))
+
+
 def _rejected_payments(m: Marts) -> DataFrame:
     """Payments with an amount too large for five digits before the point."""
     return staging.rejected_rows(m.raw.payments, {"amount": "decimal(7,2)"}).select(
@@ -325,6 +364,12 @@ BATCH_QUERIES: dict[str, Callable[[Marts], DataFrame]] = {
     "upsert_subscriptions": _upsert_subscriptions,
     "incremental_mrr": _incremental_mrr,
     "incremental_mrr_carried": _carried_mrr,
+    "full_refresh_subscriptions": _full_refresh,
+    "append_columns": _appended_columns,
+    "view_sink": _from_view,
+    "ordered_mrr_arr": lambda m: _in_order(revenue.mrr_arr(m.live_month_totals)),
+    "ordered_cancel_reasons": lambda m: _in_order(billing.cancel_reasons(m.keyless_subscriptions, m.plans)),
+    "milestone_quantiles": _milestone_quantiles,
     "users_by_span": _users_by_span,
     "users_rolling_year": _rolling_users,
     "funnel_from_batches": _carried_funnel,

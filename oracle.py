@@ -585,6 +585,34 @@ def _finals(ctx) -> dict[str, str]:
                    CAST(amount AS DOUBLE) AS amount,
                    CASE WHEN payment_date < {payment_floor} THEN 'as loaded first' ELSE status END AS status)
             FROM fct_payments""",
+        "append_columns": f"""
+            SELECT * EXCLUDE (sk_user_id) REPLACE (CAST(payment_date AS VARCHAR) AS payment_date,
+                   CAST(period_start AS VARCHAR) AS period_start, CAST(period_end AS VARCHAR) AS period_end,
+                   CAST(amount AS DOUBLE) AS amount,
+                   CASE WHEN payment_date >= {payment_floor} THEN days_in_period END AS days_in_period)
+            FROM fct_payments""",
+        "full_refresh_subscriptions": _flat("fct_subscriptions", dates=SUBSCRIPTION_DATES, decimals="mrr", drop=KEYLESS),
+        "view_sink": """
+            SELECT status, payment_month, count(*) AS payments, CAST(sum(amount) AS DOUBLE) AS amount
+            FROM stg_payments GROUP BY ALL""",
+        "ordered_mrr_arr": """
+            SELECT mrr_month, CAST(sum(mrr) AS DOUBLE) AS total_mrr, CAST(sum(mrr) * 12 AS DOUBLE) AS arr,
+                   row_number() OVER (ORDER BY mrr_month) AS place
+            FROM live GROUP BY mrr_month""",
+        "ordered_cancel_reasons": """
+            SELECT cancel_reason, plan_name, n AS churned_subscriptions,
+                   round(100.0 * n / sum(n) OVER (), 1) AS pct_of_all_churned,
+                   round(100.0 * n / sum(n) OVER (PARTITION BY cancel_reason), 1) AS pct_within_reason,
+                   row_number() OVER (ORDER BY n DESC, cancel_reason, plan_name) AS place
+            FROM (SELECT cancel_reason, plan_name, count(*) AS n
+                  FROM fct_subscriptions JOIN dim_plans USING (sk_plan_id) WHERE is_churned GROUP BY ALL)""",
+        "milestone_quantiles": """
+            SELECT period, milestone, count(days) AS users, quantile_disc(days, 0.5) AS p50, quantile_disc(days, 0.9) AS p90
+            FROM (SELECT unnest([left(signup_month, 4), 'all']) AS period, days_to_email_verified, days_to_activation, days_to_conversion
+                  FROM fct_user_funnel),
+              LATERAL (VALUES ('email_verified', days_to_email_verified), ('activation', days_to_activation),
+                              ('conversion', days_to_conversion)) AS m(milestone, days)
+            GROUP BY ALL HAVING count(days) > 0""",
         "upsert_subscriptions": _flat(
             f"""(SELECT * EXCLUDE (sk_user_id) REPLACE (CASE WHEN is_active OR trial_start_date >= {recent}
                    OR subscription_end_date >= {recent} THEN status ELSE 'as loaded first' END AS status)
