@@ -138,6 +138,15 @@ class MonthTable:
             raise ValueError(f"nothing published in {self.root}")
         return self._uncut(self._read(listed))
 
+    def read_like(self, rows: DataFrame) -> DataFrame | None:
+        """The published rows of the months (or days) that ``rows`` belong to; None if there are none. Other partitions are not read."""
+        listed = self.months()
+        wanted = {r[0] for r in self._cut(rows).select(self._label()).distinct().collect()}
+        shared = {month: version for month, version in listed.items() if month in wanted}
+        if not shared:
+            return None
+        return self._uncut(self._read(shared))
+
     def newest_day(self, day: str) -> date | None:
         """The latest value of a date column that the month is derived from; reads the last month only."""
         listed = {month: version for month, version in self.months().items() if month}

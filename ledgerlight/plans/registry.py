@@ -24,7 +24,7 @@ from ledgerlight.plans.check_list import declared_checks
 from ledgerlight.plans.marts import Marts
 from ledgerlight.session import scratch_folder
 from ledgerlight.sources.sample_feed import SAMPLE_CONTEXT, TEST_SCHEMAS, SampleTables, events_from_events
-from ledgerlight.streaming.events import churn_counts, churn_monitor, stream_events
+from ledgerlight.streaming.events import churn_counts, churn_monitor, durable_state, stream_events, stream_late_events
 from ledgerlight.streaming.freshness import freshness
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -404,6 +404,23 @@ def _streamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(table.read())
 
 
+def _streamed_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed of three deliveries with a restart between them; the last two bring events that are weeks late, and known ones again."""
+    m = sample_marts(spark, sf_dir)
+    root = scratch_folder(spark, "stream_late")
+    table = mart_table(spark, root, "fct_events")
+    early = F.col("event_at") < F.lit(EVENTS_LOADED)
+    part = F.pmod(F.xxhash64("event_id"), F.lit(10))
+    deliveries = (early & (part > 1), ~early | (part == 0), (part == 1) | (part == 5))
+    for rows in deliveries:
+        m.raw.events.where(rows).write.mode("append").parquet(f"{root}/feed")
+        for run, name in ((stream_events, "checkpoint"), (stream_late_events, "late")):
+            feed = spark.readStream.schema(m.raw.events.schema).parquet(f"{root}/feed")
+            with durable_state(spark):
+                run(feed, m.users, table, f"{root}/{name}", m.ctx).awaitTermination()
+    return comparable(table.read())
+
+
 def _streamed_churn(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = sample_marts(spark, sf_dir)
     root = scratch_folder(spark, "stream_churn_monitor")
@@ -421,5 +438,6 @@ def registered_queries() -> dict[str, Query]:
     queries["revenue_by_segment"] = _batch(_segment_query, late=True)
     queries["build_checks"] = _build_checks
     queries["stream_events"] = _streamed_events
+    queries["stream_late_events"] = _streamed_late_events
     queries["stream_churn_monitor"] = _streamed_churn
     return queries

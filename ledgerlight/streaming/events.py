@@ -1,13 +1,18 @@
 """The event feed as a stream.
 
 Late events are taken for the same number of days as in a batch run. State
-grows with the events of those days: on a large feed, run with the RocksDB
-state store (``spark.sql.streaming.stateStore.providerClass``).
+grows with the events of those days: on a large feed, run with ``durable_state``, which keeps it in RocksDB and
+writes only changes to the checkpoint. Events that come later still are left out by the state's watermark;
+``stream_late_events`` brings them in by their key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Iterator
+from contextlib import contextmanager
+from datetime import timedelta
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ledgerlight.context import RunContext
@@ -17,6 +22,28 @@ from ledgerlight.operators.staging import stg_events
 from ledgerlight.operators.tables import MonthTable
 
 
+ROCKSDB_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def durable_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started within it keep their state on the executors' disks and log changes to their checkpoint.
+
+    A checkpoint stays with the kind of state it was begun with.
+    """
+    before = {name: spark.conf.get(name, None) for name in ROCKSDB_STATE}
+    for name, value in ROCKSDB_STATE.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def cleaned_stream(raw: DataFrame, ctx: RunContext) -> DataFrame:
     """Staged events of a raw stream, each event id once within the lookback."""
     return (
@@ -47,6 +74,35 @@ def stream_events(
     )
 
 
+def stream_late_events(
+    raw: DataFrame, users: DataFrame, table: MonthTable, checkpoint: str, ctx: RunContext
+) -> StreamingQuery:
+    """Upsert the events that came after their lookback; takes what is there, then stops. Runs after ``stream_events`` over the same feed.
+
+    Older than the lookback of the newest stored day, and not stored yet: only the months (or days) such events
+    belong to are read. No state is kept, so nothing is too late.
+    """
+
+    def merge(batch: DataFrame, _: int) -> None:
+        newest = table.newest_day("event_date")
+        if newest is None:
+            return
+        old = batch.where(F.col("event_date") <= F.lit(newest - timedelta(days=ctx.lookback_days)))
+        late = facts.fct_events(old.dropDuplicates(["event_id"]).drop("event_ts"), users)
+        stored = table.read_like(late)
+        if stored is not None:
+            late = late.join(stored.select(table.key), table.key, "left_anti")
+        table.upsert(contracts.enforce(late, CONTRACTS["fct_events"]))
+
+    return (
+        stg_events(raw, keep_event_time=True)
+        .writeStream.foreachBatch(merge)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def churn_monitor(
     raw: DataFrame, users: DataFrame, table: MonthTable, checkpoint: str, ctx: RunContext
 ) -> StreamingQuery:

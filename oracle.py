@@ -396,6 +396,7 @@ def _finals(ctx) -> dict[str, str]:
         "dim_users": _flat("dim_users", dates="signed_up_at"),
         "fct_events": events_flat,
         "stream_events": events_flat,
+        "stream_late_events": events_flat,
         "fct_payments": _flat("fct_payments", dates=PAYMENT_DATES, decimals="amount"),
         "fct_subscriptions": _flat("fct_subscriptions", dates=SUBSCRIPTION_DATES, decimals="mrr"),
         "fct_mrr": mrr_flat,

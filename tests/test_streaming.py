@@ -6,7 +6,7 @@ import pytest
 from ledgerlight.context import RunContext
 from ledgerlight.operators.tables import MonthTable
 from ledgerlight.sources.schemas import RAW_EVENTS
-from ledgerlight.streaming.events import churn_counts, churn_monitor, stream_events
+from ledgerlight.streaming.events import churn_counts, churn_monitor, durable_state, stream_events, stream_late_events
 from ledgerlight.streaming.freshness import freshness
 
 CTX = RunContext(as_of=date(2024, 3, 15))
@@ -19,6 +19,33 @@ def users(spark):
     )
 
 
+def test_events_too_late_for_the_state_come_in_by_their_key(spark, users, tmp_path):
+    feed = Feed(spark, tmp_path / "feed")
+    table = MonthTable(spark, str(tmp_path / "fct_events"), "sk_event_id", "event_month", day="event_date")
+
+    def run():
+        with durable_state(spark):
+            for start, name in ((stream_events, "state"), (stream_late_events, "late")):
+                start(feed.stream(), users, table, str(tmp_path / name), CTX).awaitTermination()
+        return {r.event_id: (r.sk_user_id, str(r.event_date)) for r in table.read().collect()}
+
+    feed.add(("e1", "u1", "signed_up", "2024-01-10 10:00:00"), ("e2", "u2", "activated", "2024-02-10 09:00:00"))
+    expected = {"e1": ("k1", "2024-01-10"), "e2": ("k2", "2024-02-10")}
+    assert run() == expected
+    # Weeks late, once in a delivery of its own day and twice over; a known one again; one on time.
+    feed.add(("e3", "u1", "activated", "2024-01-10 11:00:00"), ("e4", "u2", "activated", "2023-12-01 08:00:00"),
+             ("e4", "u2", "activated", "2023-12-01 08:00:00"), ("e1", "u1", "signed_up", "2024-01-10 10:00:00"),
+             ("e5", "u1", "converted_paid", "2024-02-11 00:00:00"))
+    versions = dict(table.months())
+    expected |= {"e3": ("k1", "2024-01-10"), "e4": ("k2", "2023-12-01"), "e5": ("k1", "2024-02-11")}
+    assert run() == expected and table.read().count() == 5
+    assert table.months()["20240210"] == versions["20240210"]
+    assert (tmp_path / "state" / "state").exists() and list((tmp_path / "state" / "state").rglob("*.changelog"))
+    feed.add(("e4", "u2", "activated", "2023-12-01 08:00:00"))
+    versions = dict(table.months())
+    assert run() == expected and table.months() == versions
+
+
 class Feed:
     """A folder of event files, read one file per batch."""
 
