@@ -25,7 +25,7 @@ def shared_buckets(keyed: DataFrame, partitions: int | None = None) -> DataFrame
     """Of ``keyed(key, item)`` the rows in buckets of two or more different items."""
     dealt = keyed.repartition(partitions, "key") if partitions else keyed
     buckets = dealt.groupBy("key").agg(F.min("item").alias("low"), F.max("item").alias("high")).where("low < high")
-    return dealt.join(buckets.select("key").hint("shuffle_hash"), "key").select("key", "item")
+    return dealt.join(buckets.select("key").hint("shuffle_hash"), "key").select(*keyed.columns)
 
 
 def partner_bounds(sets: DataFrame, percent: int) -> DataFrame:
@@ -66,6 +66,7 @@ def link_members(
     work: Workspace,
     sketches: DataFrame | None = None,
     plausible: Callable[[str, str, str, str], Column] | None = None,
+    first_shared: Callable[[str, str, str], Column] | None = None,
     confirm: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """``(node, component)`` of all linked items.
@@ -73,7 +74,9 @@ def link_members(
     ``members`` is a written table as of ``hub_members``; ``links_of`` takes candidate
     pairs (a < b) and a name and gives a written table of those that are links. With ``sketches(item, sketch)`` later rounds
     keep only pairs that ``plausible`` (columns of two sketches and two sizes) lets through, before they become rows;
-    ``confirm`` then takes the place of ``links_of``.
+    ``confirm`` then takes the place of ``links_of``. ``first_shared`` (columns of two sketches and the bucket's band) tells whether
+    a bucket is the first that two items share: a pair is compared in that one only, when one of the two becomes a hub there.
+    ``members`` then have a column ``band``.
     """
     ends = [F.least("hub", "item").alias("a"), F.greatest("hub", "item").alias("b")]
     first = members.where("item <> hub").where(_may_link("n", "top", "hub_n", "hub_top"))
@@ -82,12 +85,12 @@ def link_members(
     labels = connected_components(links, work, "round-0")
     spent = members.select("key", F.col("hub").alias("item")).distinct()
     size_class = F.floor(F.log("n") / F.log(F.lit(1.01)))
-    turn = 0
+    band, turn = (["band"] if first_shared is not None else []), 0
     while True:
         turn += 1
         left = members.drop("hub", "hub_n", "hub_top").join(spent, ["key", "item"], "left_anti")
         left = left.join(labels.withColumnRenamed("node", "item"), "item", "left")
-        left = left.select("key", "item", "n", "top", "own", F.coalesce("component", "item").alias("label"))
+        left = left.select("key", *band, "item", "n", "top", "own", F.coalesce("component", "item").alias("label"))
         # What a bucket offers, by size: an item waits only if some size suits it, with another component.
         offers = left.groupBy("key", size_class.alias("size_class")).agg(
             F.min("n").alias("least_n"), F.max("top").alias("most_top"), F.min("label").alias("low"), F.max("label").alias("high")
@@ -109,6 +112,8 @@ def link_members(
         hubs = hubs.select("key", F.col("item").alias("hub"), *[F.col(c).alias(f"hub_{c}") for c in carried])
         hubs = work.write(hubs, f"hubs-{turn}")
         meets = _may_link("n", "top", "hub_n", "hub_top") & (F.col("label") != F.col("hub_label"))
+        if first_shared is not None:
+            meets &= first_shared("sketch", "hub_sketch", "band")
         if plausible is not None:
             meets &= plausible("sketch", "hub_sketch", "n", "hub_n")
         cross = waiting.join(hubs, "key").where(meets)

@@ -146,6 +146,14 @@ def estimated(percent: int, ra: str, rb: str, na: str, nb: str) -> Column:
     return estimate >= p - 5 * (p * (1 - p) / REGISTERS) ** 0.5
 
 
+def first_band(ra: str, rb: str, band: str) -> Column:
+    """Whether registers agree in no band before ``band``."""
+    width = 2 * ROWS
+    before = F.sequence(F.lit(0), F.col(band) - 1)
+    agrees = F.exists(before, lambda b: F.substring(ra, b * width + 1, F.lit(width)) == F.substring(rb, b * width + 1, F.lit(width)))
+    return (F.col(band) == 0) | ~agrees
+
+
 class _Pairs:
     """Estimates and confirms candidate pairs of classes."""
 
@@ -191,7 +199,7 @@ def near_duplicates(
         held.join(smallest, ["k1", "k2", "id"], "left_semi").distinct().select(F.col("id").alias("rep"), "k1", "k2", "n", "registers"), "classes"
     )
     keys = F.expr(f"transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, substring(registers, b * {2 * ROWS} + 1, {2 * ROWS})))")
-    bands = classes.select(F.col("rep").alias("item"), F.explode(keys).alias("key"))
+    bands = classes.select(F.col("rep").alias("item"), F.posexplode(keys).alias("band", "key")).select("key", "item", "band")
     shared = work.write(shared_buckets(bands).distinct(), "shared")
     involved = shared.select(F.col("item").alias("id")).distinct()
     sets = map_batches(own.join(involved, "id", "left_semi"), _set_maker(size), SETS)
@@ -203,7 +211,7 @@ def near_duplicates(
     registers = classes.select(F.col("rep").alias("item"), F.col("registers").alias("sketch")).join(involved.withColumnRenamed("id", "item"), "item", "left_semi")
     registers = work.write(registers.dropDuplicates(["item"]), "registers")
     check = _Pairs(classes, sets, percent, work)
-    labels = link_members(members, check.links, work, registers, partial(estimated, percent), check.confirmed)
+    labels = link_members(members, check.links, work, registers, partial(estimated, percent), first_band, check.confirmed)
     groups = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "k1", "k2", F.coalesce("component", "rep").alias("component_id")
     )
