@@ -30,14 +30,18 @@ RAW = {"script", "style", "textarea", "title", "xmp", "noframes"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img",
-    "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u",
-    "var", "wbr",
+    "ins", "kbd", "label", "mark", "object", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt",
+    "u", "var", "wbr",
+    # formulas and drawings
+    "math", "mfrac", "mi", "mn", "mo", "mover", "mroot", "mrow", "ms", "mspace", "msqrt", "mstyle", "msub", "msubsup", "msup",
+    "mtext", "munder", "munderover", "semantics", "circle", "defs", "ellipse", "g", "line", "path", "polygon", "polyline",
+    "rect", "svg", "text", "tspan", "use",
 }
 SKIPPED = {
-    "head", "nav", "footer", "aside", "form", "noscript", "template", "iframe", "svg", "math", "button", "select", "option",
-    "dialog", "menu", "object", "canvas", "audio", "video",
+    "head", "nav", "footer", "aside", "form", "noscript", "template", "iframe", "button", "select", "option",
+    "dialog", "menu", "canvas", "audio", "video",
 }
-CONTENT = {"article": 2, "main": 1}
+CONTENT = {"article": 2, "main": 1}  # bits
 UNNAMED = {"html", "body", "main"}  # names on these, and on an article that is not inside another, say nothing
 CLOSED_BY_ITSELF = {"p", "li", "td", "th", "tr", "dt", "dd", "option"}
 # Words that name a part as something else than main text.
@@ -47,6 +51,12 @@ NOISE_WORDS = {
     "comment", "comments", "respond", "disqus", "cookie", "cookies", "consent", "notice", "popup", "modal", "newsletter",
     "subscribe", "share", "sharing", "social", "related", "widget", "pagination", "pager", "skip", "toolbar",
 }
+# Inside of main content these may name a part of it.
+OUTSIDE_ONLY = {"related", "share", "sharing", "social", "toolbar", "widget"}
+# Articles outside of a main element with less than this share of a page's text are teasers among other things.
+LEAST_CONTENT = 1 / 3
+# Elements deeper than this, and the rest of longer styles, are no nodes of their own in the style tree.
+DEEPEST, LONGEST_STYLE = 48, 100
 MUCH = 0.5  # share of a page's text that a name alone does not remove
 
 _TOKEN = re.compile(
@@ -65,20 +75,20 @@ class _Element:
 
     def __init__(self, tag: str, path: str, noise: bool, content: int, named: tuple[str, ...]) -> None:
         self.tag, self.path, self.noise, self.content, self.named = tag, path, noise, content, named
-        self.children: list[str] = []
+        self.children: dict[str, None] = {}  # different styles in page order
 
 
 def _says_noise(names: list[str], content: int) -> bool:
     """Whether a whole name is made of noise words; a header inside the content is its title."""
     for name in (x for value in names for x in value.split()):
         words = set(_WORDS.findall(name))
-        if words and words <= NOISE_WORDS and not (content and words <= {"header"}):
+        if words and words <= NOISE_WORDS and not (content and words <= {"header", *OUTSIDE_ONLY}):
             return True
     return False
 
 
 def page_blocks(html: str) -> tuple[list[tuple[str, str, int, bool, tuple[str, ...]]], list[tuple[str, str]]]:
-    """Text blocks in page order as (path, text, in main content (2: in an article), in an element that is
+    """Text blocks in page order as (path, text, bits: 1 in a main element, 2 in an article; in an element that is
     no text, paths of the branches around it that name themselves noise), and the child sequence of each inner element."""
     blocks: list[tuple[str, str, int, bool, tuple[str, ...]]] = []
     shapes: list[tuple[str, str]] = []
@@ -96,7 +106,8 @@ def page_blocks(html: str) -> tuple[list[tuple[str, str, int, bool, tuple[str, .
     def close(depth: int) -> None:
         while len(stack) > depth:
             gone = stack.pop()
-            shapes.append((gone.path, " ".join(dict.fromkeys(gone.children))))
+            if gone.children:
+                shapes.append((gone.path, " ".join(gone.children)))
 
     at, n = 0, len(html)
     while at < n:
@@ -136,19 +147,19 @@ def page_blocks(html: str) -> tuple[list[tuple[str, str, int, bool, tuple[str, .
             close(next((d for d, e in enumerate(stack) if e.tag == "head"), len(stack)))
         names = [m[2].strip("\"'").lower() for m in _NAMES.finditer(rest)] if "=" in rest else []
         parent = stack[-1]
-        style = ".".join([tag, *(_DIGITS.sub("0", x) for x in names)])
-        parent.children.append(style)
-        path = f"{parent.path}/{style}"
+        style = ".".join([tag, *(_DIGITS.sub("0", x) for x in names)])[:LONGEST_STYLE]
+        parent.children[style] = None
+        path = f"{parent.path}/{style}" if len(stack) <= DEEPEST else parent.path
         if tag in CONTENT:
-            content, noise = max(parent.content, CONTENT[tag]), False
+            content, noise = parent.content | CONTENT[tag], False
         else:
             content = parent.content
             noise = parent.noise or tag in SKIPPED or (tag == "header" and not content)
         named = () if tag in UNNAMED else parent.named
-        if names and tag not in UNNAMED and not (tag == "article" and parent.content < 2) and _says_noise(names, content):
+        if names and tag not in UNNAMED and not (tag == "article" and parent.content < 2) and _says_noise(names, content) and path not in named:
             named = (*named, path)
         stack.append(_Element(tag, path, noise, content, named))
-        if rest.endswith("/") and tag in ("svg", "iframe"):
+        if rest.endswith("/") and tag == "iframe":
             close(len(stack) - 1)
     flush()
     close(1)
@@ -243,11 +254,14 @@ def text_of(blocks: list[tuple[str, str, int, bool, tuple[str, ...]]], noise: se
             sizes[path] = sizes.get(path, 0) + len(b[1].strip())
     much = MUCH * sum(len(b[1].strip()) for b in kept)
     gone = {path for path, size in sizes.items() if size <= much or dropped(path)}
-    kept = [b for b in kept if gone.isdisjoint(b[4])]
-    if any(b[2] for b in kept):
-        kept = [b for b in kept if b[2]]
+    # Beside main content a name is enough.
+    some_inside = any(b[2] for b in kept)
+    kept = [b for b in kept if gone.isdisjoint(b[4]) and (b[2] or not some_inside or not b[4])]
+    inside = [b for b in kept if b[2]]
+    if any(b[2] & 1 for b in inside) or sum(len(b[1].strip()) for b in inside) >= LEAST_CONTENT * sum(len(b[1].strip()) for b in kept):
+        kept = inside or kept
     if noise:
-        left = [b for b in kept if b[2] == 2 or not dropped(b[0])]
+        left = [b for b in kept if b[2] >= 2 or not dropped(b[0])]
         # Main content stays whole where nothing else of it would be left.
         kept = left if any(b[2] for b in left) else [b for b in kept if b[2] or not dropped(b[0])]
     return "\n".join(t for t in (clean(text) for _, text, *_ in kept) if t)
@@ -267,8 +281,9 @@ def extract_text(
 ) -> DataFrame:
     """Per page: id, url and ``text``, its blocks joined by line feeds (empty if none).
 
-    A branch is removed where its host has at least ``least_pages`` different pages and its importance is below
-    ``least_importance``. Null or empty html has no text; a null url has an empty host; repeated
+    Where a page has a main element, or articles with a third of its text, only their text counts. A branch is removed where its host has
+    at least ``least_pages`` different pages and its importance is below ``least_importance``; pages without a host are one site. Very deep pages cost in
+    proportion to their length: elements beyond a fixed depth belong to the node above. Null or empty html has no text; a null url has an empty host; repeated
     rows give repeated results; other columns are ignored.
     """
     work = Workspace(pages.sparkSession, "extraction")
