@@ -2,13 +2,16 @@
 
 Each rule rejects a document when a rate of its text exceeds a cutoff. The
 cutoffs come from a fixed ladder, lax to strict. Labelled good documents of a
-stratum (a language) decide how far down the ladder a rule may go: a step is
-taken if the exact binomial test, P(at most k of n good ones rejected | rate
-``rejected``) <= level, shows that the rule rejects at most that share of good
-documents there. Steps are tested in order and end at the first failure, which needs no
-correction within a ladder; between rules and strata the level is divided by their
-number (Bonferroni). So with probability 1 - ``risk`` no rule in any stratum
-rejects more than ``rejected`` of the good documents. Too few labels: no step passes and the rule is off.
+stratum (a language) decide how far down the rules may go, all rules together: a document goes if any
+rule fires, so what is tested is the union.
+
+A quarter of the labelled texts, the pilot, puts the steps of all ladders in one order, those first that reject
+fewest good pilot texts. The rest tests them in this order: step t is taken if the exact binomial test,
+P(at most k of n good texts rejected | rate ``rejected``) <= level, shows that the rules with all steps up
+to t reject at most that share of good documents. The order does not depend on the texts tested and the tests end at
+the first failure, so a stratum needs no correction for its many tests (fixed sequence); between strata the level is divided by
+their number (Bonferroni). So with probability 1 - ``risk`` the rules reject at most ``rejected`` of the good
+documents in every stratum. Copies of a text count once, as they are no independent trials. Too few labels: no step passes and the rules are off.
 
 Everything is DataFrame expressions; hashes of eight-word windows are built by
 doubling, so each word costs three hash steps, and windows are ranked only in texts that hold a repeat.
@@ -25,14 +28,15 @@ SYMBOLS = "#*$%&|<>"
 
 # Rates and their ladders of cutoffs, lax to strict.
 LADDERS = {
-    "symbol_rate": (1.0, 0.5, 0.3, 0.2, 0.1, 0.05),
-    "upper_rate": (0.8, 0.6, 0.5, 0.4, 0.3, 0.2),
-    "exclaim_rate": (1.0, 0.5, 0.3, 0.2, 0.1, 0.05),
-    "dup_line_rate": (0.9, 0.7, 0.5, 0.4, 0.3, 0.2),
-    "repeat_rate": (0.5, 0.4, 0.3, 0.25, 0.2, 0.15),
-    "word_length": (20.0, 16.0, 14.0, 12.0, 10.0, 9.0),
+    "symbol_rate": (1.0, 0.5, 0.3, 0.2, 0.15, 0.1, 0.07, 0.05, 0.03, 0.02, 0.01),
+    "upper_rate": (0.8, 0.6, 0.5, 0.45, 0.4, 0.35, 0.3, 0.25, 0.2),
+    "exclaim_rate": (1.0, 0.5, 0.3, 0.2, 0.15, 0.1, 0.07, 0.05, 0.03, 0.02, 0.01),
+    "dup_line_rate": (0.9, 0.7, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.05),
+    "repeat_rate": (0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.07, 0.05, 0.02),
+    "word_length": (20.0, 16.0, 14.0, 12.0, 11.0, 10.0, 9.5, 9.0, 8.5, 8.0, 7.5, 7.0),
 }
-EXACT_TAIL = 20_000  # beyond so many rejected ones the (larger, still valid) Chernoff bound stands in
+PILOT = 4  # one text in so many puts the steps in order
+TAIL_TERMS = 4096  # of a binomial sum; what lies below is bounded by a geometric series
 
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -46,7 +50,7 @@ def _removed(text: Column, characters: str) -> Column:
 
 
 def with_features(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Adds ``_quality_`` columns to every row: the five counts and the rates of LADDERS."""
+    """Adds ``_quality_`` columns to every row: the five counts, the rates of LADDERS and a hash of the text."""
     text, words, n = F.col(_own("text")), F.col(_own("words")), F.col(_own("n_words"))
     trimmed = F.btrim(text, F.lit(WHITE))
     rows = docs.withColumn(_own("text"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
@@ -108,30 +112,87 @@ def with_features(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "repeat_rate": rate(F.col(_own("n_repeat_words")), n),
         "word_length": rate(F.col(_own("word_chars")), n),
     }
-    rows = rows.withColumns({_own(k): c for k, c in rates.items()})
+    rows = rows.withColumns({_own(k): c for k, c in rates.items()} | {_own("text_hash"): F.xxhash64(text)})
     return rows.drop(*(_own(k) for k in ("text", "words", "h1", "h2", "h4", "h8", "ranked", "repeats", "lines")))
 
 
+def _log_factorial(n: Column) -> Column:
+    """log n!, by Stirling's series at n + 10 and ten steps back; exact to double precision at any size."""
+    x = n + 11.0
+    series = (x - 0.5) * F.log(x) - x + 0.9189385332046727 + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
+    for i in range(1, 11):
+        series = series - F.log(n + i)
+    return series
+
+
 def binomial_tail(k: Column, n: Column, p: float) -> Column:
-    """P(X <= k) for X ~ Bin(n, p), by summing terms downwards from k; above the mean it is taken as 1."""
+    """P(X <= k) for X ~ Bin(n, p), by summing terms downwards from k; above the mean it is taken as 1.
+
+    Each term is less than the one before by a factor that falls, so what follows the last one that is
+    summed is at most a geometric series, which is added: never too small, and exact to double precision in practice.
+    """
     n, k = n.cast("double"), k.cast("double")
     q = 1.0 - p
-    few = F.least(k, F.lit(float(EXACT_TAIL)))
-    steps = F.when(few >= 1, F.sequence(F.lit(1), few.cast("int"))).otherwise(F.array().cast("array<int>"))
-    choose = F.aggregate(steps, F.lit(0.0), lambda s, j: s + F.log(n - j + 1) - F.log(j))
-    first = choose + k * F.log(F.lit(p)) + (n - k) * F.log(F.lit(q))
+    steps = F.sequence(F.lit(0), F.least(k, F.lit(float(TAIL_TERMS))).cast("int"))
+    first = _log_factorial(n) - _log_factorial(k) - _log_factorial(n - k) + k * F.log(F.lit(p)) + (n - k) * F.log(F.lit(q))
+
+    def factor(i: Column) -> Column:
+        return (k - i) / (n - k + i + 1) * (q / p)
+
+    # The factor is 0 after the term for no success at all.
     total = F.aggregate(
-        F.reverse(steps),
-        F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum")),
+        steps,
+        F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum"), F.lit(0.0).alias("factor")),
         lambda s, i: F.struct(
-            (s["term"] * i / (n - i + 1) * (q / p)).alias("term"),
-            (s["sum"] + s["term"] * i / (n - i + 1) * (q / p)).alias("sum"),
+            (s["term"] * factor(i)).alias("term"), (s["sum"] + s["term"] * factor(i)).alias("sum"), factor(i).alias("factor")
         ),
-        lambda s: s["sum"],
+        lambda s: s["sum"] + s["term"] * s["factor"] / (1 - s["factor"]),
     )
-    x = k / n
-    divergence = x * F.log(x / p) + (1 - x) * F.log((1 - x) / q)
-    return F.when(k >= n * p, F.lit(1.0)).when(k <= EXACT_TAIL, F.exp(first) * total).otherwise(F.exp(-n * divergence))
+    return F.when(k >= n * p, F.lit(1.0)).otherwise(F.least(F.exp(first) * total, F.lit(1.0)))
+
+
+def _steps_taken(features: DataFrame, good: DataFrame, id_col: str, stratum_col: str, rejected: float, risk: float) -> DataFrame:
+    """``(stratum, rule, step, position, n, k, taken)`` for every step of every stratum, in the order tested."""
+    texts = features.select(F.col(id_col).alias("_id"), F.col(stratum_col).cast("string").alias("stratum"), F.col(_own("text_hash")).alias("hash"),
+                            *[F.col(_own(r)).alias(r) for r in LADDERS])
+    texts = texts.join(good, F.col("_id") == F.col("_label_id"), "left_semi")
+    # Copies of a text have the same rates.
+    texts = texts.groupBy("stratum", "hash").agg(*[F.max(r).alias(r) for r in LADDERS])
+    pilot = F.pmod(F.xxhash64(F.lit("pilot"), "hash"), F.lit(PILOT)) == 0
+
+    def first_step(rule: str, ladder: tuple[float, ...]) -> Column:
+        """The first step of a ladder that rejects a text; all later steps of that ladder do too."""
+        step = F.size(F.filter(F.array(*map(F.lit, ladder)), lambda cutoff: cutoff >= F.col(rule)))
+        return F.struct(F.lit(rule).alias("rule"), step.alias("step"))
+
+    firsts = F.array(*[first_step(rule, ladder) for rule, ladder in LADDERS.items()])
+    texts = texts.select("stratum", "hash", pilot.alias("pilot"), firsts.alias("firsts"))
+    sizes = texts.groupBy("stratum").agg(F.count_if(~F.col("pilot")).alias("n"))
+    sizes = sizes.withColumn("strata", F.count("*").over(Window.partitionBy()))  # a row per stratum
+    ladders = F.array(*[
+        F.struct(F.lit(rule).alias("rule"), F.lit(step).alias("step"), F.lit(cutoff).alias("cutoff"))
+        for rule, ladder in LADDERS.items() for step, cutoff in enumerate(ladder)
+    ])
+    steps = sizes.select("stratum", "n", "strata", F.inline(ladders))
+
+    def same(a: str, b: str) -> Column:
+        return F.col(f"{a}.stratum").eqNullSafe(F.col(f"{b}.stratum")) & (F.col(f"{a}.rule") == F.col(f"{b}.rule")) & (F.col(f"{a}.step") == F.col(f"{b}.step"))
+
+    rejecting = texts.select("stratum", "hash", "pilot", F.inline("firsts"))
+    piloted = rejecting.where("pilot").groupBy("stratum", "rule", "step").agg(F.count("*").alias("c"))
+    up_to = Window.partitionBy("stratum", "rule").orderBy("step")
+    ranked = steps.alias("s").join(piloted.alias("p"), same("s", "p"), "left").select("s.*", F.coalesce("p.c", F.lit(0)).alias("c"))
+    ranked = ranked.withColumn("cost", F.sum("c").over(up_to))
+    chain = ranked.withColumn("position", F.row_number().over(Window.partitionBy("stratum").orderBy("cost", "step", "rule"))).drop("c", "cost")
+    # A text falls at the first position of the chain that rejects it.
+    tested = rejecting.where("NOT pilot").alias("t").join(chain.alias("c"), same("t", "c")).select("t.stratum", "t.hash", "c.position")
+    falls = tested.groupBy("stratum", "hash").agg(F.min("position").alias("position")).groupBy("stratum", "position").agg(F.count("*").alias("fallen"))
+    here = F.col("c.stratum").eqNullSafe(F.col("f.stratum")) & (F.col("c.position") == F.col("f.position"))
+    counted = chain.alias("c").join(falls.alias("f"), here, "left").select("c.*", F.coalesce("f.fallen", F.lit(0)).alias("fallen"))
+    so_far = Window.partitionBy("stratum").orderBy("position")
+    counted = counted.withColumn("k", F.sum("fallen").over(so_far))
+    passed = binomial_tail(F.col("k"), F.col("n"), rejected) <= F.lit(risk) / F.col("strata")
+    return counted.withColumn("passed", passed).withColumn("taken", F.every("passed").over(so_far))
 
 
 def choose_cutoffs(
@@ -154,29 +215,9 @@ def choose_cutoffs(
         .agg(F.min(good_col).alias("_good"))
         .where("_good = 1")
     )
-    rates = [F.col(_own(r)).alias(r) for r in LADDERS]
-    held_out = features.select(F.col(id_col).alias("_id"), F.col(stratum_col).cast("string").alias("stratum"), *rates)
-    held_out = held_out.join(good, F.col("_id") == F.col("_label_id"), "left_semi")
-    counts = [
-        F.count_if(F.col(rule) > cutoff).alias(f"{rule}_{step}")
-        for rule, ladder in LADDERS.items()
-        for step, cutoff in enumerate(ladder)
-    ]
-    counted = held_out.groupBy("stratum").agg(F.count("*").alias("n"), *counts)
-    steps = F.array(
-        *[
-            F.struct(F.lit(rule).alias("rule"), F.lit(step).alias("step"), F.lit(cutoff).alias("cutoff"), F.col(f"{rule}_{step}").alias("k"))
-            for rule, ladder in LADDERS.items()
-            for step, cutoff in enumerate(ladder)
-        ]
-    )
-    tests = counted.select("stratum", "n", F.count("*").over(Window.partitionBy()).alias("strata"), F.explode(steps).alias("s"))
-    level = F.lit(risk) / (F.col("strata") * len(LADDERS))
-    tested = tests.select("stratum", "s.rule", "s.step", "s.cutoff", (binomial_tail(F.col("s.k"), F.col("n"), rejected) <= level).alias("passed"))
-    earlier = Window.partitionBy("stratum", "rule").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
-    earned = tested.withColumn("earned", F.every("passed").over(earlier))
-    return earned.groupBy("stratum").agg(
-        *[F.min(F.when(F.col("earned") & (F.col("rule") == r), F.col("cutoff"))).alias(_own(f"cutoff_{r}")) for r in LADDERS]
+    steps = _steps_taken(features, good, id_col, stratum_col, rejected, risk)
+    return steps.groupBy("stratum").agg(
+        *[F.min(F.when(F.col("taken") & (F.col("rule") == r), F.col("cutoff"))).alias(_own(f"cutoff_{r}")) for r in LADDERS]
     ).withColumnRenamed("stratum", _own("cutoff_stratum"))
 
 

@@ -140,6 +140,55 @@ def test_cutoffs_follow_the_labels(spark):
     assert judged.where("NOT _quality_kept").count() > 0
 
 
+def test_binomial_tail_of_large_counts(spark):
+    """One formula at every size: against sums of logarithms in plain Python."""
+    def exact(k, n, p):
+        top = math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log(1 - p)
+        total = term = 1.0
+        for i in range(k, 0, -1):
+            term *= i / (n - i + 1) * (1 - p) / p
+            total += term
+        return math.exp(top) * total
+
+    cases = [(950, 100_000), (99_500, 10_000_000), (19_999, 2_030_000), (20_001, 2_030_000), (100, 9_000_000)]
+    rows = spark.createDataFrame(cases, "k long, n long").select("k", "n", quality_rules.binomial_tail(F.col("k"), F.col("n"), 0.01).alias("p"))
+    for k, n, p in rows.collect():
+        assert p == pytest.approx(exact(k, n, 0.01), rel=1e-5, abs=1e-300)
+
+
+def test_steps_bound_the_union_of_all_rules(spark):
+    """Against a plain version; rules that each reject a little of the good texts stop together, and copies count once."""
+    rng = random.Random(11)
+    rules = list(quality_rules.LADDERS)
+    rows, labels = [], []
+    for i in range(6000):
+        rates = [0.0] * len(rules)
+        if rng.random() < 0.03:  # every rule rejects half a percent of the good texts, the union three
+            rates[rng.randrange(len(rules))] = 30.0
+        rows.append((i, "en" if i % 5 else None, i, *rates))
+        labels.append((i, int(rng.random() < 0.9)))
+    rows += [(10_000 + i, "en", 1, 30.0, *[0.0] * (len(rules) - 1)) for i in range(500)]
+    rows[1] = (1, "en", 1, 30.0, *[0.0] * (len(rules) - 1))
+    labels += [(10_000 + i, 1) for i in range(500)]
+    names = ", ".join(f"_quality_{r} double" for r in rules)
+    features = spark.createDataFrame(rows, f"doc_id long, lang string, _quality_text_hash long, {names}")
+    marks = spark.createDataFrame(labels, "_label_id long, quality int").where("quality = 1")
+    taken = quality_rules._steps_taken(features, marks, "doc_id", "lang", 0.01, 0.05).orderBy("position").collect()
+    good = {i for i, q in labels if q}
+    for lang in ("en", None):
+        steps = [r for r in taken if r.stratum == lang]
+        assert [r.position for r in steps] == list(range(1, sum(map(len, quality_rules.LADDERS.values())) + 1))
+        pilot = {r.h: r.p for r in features.selectExpr("_quality_text_hash h", "pmod(xxhash64('pilot', _quality_text_hash), 4) = 0 p").collect()}
+        texts = {h: rates for i, s, h, *rates in rows if s == lang and i in good and not pilot[h]}
+        fallen, still = set(), True
+        for r in steps:
+            fallen |= {h for h, rates in texts.items() if rates[rules.index(r.rule)] > r.cutoff}
+            still = still and (len(fallen) < 0.01 * len(texts) and tail(len(fallen), len(texts), 0.01) <= 0.05 / 2)
+            assert (r.n, r.k, r.taken) == (len(texts), len(fallen), still)
+        used = {r.rule for r in steps if r.taken}
+        assert len(used) < len(rules) and (used or lang is None)
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 200)] + [(500, 500), (None, 3)]
@@ -258,3 +307,28 @@ def test_importance_leaves_no_main_content_empty():
     assert html_extract.main_text(page, {"/html/body/main", "/html/body/div"}) == "Text"
     assert html_extract.main_text(page.replace("</main>", "<div>More</div></main>"), {"/html/body/main/div"}) == "Text"
     assert html_extract.main_text(page.replace("main>", "article>"), {"/html/body/article"}) == "Text"
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("<body><div id=content><p>long text long text long text long text</p></div><article><h3>Teaser</h3></article>",
+     "long text long text long text long text\nTeaser"),
+    ("<article><p>We have <math><mi>x</mi><mo>=</mo><mn>1</mn></math> here</p></article>", "We have x=1 here"),
+    ("<article><p>See <object>the fallback</object> and <svg><text>label</text></svg></p></article>", "See the fallback and label"),
+    ("<article><p>Text</p><div class=related>More</div><div class=comments>No</div><div class=share>this</div></article>", "Text\nMore\nthis"),
+    ("<div class=related>Elsewhere, much longer than the text</div><div class=ad>Buy, buy, buy</div><article><p>Text</p></article>", "Text"),
+    ("<div class=related>Elsewhere</div><div><p>The text of this page, without an article</p></div>", "The text of this page, without an article"),
+])
+def test_what_belongs_to_the_article(page, text):
+    assert html_extract.main_text(page, set()) == text
+
+
+def test_deep_and_long_pages_cost_in_proportion_to_their_length():
+    import tracemalloc
+
+    for page in ("<body>" + "<div class='c1 x'>a " * 60_000, "<body>" + f"<div class='{'k' * 500_000}'>a", "<p>" + "word " * 200_000):
+        tracemalloc.start()
+        blocks, shapes = html_extract.page_blocks(page)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert blocks and most < 200 * len(page) + 50_000_000
+        assert max(len(b[0]) for b in blocks) <= (html_extract.DEEPEST + 1) * (html_extract.LONGEST_STYLE + 1)
