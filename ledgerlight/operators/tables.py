@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlight.context import RunContext
+from ledgerlight.operators.key_directory import KeyDirectory
 from ledgerlight.session import path_exists
 
 MONTH_LISTS = "month_lists"
@@ -76,11 +77,14 @@ class MonthTable:
     """One stored mart, partitioned by a ``yyyyMM`` column, or by the days of a date column (``day``).
 
     ``month_in_key=True`` says that the key already contains the month, so a row
-    cannot move to another one and an upsert need not look for old copies.
+    cannot move to another one and an upsert need not look for old copies. With ``key_buckets`` the months of
+    each key are kept in a ``KeyDirectory`` of so many buckets, and an upsert finds old copies there instead of
+    scanning the keys of all stored rows.
     """
 
     def __init__(
-        self, spark: SparkSession, root: str, key: str, month: str, *, month_in_key: bool = False, day: str | None = None
+        self, spark: SparkSession, root: str, key: str, month: str, *, month_in_key: bool = False, day: str | None = None,
+        key_buckets: int | None = None,
     ) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
@@ -89,6 +93,7 @@ class MonthTable:
         # The partition column; that of a table by day is no column of the mart.
         self.month = DAY_COLUMN if day else month
         self.month_in_key = month_in_key
+        self.key_buckets = None if month_in_key else key_buckets
 
     def _cut(self, rows: DataFrame) -> DataFrame:
         """Rows with the partition column."""
@@ -170,6 +175,13 @@ class MonthTable:
             "append"
         ).json(f"{self.root}/{MONTH_LISTS}")
 
+    def _directory(self, listed: dict[str, int], stored: DataFrame) -> KeyDirectory:
+        """The directory of the present history; begun from the stored rows where there is none."""
+        directory = KeyDirectory(self.spark, self.root, min(listed.values()), self.key_buckets)
+        if not directory.exists():
+            directory.add(stored.select(F.col(self.key).cast("string").alias("row_key"), self._label().alias("month")))
+        return directory
+
     def replace(self, rows: DataFrame, *, audit: Audit | None = None) -> None:
         """Full load: the table holds exactly ``rows`` afterwards.
 
@@ -202,7 +214,9 @@ class MonthTable:
         incoming = {r[0] for r in batch.select(self._label()).distinct().collect()}
         stored = self._read(listed)
         moved_from = set()
-        if not self.month_in_key:
+        if self.key_buckets:
+            moved_from = self._directory(listed, stored).take(batch, self.key, self._label())
+        elif not self.month_in_key:
             old_copies = stored.select(self.key, self.month).join(batch.select(self.key), self.key, "left_semi")
             moved_from = {r[0] for r in old_copies.select(self._label()).distinct().collect()}
         touched = incoming | moved_from

@@ -219,3 +219,62 @@ def test_comments_are_stored(spark, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "t")).schema
     assert stored["tier"].metadata["comment"] == "rank of the plan, 1 lowest"
     assert stored["sk_plan_id"].metadata["grain"] == "plan"
+
+
+def test_old_copies_are_found_through_the_directory_of_keys(spark, tmp_path):
+    def rows(*values):
+        return spark.createDataFrame([(k, m, v) for k, m, v in values], "k string, m string, v int")
+
+    plain = MonthTable(spark, str(tmp_path / "plain"), "k", "m")
+    table = MonthTable(spark, str(tmp_path / "kept"), "k", "m", key_buckets=8)
+    first = rows(*[(f"k{i}", f"2024{1 + i % 6:02d}", i) for i in range(60)])
+    batches = [
+        rows(("k0", "202406", 100), ("k1", "202402", 101), ("new", "202407", 102)),  # moved, changed, new
+        rows(("k0", "202401", 200), ("new", "202401", 201), ("k5", "202406", 202)),  # moved back, moved
+        rows(("k0", "202403", 300)),
+    ]
+    for t in (plain, table):
+        t.replace(first)
+        for batch in batches:
+            t.upsert(batch)
+    found = sorted(map(tuple, table.read().collect()))
+    assert found == sorted(map(tuple, plain.read().collect())) and len(found) == 61
+    directory = table._directory(table.months(), table.read())
+    assert sorted(r.month for r in directory.of(rows(("k0", "", 0)).selectExpr("k row_key")).collect()) == ["202401", "202403", "202406"]
+
+    # A run that fails after its keys were noted leaves the rows as they were, and the next one is right.
+    def refuse(_):
+        raise RuntimeError
+
+    before = table.months()
+    publish, table._publish = table._publish, refuse
+    with pytest.raises(TypeError):
+        table.upsert(rows(("k9", "202405", 400)))
+    table._publish = publish
+    assert table.months() == before
+    table.upsert(rows(("k9", "202406", 401)))
+    assert [tuple(r) for r in table.read().where("k = 'k9'").select("k", "m", "v").collect()] == [("k9", "202406", 401)]
+
+    # A full load begins a new directory.
+    table.replace(rows(("k0", "202401", 1)))
+    table.upsert(rows(("k0", "202402", 2)))
+    assert [tuple(r) for r in table.read().select("k", "m", "v").collect()] == [("k0", "202402", 2)]
+
+
+def test_a_join_with_the_directory_moves_the_batch_only(spark, tmp_path):
+    from ledgerlight.operators.key_directory import KeyDirectory
+
+    directory = KeyDirectory(spark, str(tmp_path), 1, 8)
+    directory.add(spark.range(2000).selectExpr("cast(id as string) row_key", "'202401' month"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = directory.of(spark.range(5).selectExpr("cast(id * 7 as string) row_key"))
+        assert joined.count() == 5
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    join = plan[plan.index("SortMergeJoin"):]
+    assert "Bucketed: true" in join
+    # Below the join one exchange: that of the batch.
+    assert join.split("== Initial Plan ==")[0].count("Exchange hashpartitioning") == 1
