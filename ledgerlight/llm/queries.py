@@ -156,6 +156,30 @@ FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+# All pairs of documents that share a shingle, and a closure over the links: for small tables.
+OP5_SQL = r"""
+WITH RECURSIVE doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN []::VARCHAR[] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+         ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i : i + 4], ' ')) END) AS shingles
+  FROM doc_words),
+members AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) AS x_n, any_value(b.n) AS y_n, count(*) AS common
+  FROM members a JOIN members b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT x, y FROM shared WHERE 100 * common >= 85 * (x_n + y_n - common)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sets
+  UNION SELECT r.doc_id, l.y FROM reached r JOIN both_ways l ON r.other = l.x)
+SELECT s.doc_id, len(s.shingles)::BIGINT AS n_shingles, min(r.other) AS component_id, s.doc_id = min(r.other) AS kept
+FROM sets s JOIN reached r USING (doc_id) GROUP BY s.doc_id, s.shingles
+"""
+
+
 # No page of the tables names an alias, so the rules alone decide here; tests cover aliases by brute force.
 OP6_SQL = r"""
 WITH addresses AS (
@@ -259,6 +283,7 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_decontamination": OP3_SQL,
+        "op5_near_dedup": OP5_SQL,
         "op6_url_filters": OP6_SQL,
         "op9_substring_dedup": OP9_SQL,
         "op11_lexical_search": OP11_SQL,
