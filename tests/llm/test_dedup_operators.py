@@ -238,10 +238,13 @@ def test_registered_queries_give_their_columns(spark, sf_dir):
         "op8_html_extraction": ["page_id", "url", "text", "n_chars"],
         "op9_substring_dedup": ["doc_id", "n_words", "n_removed", "kept_sha256"],
         "op10_quality_rules": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
+        "op11_lexical_search": ["item_id", "rank", "doc_id", "score"],
+        "op12_nearest_neighbours": ["query_id", "rank", "vec_id", "score"],
+        "op13_token_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
     }
     assert list(queries()) == list(columns)
     assert set(oracle_sql()) < set(columns)
-    for name in ("op4_license_scan", "op8_html_extraction", "op9_substring_dedup"):
+    for name in ("op4_license_scan", "op8_html_extraction", "op9_substring_dedup", "op11_lexical_search", "op12_nearest_neighbours", "op13_token_alignment"):
         assert queries()[name](spark, sf_dir).columns == columns[name]
 
 
