@@ -381,6 +381,27 @@ def enforce(rows: DataFrame, contract: Contract) -> DataFrame:
     return rows.select(columns)
 
 
+def described(rows: DataFrame) -> DataFrame:
+    """One row per column of a stored mart: place, name, type, comment, whether it holds personal data, and its filled rows.
+
+    Comments and types are read off the stored table, not off the contract.
+    """
+    counts = rows.agg(*[F.count(F.col(f.name)).alias(f.name) for f in rows.schema])
+    personal = {c for columns in PII_COLUMNS.values() for c in columns}
+    facts = [
+        F.struct(
+            F.lit(place).alias("place"),
+            F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("data_type"),
+            F.lit(f.metadata.get("comment")).cast("string").alias("comment"),
+            F.lit(f.name in personal).alias("is_personal"),
+            F.col(f.name).alias("filled_rows"),
+        )
+        for place, f in enumerate(rows.schema.fields, 1)
+    ]
+    return counts.select(F.inline(F.array(*facts)))
+
+
 def _rules(contract: Contract) -> list[Check]:
     rules = [checks.not_null(contract.table, c) for c in contract.required]
     return rules + ([checks.unique(contract.table, contract.primary_key)] if contract.primary_key else [])

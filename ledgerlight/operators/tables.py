@@ -84,7 +84,7 @@ class MonthTable:
 
     def __init__(
         self, spark: SparkSession, root: str, key: str, month: str, *, month_in_key: bool = False, day: str | None = None,
-        key_buckets: int | None = None,
+        key_buckets: int | None = None, month_comment: str | None = None,
     ) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
@@ -94,6 +94,8 @@ class MonthTable:
         self.month = DAY_COLUMN if day else month
         self.month_in_key = month_in_key
         self.key_buckets = None if month_in_key else key_buckets
+        # Files hold the other columns' comments; a partition column is in no file.
+        self.month_notes = {"comment": month_comment} if month_comment and not day else None
 
     def _cut(self, rows: DataFrame) -> DataFrame:
         """Rows with the partition column."""
@@ -134,6 +136,7 @@ class MonthTable:
             .option("basePath", self.root)
             .parquet(*folders)
             .drop("version")
+            .withColumn(self.month, F.col(self.month).alias(self.month, metadata=self.month_notes or {}))
         )
 
     def read(self) -> DataFrame:

@@ -33,7 +33,10 @@ STORED_MARTS = {
 
 def mart_table(spark: SparkSession, root: str, name: str) -> MonthTable:
     key, month, month_in_key = STORED_MARTS[name]
-    return MonthTable(spark, f"{root}/{name}", key, month, month_in_key=month_in_key, day=DAY_COLUMNS.get(name))
+    return MonthTable(
+        spark, f"{root}/{name}", key, month, month_in_key=month_in_key, day=DAY_COLUMNS.get(name),
+        month_comment=contracts.COMMENTS[month],
+    )
 
 
 def _audited(name: str) -> contracts.WriteAudit:

@@ -273,6 +273,13 @@ def _appended_columns(m: Marts) -> DataFrame:
     return _stored_upsert(m, stored, batch, "fct_payments")
 
 
+def _user_catalog(m: Marts) -> DataFrame:
+    """The columns of the stored user dimension with the comments that went with it."""
+    table = mart_table(m.raw.spark, scratch_folder(m.raw.spark, "catalog"), "dim_users")
+    table.replace(contracts.enforce(m.users, contracts.CONTRACTS["dim_users"]))
+    return contracts.described(table.read())
+
+
 def _from_view(m: Marts) -> DataFrame:
     """A staged layer as a view, read by SQL."""
     tables.as_view(m.staged_payments, "staged_payments")
@@ -386,6 +393,7 @@ BATCH_QUERIES: dict[str, Callable[[Marts], DataFrame]] = {
     "full_refresh_subscriptions": _full_refresh,
     "append_columns": _appended_columns,
     "view_sink": _from_view,
+    "dim_users_catalog": _user_catalog,
     "ordered_mrr_arr": lambda m: _in_order(revenue.mrr_arr(m.live_month_totals)),
     "ordered_cancel_reasons": lambda m: _in_order(billing.cancel_reasons(m.keyless_subscriptions, m.plans)),
     "milestone_quantiles": _milestone_quantiles,

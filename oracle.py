@@ -42,6 +42,21 @@ JSON_FIELDS = {
     "event_source": "source", "activation_action": "action", "feature_used": "feature", "upgraded_from_plan": "from_plan",
     "upgraded_to_plan": "to_plan", "churn_reason": "reason",
 }
+# Name, type, comment, and what to count for the filled rows (a load timestamp is never NULL), in the stored order.
+USER_COLUMNS = (
+    ("sk_user_id", "string", "surrogate key of the user", "sk_user_id"),
+    ("user_id", "string", "user id of the source, trimmed", "user_id"),
+    ("company_name", "string", "company name in upper case", "company_name"),
+    ("company_size", "string", "size class of the company", "company_size"),
+    ("company_size_order", "int", "sort order of the size class, 0 for unknown", "company_size_order"),
+    ("industry", "string", "industry in lower case, 'unknown' if not given", "industry"),
+    ("acquisition_channel", "string", "marketing channel, blanks as underscores, 'unknown' if not given", "acquisition_channel"),
+    ("country", "string", "two-letter country code", "country"),
+    ("signed_up_at", "date", "day of signup in the profile", "signed_up_at"),
+    ("is_deleted", "int", "1 deleted, 0 not, 999999 unknown", "is_deleted"),
+    ("_stg_loaded_at", "timestamp", "when staging took the row", "*"),
+    ("signup_month", "string", "month of signup, yyyyMM", "signup_month"),
+)
 EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 
 
@@ -54,6 +69,10 @@ def _key(*parts: str) -> str:
     return "md5(" + " || '-' || ".join(texts) + ")"
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
 def _quoted(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
@@ -599,6 +618,11 @@ def _finals(ctx) -> dict[str, str]:
                    CASE WHEN payment_date >= {payment_floor} THEN days_in_period END AS days_in_period)
             FROM fct_payments""",
         "full_refresh_subscriptions": _flat("fct_subscriptions", dates=SUBSCRIPTION_DATES, decimals="mrr", drop=KEYLESS),
+        "dim_users_catalog": " UNION ALL ".join(
+            f"SELECT {place} AS place, '{name}' AS column_name, '{kind}' AS data_type, {_text(comment)} AS comment, "
+            f"false AS is_personal, (SELECT count({filled}) FROM dim_users) AS filled_rows"
+            for place, (name, kind, comment, filled) in enumerate(USER_COLUMNS, 1)
+        ),
         "view_sink": """
             SELECT status, payment_month, count(*) AS payments, CAST(sum(amount) AS DOUBLE) AS amount
             FROM stg_payments GROUP BY ALL""",
