@@ -4,8 +4,9 @@ A line is compared in lower case (A to Z), trimmed, as the set of its character
 shingles. One scan of the texts gives each line a 64-bit hash of its content, which stands for the
 line from then on, and band keys of a 64-register MinHash: 16 bands of four, so lines of similarity 0.8 share
 no bucket with a chance of 2e-4, of 0.9 with 2e-7. Equal lines have equal hashes and cost nothing below.
-Candidates come from buckets by way of hubs (``hubs.py``), are confirmed on their full shingle
-sets, and components over the links are the groups. A changed character inside a line changes as many
+Candidates come from buckets by way of hubs (``hubs.py``). Only lines of at least 0.8 of each other's number of shingles meet (or whatever the similarity is); long
+ones are first compared by 64 bytes of their registers, with five standard deviations to spare. What is left is confirmed on the full shingle
+sets, which are made anew from the lines' texts: a text is an eighth of its shingles' hashes. Components over the links are the groups. A changed character inside a line changes as many
 shingles as one is long, so with nine characters a line needs 89 to stay similar, with five 49; shorter
 shingles are so common in a language that unrelated lines fill the buckets, at no loss but of time.
 """
@@ -17,9 +18,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlight.llm.hubs import alike, hub_members, link_members, partner_bounds, shared_buckets
+from ledgerlight.llm.hubs import hub_members, link_members, shared_buckets
 from ledgerlight.llm.storage import Workspace, map_batches
 from ledgerlight.llm.text_arrays import LOWER, NEWLINE, SPACE, Block, blocks, byte_values, lists, mix, owner, prefix_sums, span_hashes
 
@@ -79,19 +81,8 @@ def _orders() -> np.ndarray:
 
 def band_keys(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Keys of each line's bands, one row per line."""
-    n = len(counts)
-    registers = np.full((n, REGISTERS), _NONE)
-    place = np.repeat(np.arange(n) * REGISTERS, counts) + (hashes >> np.uint64(58)).astype(np.int64)
-    np.minimum.at(registers.reshape(-1), place, mix(hashes ^ np.uint64(0x2545F4914F6CDD1D)))
-    row, column = np.nonzero(registers == _NONE)
-    full, orders = registers.copy(), _orders()
-    for step in range(REGISTERS):
-        if not len(row):
-            break
-        found = full[row, orders[column, step]]
-        registers[row, column] = found
-        row, column = row[found == _NONE], column[found == _NONE]
-    keys = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (n, 1))
+    registers = registers_of(hashes, counts)
+    keys = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(counts), 1))
     for k in range(ROWS):
         keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + registers[:, k::ROWS])
     return keys.view(np.int64)
@@ -118,25 +109,133 @@ def _line_rows(shingle: int, least_chars: int):
     return rows
 
 
-def _shingle_sets(shingle: int):
+# Pairs of lines with at least so many shingles each are estimated first: two a register.
+ESTIMATED = 2 * REGISTERS
+
+
+def registers_of(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Smallest hash per register, one row per line; empty registers borrow from others in a fixed random order."""
+    n = len(counts)
+    registers = np.full((n, REGISTERS), _NONE)
+    place = np.repeat(np.arange(n) * REGISTERS, counts) + (hashes >> np.uint64(58)).astype(np.int64)
+    np.minimum.at(registers.reshape(-1), place, mix(hashes ^ np.uint64(0x2545F4914F6CDD1D)))
+    row, column = np.nonzero(registers == _NONE)
+    full, orders = registers.copy(), _orders()
+    for step in range(REGISTERS):
+        if not len(row):
+            break
+        found = full[row, orders[column, step]]
+        registers[row, column] = found
+        row, column = row[found == _NONE], column[found == _NONE]
+    return registers
+
+
+def distinct_shingles(lines: Lines) -> tuple[np.ndarray, np.ndarray]:
+    """The different shingles of all lines in ascending order, line after line, and the line of each."""
+    hashes, counts = lines.shingles(np.arange(len(lines.nodes)))
+    line = owner(np.append(0, np.cumsum(counts)))
+    order = np.lexsort((hashes, line))
+    hashes, line = hashes[order], line[order]
+    fresh = np.append(True, (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1]))[: len(hashes)]
+    return hashes[fresh], line[fresh]
+
+
+def _measured(shingle: int):
+    """Lines with their number of shingles and a byte of each register."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            items = batch.column(0)
             for block in blocks(batch.column(1), BLOCK_BYTES):
                 lines = Lines(block, shingle, 1)
-                hashes, counts = lines.shingles(np.arange(len(lines.nodes)))
-                text = owner(np.append(0, np.cumsum(counts)))
-                order = np.lexsort((hashes, text))
-                hashes, text = hashes[order], text[order]
-                fresh = np.append(True, (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1]))[: len(hashes)]
-                distinct = np.bincount(text[fresh], minlength=len(counts))
+                hashes, line = distinct_shingles(lines)
+                counts = np.bincount(line, minlength=len(lines.nodes))
+                # The lowest byte; the top bits of small hashes are alike.
+                sketch = (registers_of(hashes, counts) & np.uint64(255)).astype(np.uint8)
+                place = pa.array(lines.text + block.first)
                 yield pa.RecordBatch.from_arrays(
-                    [items.take(pa.array(lines.text + block.first)), lists(hashes[fresh].view(np.int64), distinct, pa.int64())], names=["item", "members"]
+                    [batch.column(0).take(place), pa.array(counts, pa.int64()), pa.array([r.tobytes() for r in sketch], pa.binary()), batch.column(1).take(place)],
+                    names=["item", "n", "sketch", "content"],
                 )
 
     return rows
 
 
+def _estimating(percent: int):
+    """Pairs that may be similar enough: short ones, and those whose registers leave room for it."""
+    p = percent / 100
+    least = REGISTERS * (p - 5 * (p * (1 - p) / REGISTERS) ** 0.5)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (
+                np.frombuffer(b"".join(batch.column(f"sketch_{s}").to_pylist()), dtype=np.uint8).reshape(-1, REGISTERS) for s in "ab"
+            )
+            short = np.minimum(batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()) < ESTIMATED
+            kept = pa.array(short | ((left == right).sum(axis=1) >= least))
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(kept), batch.column("b").filter(kept)], names=["a", "b"])
+
+    return rows
+
+
+def _verifying(shingle: int, percent: int):
+    """Pairs of lines whose full shingle sets are similar enough."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pa.concat_arrays([batch.column("content_a").cast(pa.large_string()), batch.column("content_b").cast(pa.large_string())])
+            n = len(batch)
+            similar = np.zeros(n, dtype=bool)
+            # So many pairs at a time as their texts fill a block or two.
+            width = np.asarray(pa.compute.binary_length(texts), dtype=np.int64)
+            group = np.cumsum(width[:n] + width[n:]) // BLOCK_BYTES
+            for g in np.unique(group):
+                pairs = np.flatnonzero(group == g)
+                sets = [_set_of(texts.take(pa.array(pairs + shift)), shingle) for shift in (0, n)]
+                pair = np.concatenate([line for _, line in sets])
+                hashes = np.concatenate([h for h, _ in sets])
+                order = np.lexsort((hashes, pair))
+                pair, hashes = pair[order], hashes[order]
+                twice = (hashes[1:] == hashes[:-1]) & (pair[1:] == pair[:-1])
+                common = np.bincount(pair[1:][twice], minlength=len(pairs))
+                total = np.bincount(pair, minlength=len(pairs))
+                similar[pairs] = 100 * common >= percent * (total - common)
+            kept = pa.array(similar)
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(kept), batch.column("b").filter(kept)], names=["a", "b"])
+
+    return rows
+
+
+def _set_of(texts: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of texts of one line each, and the text of each."""
+    hashes, places = [], []
+    for block in blocks(texts, BLOCK_BYTES):
+        lines = Lines(block, shingle, 1)
+        h, line = distinct_shingles(lines)
+        hashes.append(h)
+        places.append(lines.text[line] + block.first)
+    return np.concatenate(hashes), np.concatenate(places)
+
+
+class _Pairs:
+    """Confirms candidate pairs of lines."""
+
+    def __init__(self, texts: DataFrame, shingle: int, percent: int, work: Workspace) -> None:
+        self.texts, self.shingle, self.percent, self.work = texts, shingle, percent, work
+
+    def _sides(self, pairs: DataFrame, *columns: str) -> DataFrame:
+        for side in "ab":
+            own = self.texts.select(F.col("item").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
+            pairs = pairs.join(own, side)
+        return pairs
+
+    def links(self, pairs: DataFrame, name: str) -> DataFrame:
+        """Those of ``pairs(a, b)`` that are similar enough."""
+        sized = self._sides(pairs, "n", "sketch")
+        likely = self.work.write(map_batches(sized, _estimating(self.percent), "a long, b long"), f"{name}-likely")
+        full = self._sides(likely, "content").select("a", "b", "content_a", "content_b")
+        return self.work.write(map_batches(full, _verifying(self.shingle, self.percent), "a long, b long"), f"{name}-links")
+
+
 def first_places(places: DataFrame) -> DataFrame:
     """The first place of each group of ``places(group, k, part, line)``, and the number of places."""
     per_text = places.groupBy("group", "k", "part").agg(F.min("line").alias("line"), F.count("*").alias("c"))
@@ -180,10 +279,12 @@ def dedup_lines(
     found = found.select(F.split("text", "\n").alias("split"), "wanted").select("split", F.explode("wanted").alias("w"))
     content = found.select(F.col("w.group").alias("item"), F.get("split", F.col("w.line")).alias("content"))
     content = content.groupBy("item").agg(F.min("content").alias("content"))
-    sets = work.write(map_batches(content, _shingle_sets(shingle), "item long, members array<long>"), "sets")
-    bounds = work.write(partner_bounds(sets, percent), "bounds")
+    texts = work.write(map_batches(content, _measured(shingle), "item long, n long, sketch binary, content string"), "texts")
+    # A partner has at most this many shingles; own members are not counted, as short shingles are seldom a line's own.
+    top = F.floor(F.col("n") * 100 / percent)
+    bounds = texts.select("item", "n", top.alias("top"), F.lit(0).cast("long").alias("own"))
     members = work.write(hub_members(shared, bounds), "members")
-    labels = link_members(members, lambda pairs, name: work.write(alike(sets, pairs, percent), f"{name}-links"), work)
+    labels = link_members(members, _Pairs(texts, shingle, percent, work).links, work)
 
     placed = lines.select("id", "part", "line", "node").join(labels, "node", "left")
     placed = placed.select("id", "part", "line", F.coalesce("component", "node").alias("group"))
