@@ -6,16 +6,13 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 import ledgerlight
 
-from ledgerlight.session import scratch_folder
-
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+from ledgerlight.session import scratch_folder, shuffle_files_dropped
 
 _shipped: set[str] = set()
 
@@ -48,21 +45,6 @@ def map_batches(table: DataFrame, function: Callable, schema: str) -> DataFrame:
     return table.mapInArrow(run, schema)
 
 
-@contextmanager
-def shuffle_files_dropped(spark: SparkSession) -> Iterator[None]:
-    """Within it, each finished SQL execution drops its shuffle files at once.
-
-    A step ends in a written table, so nothing reads them again; a lost file
-    before that end is made anew from the step's inputs.
-    """
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(CLEANUP, before)
-
-
 class Workspace:
     """A fresh folder for the tables of one run; a written table cuts the lineage."""
 
