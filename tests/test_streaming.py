@@ -4,8 +4,10 @@ from datetime import date, datetime, timedelta
 import pytest
 
 from ledgerlight.context import RunContext
+from ledgerlight.operators.staging import stg_events
 from ledgerlight.operators.tables import MonthTable
 from ledgerlight.sources.schemas import RAW_EVENTS
+from ledgerlight.streaming import events
 from ledgerlight.streaming.events import churn_counts, churn_monitor, durable_state, stream_events, stream_late_events
 from ledgerlight.streaming.freshness import freshness
 
@@ -115,3 +117,25 @@ def test_freshness(spark, hours, status):
     assert (row.age_seconds, row.status) == (hours * 3600, status)
     empty = freshness(rows.limit(0), "s", "loaded", now, timedelta(days=1), timedelta(days=3)).first()
     assert empty.status == "error"
+
+
+def test_only_missing_late_events_are_staged(spark, users, tmp_path, monkeypatch):
+    feed = Feed(spark, tmp_path / "feed")
+    table = MonthTable(spark, str(tmp_path / "fct_events"), "sk_event_id", "event_month")
+    staged = []
+
+    def counted(raw, **options):
+        if not raw.isStreaming:
+            staged.append(raw.count())
+        return stg_events(raw, **options)
+
+    monkeypatch.setattr(events, "stg_events", counted)
+    feed.add(("e1", "u1", "signed_up", "2024-01-10 10:00:00"), ("e2", "u1", "activated", "2024-02-10 09:00:00"))
+    stream_events(feed.stream(), users, table, str(tmp_path / "state"), CTX).awaitTermination()
+    feed.add(("e1", "u1", "signed_up", "2024-01-10 10:00:00"), ("e3", "u2", "activated", "2024-01-10 11:00:00", "price"),
+             ("e3", "u2", "activated", "2024-01-10 11:00:00", "price"), ("e4", "u2", "activated", "2024-02-11 11:00:00"), (None, "u2", "activated", "2024-01-09 11:00:00"))
+    stream_late_events(feed.stream(), users, table, str(tmp_path / "late"), CTX).awaitTermination()
+    # Both copies of e3 and the one without an id, which staging leaves out.
+    assert max(staged) == 3
+    found = sorted((r.event_id, r.sk_user_id, r.churn_reason) for r in table.read().collect())
+    assert [f[:2] for f in found] == [("e1", "k1"), ("e2", "k1"), ("e3", "k2")] and found[2][2] == "price"
