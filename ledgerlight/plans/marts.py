@@ -83,7 +83,7 @@ class Marts:
 
     @cached_property
     def funnel(self) -> DataFrame:
-        return funnel.fct_user_funnel(self.keyless_events, self.keyless_subscriptions, self.users, self.ctx)
+        return funnel.fct_user_funnel(self.plain_events, self.keyless_subscriptions, self.users, self.ctx)
 
     # The same facts for reports that do not read the user key: no join with the users.
 
@@ -91,6 +91,11 @@ class Marts:
     def keyless_events(self) -> DataFrame:
         return facts.fct_events(self.staged_events, None)
 
+    @cached_property
+    def plain_events(self) -> DataFrame:
+        """The same rows for reports that read no JSON field: field by field, what is not read is not parsed."""
+        return facts.fct_events(staging.stg_events(self.raw.events, single_pass_json=False), None)
+
     @cached_property
     def keyless_payments(self) -> DataFrame:
         return facts.fct_payments(self.staged_payments, None, self.plans)

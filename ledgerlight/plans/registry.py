@@ -182,17 +182,19 @@ def _batches(m: Marts) -> Iterator[tuple[DataFrame, DataFrame, DataFrame]]:
     Events of the last days before a batch are delivered again. A quarter of the subscriptions is in the first batch as an
     active one without an end, and in the last as it is.
     """
-    events, subs = m.keyless_events, m.keyless_subscriptions
+    events, subs = m.plain_events, m.keyless_subscriptions
     changing = F.pmod(F.xxhash64("subscription_id"), F.lit(4)) == 0
     begun = F.coalesce("trial_start_date", F.lit(FIRST_DAY + timedelta(days=1)))
     before = {"is_active": F.lit(True), "is_churned": F.lit(False), "mrr": (F.col("mrr") + 1).cast("decimal(10,2)"), "cancel_reason": F.lit("as known first")}
-    early = subs.where(changing).withColumns(before)
+    # One scan for both kinds: the changing ones are marked, not read apart.
+    early = subs.withColumns({name: F.when(changing, value).otherwise(F.col(name)) for name, value in before.items()})
     floor = (FIRST_DAY, FIRST_DAY)
     for number, (day, start) in enumerate(BATCH_ENDS):
         last = start == LAST_DAY
-        fresh = subs.where(~changing & (begun > F.lit(floor[1])) & (begun <= F.lit(start)))
-        known = subs.where(~changing & (begun <= F.lit(start))).unionByName(subs.where(changing) if last else early)
-        batch = fresh if 0 < number and not last else fresh.unionByName(subs.where(changing) if last else early)
+        rows = subs if last else early
+        known = rows.where(changing | (begun <= F.lit(start)))
+        fresh = ~changing & (begun > F.lit(floor[1])) & (begun <= F.lit(start))
+        batch = rows.where(fresh if 0 < number and not last else changing | fresh)
         repeated = floor[0] - timedelta(days=3) if number else FIRST_DAY
         yield events.where((F.col("event_date") > F.lit(repeated)) & (F.col("event_date") <= F.lit(day))), batch, known
         floor = (day, start)
@@ -358,8 +360,8 @@ BATCH_QUERIES: dict[str, Callable[[Marts], DataFrame]] = {
     "retention_heatmap": lambda m: product.retention_heatmap(m.cohort_retention),
     "retention_heatmap_triangle": lambda m: product.retention_heatmap(m.cohort_triangle),
     "channel_conversion": lambda m: product.channel_conversion(m.funnel),
-    "funnel_stage_users": lambda m: product.funnel_stage_users(m.keyless_events),
-    "activation_latency": lambda m: product.activation_latency(m.keyless_events, m.users),
+    "funnel_stage_users": lambda m: product.funnel_stage_users(m.plain_events),
+    "activation_latency": lambda m: product.activation_latency(m.plain_events, m.users),
     "feature_conversion_pivot": lambda m: product.feature_conversion_pivot(m.keyless_events),
     "activation_conversion": lambda m: product.activation_conversion(m.funnel),
     "stage_conversion": lambda m: product.stage_conversion(m.funnel),
