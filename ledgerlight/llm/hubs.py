@@ -68,6 +68,7 @@ def link_members(
     plausible: Callable[[str, str, str, str], Column] | None = None,
     first_shared: Callable[[str, str, str], Column] | None = None,
     confirm: Callable[[DataFrame, str], DataFrame] | None = None,
+    also: DataFrame | None = None,
 ) -> DataFrame:
     """``(node, component)`` of all linked items.
 
@@ -76,19 +77,21 @@ def link_members(
     keep only pairs that ``plausible`` (columns of two sketches and two sizes) lets through, before they become rows;
     ``confirm`` then takes the place of ``links_of``. ``first_shared`` (columns of two sketches and the bucket's band) tells whether
     a bucket is the first that two items share: a pair is compared in that one only, when one of the two becomes a hub there.
-    ``members`` then have a column ``band``.
+    ``members`` then have a column ``band``. ``also`` are further pairs (a < b) for the first round, of buckets that are not among the members.
     """
     ends = [F.least("hub", "item").alias("a"), F.greatest("hub", "item").alias("b")]
     first = members.where("item <> hub").where(_may_link("n", "top", "hub_n", "hub_top"))
-    compared = work.write(first.select(*ends).distinct(), "pairs-0")
+    first = first.select(*ends)
+    compared = work.write((first.unionByName(also) if also is not None else first).distinct(), "pairs-0")
     links = links_of(compared, "round-0")
     labels = connected_components(links, work, "round-0")
-    spent = members.select("key", F.col("hub").alias("item")).distinct()
     size_class = F.floor(F.log("n") / F.log(F.lit(1.01)))
     band, turn = (["band"] if first_shared is not None else []), 0
+    # Both ends of an uncompared pair that may link two components wait, and labels only merge: who does not wait now never will.
+    left = members.where("item <> hub")
     while True:
         turn += 1
-        left = members.drop("hub", "hub_n", "hub_top").join(spent, ["key", "item"], "left_anti")
+        left = left.select("key", *band, "item", "n", "top", "own")
         left = left.join(labels.withColumnRenamed("node", "item"), "item", "left")
         left = left.select("key", *band, "item", "n", "top", "own", F.coalesce("component", "item").alias("label"))
         # What a bucket offers, by size: an item waits only if some size suits it, with another component.
@@ -119,7 +122,7 @@ def link_members(
         cross = waiting.join(hubs, "key").where(meets)
         pairs = work.write(cross.select(*ends).distinct().join(compared, ["a", "b"], "left_anti"), f"pairs-{turn}")
         compared = compared.unionByName(pairs)
-        spent = spent.unionByName(hubs.select("key", F.col("hub").alias("item")))
+        left = waiting.join(hubs.select("key", F.col("hub").alias("item")), ["key", "item"], "left_anti")
         found = (confirm or links_of)(pairs, f"round-{turn}")
         if not found.isEmpty():
             labels = _joined(labels, found, work, f"round-{turn}")

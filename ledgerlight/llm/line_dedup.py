@@ -4,9 +4,11 @@ A line is compared in lower case (A to Z), trimmed, as the set of its character
 shingles. One scan of the texts gives each line a 64-bit hash of its content, which stands for the
 line from then on, and band keys of a 64-register MinHash: 16 bands of four, so lines of similarity 0.8 share
 no bucket with a chance of 2e-4, of 0.9 with 2e-7. Equal lines have equal hashes and cost nothing below.
-Candidates come from buckets by way of hubs (``hubs.py``). Only lines of at least 0.8 of each other's number of shingles meet (or whatever the similarity is); long
-ones are first compared by 64 bytes of their registers, with five standard deviations to spare. What is left is confirmed on the full shingle
-sets, which are made anew from the lines' texts: a text is an eighth of its shingles' hashes. Components over the links are the groups. A changed character inside a line changes as many
+In small buckets all pairs are candidates, in larger ones they come by way of hubs (``hubs.py``). Only lines of at least 0.8 of each other's number of shingles meet (or whatever the similarity is).
+They are first compared by 64 bytes: a line's parity sketch has a bit for each of 512 classes of shingles, set if the line holds an odd number of that class, so
+two lines differ in at least as many shingles as bits, and no similar pair is lost. Two lines of 800 shingles or more are compared by a byte of
+each register, with five standard deviations to spare. What is left is confirmed on the full shingle
+sets, which are made anew from the texts of the lines in such pairs. Components over the links are the groups. A changed character inside a line changes as many
 shingles as one is long, so with nine characters a line needs 89 to stay similar, with five 49; shorter
 shingles are so common in a language that unrelated lines fill the buckets, at no loss but of time.
 """
@@ -14,7 +16,7 @@ shingles are so common in a language that unrelated lines fill the buckets, at n
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,16 +25,23 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerlight.llm.hubs import hub_members, link_members, shared_buckets
 from ledgerlight.llm.storage import Workspace, map_batches
-from ledgerlight.llm.text_arrays import LOWER, NEWLINE, SPACE, Block, blocks, byte_values, lists, mix, owner, prefix_sums, span_hashes
+from ledgerlight.llm.text_arrays import LOWER, NEWLINE, SPACE, Block, blocks, byte_values, lists, mix, prefix_sums, span_hashes
 
 REGISTERS = 64
 BANDS, ROWS = 16, 4
 BLOCK_BYTES = 1 << 20
+SKETCH_BYTES = 64
+# Pairs of lines of so many different shingles each are estimated by registers: of longer ones unrelated parities differ no more than they may.
+LONG = 800
+# Buckets of so many lines are compared all with all.
+SMALL = 8
+# The bands are shuffled in so many steps, one after the other.
+BAND_STEPS = 2
 _NONE = np.uint64((1 << 64) - 1)
 
 LEAST = -(1 << 63)  # stands for a missing id, which comes first
 
-LINES = "id long, part long, line int, node long, keys array<long>"
+LINES = "id long, part long, line int, node long, n long, parities binary, registers binary, keys array<long>"
 
 # Lower case, and every white space as a blank.
 _PLAIN = LOWER.copy()
@@ -79,16 +88,24 @@ def _orders() -> np.ndarray:
     return np.argsort(mix(np.arange(REGISTERS * REGISTERS, dtype=np.uint64) + np.uint64(5)).reshape(REGISTERS, -1), axis=1)
 
 
-def band_keys(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def band_keys(registers: np.ndarray) -> np.ndarray:
     """Keys of each line's bands, one row per line."""
-    registers = registers_of(hashes, counts)
-    keys = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(counts), 1))
+    keys = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(registers), 1))
     for k in range(ROWS):
         keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + registers[:, k::ROWS])
     return keys.view(np.int64)
 
 
-def _line_rows(shingle: int, least_chars: int):
+def _bytes_at(rows: np.ndarray, places: np.ndarray, n: int) -> pa.Array:
+    """``n`` binaries: the rows' bytes at their places, elsewhere none."""
+    widths = np.zeros(n + 1, dtype=np.int32)
+    widths[places + 1] = rows.shape[1]
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.cumsum(widths, dtype=np.int32)), pa.py_buffer(rows.tobytes())])
+
+
+def _line_rows(shingle: int, least_chars: int, percent: int):
+    """All lines; the first of equal ones in a block with its shingles' number, sketches and band keys."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, parts = batch.column(0), batch.column(1)
@@ -96,23 +113,23 @@ def _line_rows(shingle: int, least_chars: int):
                 lines = Lines(block, shingle, least_chars)
                 _, sample = np.unique(lines.nodes, return_index=True)
                 sample.sort()
-                keys = band_keys(*lines.shingles(sample))
-                counts = np.zeros(len(lines.nodes), dtype=np.int64)
-                counts[sample] = BANDS
+                hashes, many = lines.shingles(sample)
+                registers = registers_of(hashes, many)
+                n, parity, lowest = sketches(hashes, many, registers)
+                counts, sizes = np.zeros(len(lines.nodes), dtype=np.int64), np.zeros(len(lines.nodes), dtype=np.int64)
+                counts[sample], sizes[sample] = BANDS, n
+                short, long = 100 * LONG > percent * n, n >= LONG
                 texts = pa.array(lines.text + block.first)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(texts), parts.take(texts), pa.array(lines.number, pa.int32()), pa.array(lines.nodes),
-                     lists(keys.reshape(-1), counts, pa.int64())],
-                    names=["id", "part", "line", "node", "keys"],
+                    [ids.take(texts), parts.take(texts), pa.array(lines.number, pa.int32()), pa.array(lines.nodes), pa.array(sizes),
+                     _bytes_at(parity[short], sample[short], len(sizes)), _bytes_at(lowest[long], sample[long], len(sizes)),
+                     lists(band_keys(registers).reshape(-1), counts, pa.int64())],
+                    names=["id", "part", "line", "node", "n", "parities", "registers", "keys"],
                 )
 
     return rows
 
 
-# Pairs of lines with at least so many shingles each are estimated first: two a register.
-ESTIMATED = 2 * REGISTERS
-
-
 def registers_of(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Smallest hash per register, one row per line; empty registers borrow from others in a fixed random order."""
     n = len(counts)
@@ -130,49 +147,61 @@ def registers_of(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return registers
 
 
-def distinct_shingles(lines: Lines) -> tuple[np.ndarray, np.ndarray]:
-    """The different shingles of all lines in ascending order, line after line, and the line of each."""
-    hashes, counts = lines.shingles(np.arange(len(lines.nodes)))
-    line = owner(np.append(0, np.cumsum(counts)))
-    order = np.lexsort((hashes, line))
-    hashes, line = hashes[order], line[order]
-    fresh = np.append(True, (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1]))[: len(hashes)]
-    return hashes[fresh], line[fresh]
-
-
-def _measured(shingle: int):
-    """Lines with their number of shingles and a byte of each register."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block in blocks(batch.column(1), BLOCK_BYTES):
-                lines = Lines(block, shingle, 1)
-                hashes, line = distinct_shingles(lines)
-                counts = np.bincount(line, minlength=len(lines.nodes))
-                # The lowest byte; the top bits of small hashes are alike.
-                sketch = (registers_of(hashes, counts) & np.uint64(255)).astype(np.uint8)
-                place = pa.array(lines.text + block.first)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(place), pa.array(counts, pa.int64()), pa.array([r.tobytes() for r in sketch], pa.binary()), batch.column(1).take(place)],
-                    names=["item", "n", "sketch", "content"],
-                )
-
-    return rows
+def packed_sets(numbers: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.uint64]:
+    """Different hashes of each of ``n`` numbered sets, sorted, as the number above the hash's upper bits, and how many bits the number takes."""
+    bits = np.uint64(max(1, n.bit_length()))
+    packed = (numbers.astype(np.uint64) << (np.uint64(64) - bits)) | (hashes >> bits)
+    packed.sort()
+    return packed[np.append(True, packed[1:] != packed[:-1])[: len(packed)]], bits
+
+
+def sketches(hashes: np.ndarray, counts: np.ndarray, registers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of different shingles of each line, its parities, and its registers' lowest bytes."""
+    lines = len(counts)
+    packed, bits = packed_sets(np.repeat(np.arange(lines), counts), hashes, lines)
+    line = (packed >> (np.uint64(64) - bits)).astype(np.int64)
+    n = np.bincount(line, minlength=lines)
+    # The same nine bits of a hash in every block.
+    classes = (packed >> (np.uint64(40) - bits)) & np.uint64(8 * SKETCH_BYTES - 1)
+    places, reach = line * (8 * SKETCH_BYTES) + classes.astype(np.int64), np.append(0, np.cumsum(n))
+    parity = np.zeros((lines, SKETCH_BYTES), dtype=np.uint8)
+    for first in range(0, lines, 4096):
+        last = min(first + 4096, lines)
+        own = places[reach[first] : reach[last]] - first * 8 * SKETCH_BYTES
+        odd = np.bincount(own, minlength=(last - first) * 8 * SKETCH_BYTES) & 1
+        parity[first:last] = np.packbits(odd.astype(bool).reshape(last - first, -1), axis=1)
+    # The lowest byte; the top bits of small hashes are alike.
+    return n, parity, (registers & np.uint64(255)).astype(np.uint8)
+
+
+def room_by_parities(left: np.ndarray, right: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
+    """Of pairs of parities (one a row) of sets with ``total`` members together, those that may be similar enough."""
+    # As many members as bits at least are in one set only: the sets share (total - bits) / 2 at most, their union is (total + bits) / 2 at least.
+    bits = np.bitwise_count(left ^ right).sum(axis=1, dtype=np.int64)
+    return (100 + percent) * bits <= (100 - percent) * total
 
 
 def _estimating(percent: int):
-    """Pairs that may be similar enough: short ones, and those whose registers leave room for it."""
+    """Pairs that may be similar enough by their sketches and are near enough in size."""
     p = percent / 100
-    least = REGISTERS * (p - 5 * (p * (1 - p) / REGISTERS) ** 0.5)
+    agreeing = REGISTERS * (p - 5 * (p * (1 - p) / REGISTERS) ** 0.5)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (
-                np.frombuffer(b"".join(batch.column(f"sketch_{s}").to_pylist()), dtype=np.uint8).reshape(-1, REGISTERS) for s in "ab"
-            )
-            short = np.minimum(batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()) < ESTIMATED
-            kept = pa.array(short | ((left == right).sum(axis=1) >= least))
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(kept), batch.column("b").filter(kept)], names=["a", "b"])
+            n_a, n_b = (batch.column(f"n_{s}").to_numpy() for s in "ab")
+            long = np.minimum(n_a, n_b) >= LONG
+            # A line without parities is too long for any shorter than LONG.
+            kept = long | (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b))
+            for name, which in (("registers", long), ("parities", kept & ~long)):
+                left, right = (
+                    np.frombuffer(b"".join(batch.column(f"{name}_{s}").filter(pa.array(which)).to_pylist()), dtype=np.uint8).reshape(-1, SKETCH_BYTES)
+                    for s in "ab"
+                )
+                if name == "registers":
+                    kept[which] = (left == right).sum(axis=1) >= agreeing
+                else:
+                    kept[which] = room_by_parities(left, right, (n_a + n_b)[which], percent)
+            yield pa.RecordBatch.from_arrays([batch.column(s).filter(pa.array(kept)) for s in "ab"], names=["a", "b"])
 
     return rows
 
@@ -190,13 +219,10 @@ def _verifying(shingle: int, percent: int):
             group = np.cumsum(width[:n] + width[n:]) // BLOCK_BYTES
             for g in np.unique(group):
                 pairs = np.flatnonzero(group == g)
-                sets = [_set_of(texts.take(pa.array(pairs + shift)), shingle) for shift in (0, n)]
-                pair = np.concatenate([line for _, line in sets])
-                hashes = np.concatenate([h for h, _ in sets])
-                order = np.lexsort((hashes, pair))
-                pair, hashes = pair[order], hashes[order]
-                twice = (hashes[1:] == hashes[:-1]) & (pair[1:] == pair[:-1])
-                common = np.bincount(pair[1:][twice], minlength=len(pairs))
+                sets = [packed_sets(*_shingles_of(texts.take(pa.array(pairs + shift)), shingle), len(pairs)) for shift in (0, n)]
+                both = np.sort(np.concatenate([packed for packed, _ in sets]))
+                pair = (both >> (np.uint64(64) - sets[0][1])).astype(np.int64)
+                common = np.bincount(pair[1:][both[1:] == both[:-1]], minlength=len(pairs))
                 total = np.bincount(pair, minlength=len(pairs))
                 similar[pairs] = 100 * common >= percent * (total - common)
             kept = pa.array(similar)
@@ -205,35 +231,59 @@ def _verifying(shingle: int, percent: int):
     return rows
 
 
-def _set_of(texts: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles of texts of one line each, and the text of each."""
-    hashes, places = [], []
+def _shingles_of(texts: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """The text of each shingle of texts of one line each, and the shingles."""
+    places, hashes = [], []
     for block in blocks(texts, BLOCK_BYTES):
         lines = Lines(block, shingle, 1)
-        h, line = distinct_shingles(lines)
-        hashes.append(h)
-        places.append(lines.text[line] + block.first)
-    return np.concatenate(hashes), np.concatenate(places)
+        found, counts = lines.shingles(np.arange(len(lines.nodes)))
+        hashes.append(found)
+        places.append(np.repeat(lines.text + block.first, counts))
+    return np.concatenate(places), np.concatenate(hashes)
 
 
 class _Pairs:
     """Confirms candidate pairs of lines."""
 
-    def __init__(self, texts: DataFrame, shingle: int, percent: int, work: Workspace) -> None:
-        self.texts, self.shingle, self.percent, self.work = texts, shingle, percent, work
+    def __init__(self, own: DataFrame, lines: DataFrame, forms: DataFrame, shingle: int, percent: int, work: Workspace) -> None:
+        self.own, self.lines, self.forms, self.shingle, self.percent, self.work = own, lines, forms, shingle, percent, work
 
-    def _sides(self, pairs: DataFrame, *columns: str) -> DataFrame:
+    @staticmethod
+    def _sides(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
         for side in "ab":
-            own = self.texts.select(F.col("item").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
-            pairs = pairs.join(own, side)
+            held = table.select(F.col("item").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
+            pairs = pairs.join(held, side)
         return pairs
 
+    def _texts(self, pairs: DataFrame, name: str) -> DataFrame:
+        """``(item, content)`` of all lines in pairs, from one place each."""
+        items = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        places = self.lines.select(F.coalesce("id", F.lit(LEAST)).alias("k"), "part", "line", "node").join(items, "node", "left_semi")
+        places = places.groupBy("node").agg(F.min(F.struct("k", "part", "line")).alias("place"))
+        wanted = places.groupBy("place.k", "place.part").agg(F.collect_list(F.struct("place.line", "node")).alias("wanted"))
+        wanted = self.work.write(wanted, f"{name}-wanted")
+        found = self.own.withColumn("k", F.coalesce("id", F.lit(LEAST))).join(wanted, ["k", "part"])
+        found = found.select(F.split("text", "\n").alias("split"), "wanted").select("split", F.explode("wanted").alias("w"))
+        content = found.select(F.col("w.node").alias("item"), F.get("split", F.col("w.line")).alias("content"))
+        return self.work.write(content.groupBy("item").agg(F.min("content").alias("content")), f"{name}-texts")
+
     def links(self, pairs: DataFrame, name: str) -> DataFrame:
         """Those of ``pairs(a, b)`` that are similar enough."""
-        sized = self._sides(pairs, "n", "sketch")
+        sized = self._sides(pairs, self.forms, "n", "parities", "registers")
         likely = self.work.write(map_batches(sized, _estimating(self.percent), "a long, b long"), f"{name}-likely")
-        full = self._sides(likely, "content").select("a", "b", "content_a", "content_b")
-        return self.work.write(map_batches(full, _verifying(self.shingle, self.percent), "a long, b long"), f"{name}-links")
+        if likely.isEmpty():
+            return likely
+        full = self._sides(likely, self._texts(likely, name), "content").select("a", "b", "content_a", "content_b")
+        links = self.work.write(map_batches(full, _verifying(self.shingle, self.percent), "a long, b long"), f"{name}-links")
+        self.work.drop(f"{name}-wanted", f"{name}-texts")
+        return links
+
+
+def _all_pairs(sized: DataFrame, percent: int) -> DataFrame:
+    """``(a, b)`` with a < b of all lines that share a bucket of ``sized(key, item, n)`` and are of like numbers of shingles."""
+    one, two = (sized.select("key", F.col("item").alias(s), F.col("n").alias(f"n_{s}")) for s in "ab")
+    alike = F.expr(f"a < b AND 100 * n_a >= {percent} * n_b AND 100 * n_b >= {percent} * n_a")
+    return one.join(two, "key").where(alike).select("a", "b")
 
 
 def first_places(places: DataFrame) -> DataFrame:
@@ -266,25 +316,30 @@ def dedup_lines(
     work = Workspace(spark, "lines")
     part = F.xxhash64(F.col(text_col))
     own = docs.select(F.col(id_col).cast("long").alias("id"), part.alias("part"), F.col(text_col).alias("text"))
-    lines = work.write(map_batches(own, _line_rows(shingle, least_chars), LINES), "lines")
-    keyed = lines.where(F.size("keys") > 0).select(F.explode("keys").alias("key"), F.col("node").alias("item"))
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shared = work.write(shared_buckets(keyed, partitions).distinct(), "shared")
+    scanned = work.write(map_batches(own, _line_rows(shingle, least_chars, percent), LINES), "scanned")
+    lines = work.write(scanned.select("id", "part", "line", "node"), "lines")
+    first = scanned.where(F.size("keys") > 0)
+    partitions, width = int(spark.conf.get("spark.sql.shuffle.partitions")), BANDS // BAND_STEPS
+    steps = []
+    for step in range(BAND_STEPS):
+        keyed = first.select(F.explode(F.slice("keys", step * width + 1, width)).alias("key"), F.col("node").alias("item"))
+        steps.append(work.write(shared_buckets(keyed, partitions).distinct(), f"shared-{step}"))
+    shared = reduce(DataFrame.unionByName, steps)
+    # One row of each candidate line; equal lines have equal numbers and sketches.
     involved = shared.select("item").distinct()
-    # One place of each candidate line, and the line's text from there.
-    candidates = lines.select(F.coalesce("id", F.lit(LEAST)).alias("k"), "part", "line", F.col("node").alias("group"))
-    wanted = first_places(candidates.join(involved.withColumnRenamed("item", "group"), "group", "left_semi"))
-    wanted = wanted.groupBy("k", "part").agg(F.collect_list(F.struct("line", "group")).alias("wanted"))
-    found = own.withColumn("k", F.coalesce("id", F.lit(LEAST))).join(wanted, ["k", "part"])
-    found = found.select(F.split("text", "\n").alias("split"), "wanted").select("split", F.explode("wanted").alias("w"))
-    content = found.select(F.col("w.group").alias("item"), F.get("split", F.col("w.line")).alias("content"))
-    content = content.groupBy("item").agg(F.min("content").alias("content"))
-    texts = work.write(map_batches(content, _measured(shingle), "item long, n long, sketch binary, content string"), "texts")
+    forms = first.select(F.col("node").alias("item"), "n", "parities", "registers").join(involved, "item", "left_semi")
+    forms = work.write(forms.groupBy("item").agg(*[F.min(c).alias(c) for c in ("n", "parities", "registers")]), "forms")
+    work.drop("scanned")
     # A partner has at most this many shingles; own members are not counted, as short shingles are seldom a line's own.
     top = F.floor(F.col("n") * 100 / percent)
-    bounds = texts.select("item", "n", top.alias("top"), F.lit(0).cast("long").alias("own"))
-    members = work.write(hub_members(shared, bounds), "members")
-    labels = link_members(members, _Pairs(texts, shingle, percent, work).links, work)
+    bounds = forms.select("item", "n", top.alias("top"), F.lit(0).cast("long").alias("own"))
+    sized = work.write(shared.join(forms.select("item", "n"), "item"), "sized")
+    work.drop(*[f"shared-{step}" for step in range(BAND_STEPS)])
+    large = work.write(sized.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > SMALL).select("key"), "large")
+    members = work.write(hub_members(sized.join(large, "key", "left_semi").select("key", "item"), bounds), "members")
+    pairs = _all_pairs(sized.join(large, "key", "left_anti"), percent)
+    check = _Pairs(own, lines, forms, shingle, percent, work)
+    labels = link_members(members, check.links, work, also=pairs)
 
     placed = lines.select("id", "part", "line", "node").join(labels, "node", "left")
     placed = placed.select("id", "part", "line", F.coalesce("component", "node").alias("group"))
@@ -295,14 +350,15 @@ def dedup_lines(
     gone = gone.where("NOT (k = stays_k AND part = stays_part AND line = stays_line)")
     removed = gone.select("k", "part", "line").distinct().groupBy("k", "part").agg(F.collect_list("line").alias("gone"))
     removed = work.write(removed, "removed")
+    work.keep("removed")
 
     own = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)).alias("k"),
         part.alias("part"),
-        F.split(text_col, "\n").alias("split"),
     )
-    joined = own.join(removed, ["k", "part"], "left")
+    # Split behind the join, so that a text travels once.
+    joined = own.join(removed, ["k", "part"], "left").withColumn("split", F.split(F.col("row")[text_col], "\n"))
     places = F.array_except(F.sequence(F.lit(0), F.size("split") - 1), "gone")
     cut = F.array_join(F.transform(places, lambda i: F.get("split", i)), "\n")
     text = F.when(F.col("gone").isNull(), F.col("row")[text_col]).otherwise(cut)

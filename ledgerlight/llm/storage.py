@@ -51,9 +51,23 @@ class Workspace:
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
         self.folder = scratch_folder(spark, name)
+        self.held: list[str] = []
 
     def write(self, table: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
         with shuffle_files_dropped(self.spark):
             table.write.option("compression", "zstd").parquet(path)
+        self.held.append(name)
         return self.spark.read.schema(table.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Deletes tables that no later step reads."""
+        context = self.spark.sparkContext
+        for name in names:
+            path = context._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+            self.held.remove(name)
+
+    def keep(self, *names: str) -> None:
+        """Deletes all tables but these."""
+        self.drop(*[name for name in self.held if name not in names])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -186,6 +187,65 @@ def test_short_lines_have_copies_too(spark, tmp_path):
     assert kept == {i: t for i, t in expected.items() if not gone[i] or spaced(t)}
 
 
+def test_line_sketches_lose_no_similar_pair():
+    """Parities leave every similar pair, whatever block a line stands in, and few others."""
+    rng = random.Random(13)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    lines = []
+    for n in (4, 9, 50, 120, 300, 700):
+        line = "".join(rng.choice(letters) for _ in range(n - 1)) + "."
+        for changes in (0, 1, 2, 5, 20, n):
+            own = list(line)
+            for _ in range(changes):
+                own[rng.randrange(n - 1)] = rng.choice(letters)
+            lines.append("x" + "".join(own))
+
+    def sketched(texts):
+        found = []
+        for block in blocks(pa.array(texts)):
+            held = line_dedup.Lines(block, 5, 1)
+            hashes, counts = held.shingles(np.arange(len(held.nodes)))
+            found.append(line_dedup.sketches(hashes, counts, line_dedup.registers_of(hashes, counts))[:2])
+        return [np.concatenate(x) for x in zip(*found)]
+
+    n, together = sketched(lines)
+    alone = np.concatenate([sketched([line])[1] for line in lines])
+    assert (together == alone).all()
+    sets = [{line.strip()[k : k + 5] for k in range(max(1, len(line.strip()) - 4))} for line in lines]
+    assert n.tolist() == [len(s) for s in sets]
+    a, b = np.triu_indices(len(lines), 1)
+    kept = line_dedup.room_by_parities(together[a], alone[b], n[a] + n[b], 80)
+    similar = np.array([100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) for i, j in zip(a, b)])
+    assert similar.any() and kept[similar].all()
+    assert kept.sum() < similar.sum() + 10
+
+
+def test_line_dedup_leaves_no_tables_it_does_not_need(spark, monkeypatch):
+    """The disk holds only what the result is read from, and texts are fetched for pairs that sketches leave."""
+    works, made = [], []
+
+    class Watched(line_dedup.Workspace):
+        def __init__(self, *given):
+            super().__init__(*given)
+            works.append(self)
+
+        def write(self, table, name):
+            out = super().write(table, name)
+            if name.endswith("texts"):
+                made.append(out.count())
+            return out
+
+    monkeypatch.setattr(line_dedup, "Workspace", Watched)
+    rng = random.Random(14)
+    base = ["".join(rng.choice("ab cd") for _ in range(300)) for _ in range(60)]
+    rows = [(i, f"{line}\n{line[:-1]}x" if i < 5 else line) for i, line in enumerate(base)]
+    kept = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), shingle=5, least_chars=1).collect()
+    assert {r["doc_id"]: r["_removed"] for r in kept} == {i: int(i < 5) for i in range(60)}
+    assert made and max(made) < 60
+    (work,) = works
+    assert os.listdir(work.folder) == ["removed"]
+
+
 def plain_repeats(rows, window):
     starts = Counter()
     for _, text in rows:
