@@ -28,7 +28,8 @@ from ledgerlight.llm.storage import Workspace, map_batches
 from ledgerlight.llm.text_arrays import Block, blocks
 from ledgerlight.llm.tokens import vocabulary
 
-BLOCK_BYTES = 2 << 20
+# A block and what is made of it are held several times over by each of an executor's workers.
+BLOCK_BYTES = 512 << 10
 # New words are encoded in texts of about so many bytes.
 JOINED_BYTES = 16 << 10
 

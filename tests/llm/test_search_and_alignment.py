@@ -8,8 +8,10 @@ import random
 import re
 from collections import Counter
 from functools import reduce
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from public_tokenizers import path
 from pyspark.sql import functions as F
@@ -237,6 +239,17 @@ def test_alignment_equals_the_plain_version(spark):
     assert any(row[1] == 0 and t for (_, t), row in zip(given, aligned_plainly([t for _, t in given])))
 
 
+def test_blocks_of_tokens_stay_small(monkeypatch):
+    """However large a batch of texts, a worker holds the tokens of half a megabyte of text at a time, or of one text."""
+    monkeypatch.setattr(align_tokens, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    text = " ".join(f"word{k}" for k in range(1500))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(150), pa.int64()), pa.array([text] * 150)], names=["id", "text"])
+    found = list(align_tokens._tokenizer(FIRST, SECOND)(iter([batch])))
+    held = [len(block.column(1)[0]) for block in found]
+    assert sum(held) == 150
+    assert max(held) * len(text) <= 1 << 19
+
+
 def test_cuts_by_bisect_on_random_ends():
     rng = np.random.default_rng(4)
     for share in (0.02, 0.3, 0.9):
