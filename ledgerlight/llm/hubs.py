@@ -21,11 +21,10 @@ from ledgerlight.llm.components import connected_components
 from ledgerlight.llm.storage import Workspace
 
 
-def shared_buckets(keyed: DataFrame, partitions: int | None = None) -> DataFrame:
+def shared_buckets(keyed: DataFrame) -> DataFrame:
     """Of ``keyed(key, item)`` the rows in buckets of two or more different items."""
-    dealt = keyed.repartition(partitions, "key") if partitions else keyed
-    buckets = dealt.groupBy("key").agg(F.min("item").alias("low"), F.max("item").alias("high")).where("low < high")
-    return dealt.join(buckets.select("key").hint("shuffle_hash"), "key").select(*keyed.columns)
+    buckets = keyed.groupBy("key").agg(F.min("item").alias("low"), F.max("item").alias("high")).where("low < high")
+    return keyed.join(buckets.select("key").hint("shuffle_hash"), "key").select(*keyed.columns)
 
 
 def partner_bounds(sets: DataFrame, percent: int) -> DataFrame:

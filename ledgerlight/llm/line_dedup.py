@@ -2,9 +2,9 @@
 
 A line is compared in lower case (A to Z), trimmed, as the set of its character
 shingles. One scan of the texts gives each line a 64-bit hash of its content, which stands for the
-line from then on, and band keys of a 64-register MinHash: 16 bands of four, so lines of similarity 0.8 share
-no bucket with a chance of 2e-4, of 0.9 with 2e-7. Equal lines have equal hashes and cost nothing below.
-In small buckets all pairs are candidates, in larger ones they come by way of hubs (``hubs.py``). Only lines of at least 0.8 of each other's number of shingles meet (or whatever the similarity is).
+line from then on, and band keys of a 128-register MinHash: 22 bands of five, so lines of similarity 0.8 share
+no bucket with a chance of 2e-4, of 0.9 with 3e-9. Equal lines have equal hashes and cost nothing below.
+In small buckets all pairs are candidates, read off the rows in order of their keys; in larger ones they come by way of hubs (``hubs.py``). Only lines of at least 0.8 of each other's number of shingles meet (or whatever the similarity is).
 They are first compared by 64 bytes: a line's parity sketch has a bit for each of 512 classes of shingles, set if the line holds an odd number of that class, so
 two lines differ in at least as many shingles as bits, and no similar pair is lost. Two lines of 800 shingles or more are compared by a byte of
 each register, with five standard deviations to spare. What is left is confirmed on the full shingle
@@ -16,32 +16,40 @@ shingles are so common in a language that unrelated lines fill the buckets, at n
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache, reduce
+from functools import cached_property, lru_cache, partial, reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlight.llm.hubs import hub_members, link_members, shared_buckets
+from ledgerlight.llm.hubs import hub_members, link_members
 from ledgerlight.llm.storage import Workspace, map_batches
 from ledgerlight.llm.text_arrays import LOWER, NEWLINE, SPACE, Block, blocks, byte_values, lists, mix, prefix_sums, span_hashes
 
-REGISTERS = 64
-BANDS, ROWS = 16, 4
-BLOCK_BYTES = 1 << 20
+REGISTERS = 128
+BANDS, ROWS = 22, 5
+BLOCK_BYTES = 1 << 17
 SKETCH_BYTES = 64
 # Pairs of lines of so many different shingles each are estimated by registers: of longer ones unrelated parities differ no more than they may.
 LONG = 800
 # Buckets of so many lines are compared all with all.
 SMALL = 8
 # The bands are shuffled in so many steps, one after the other.
-BAND_STEPS = 2
+BAND_STEPS = 4
+# Rows of one bucket that wait for its end; a longer bucket goes on as it comes.
+OPEN_ROWS = 1 << 14
+# Lines that are described at a time.
+CHUNK = 4096
 _NONE = np.uint64((1 << 64) - 1)
+_UPPER = np.uint64(((1 << 40) - 1) << 24)
 
 LEAST = -(1 << 63)  # stands for a missing id, which comes first
 
-LINES = "id long, part long, line int, node long, n long, parities binary, registers binary, keys array<long>"
+LINES = "id long, part long, line int, node long, n int, parities array<long>, registers array<long>, " + ", ".join(
+    f"keys_{step} array<long>" for step in range(BAND_STEPS)
+)
+BUCKETS = "key long, a long, b long"
 
 # Lower case, and every white space as a blank.
 _PLAIN = LOWER.copy()
@@ -52,34 +60,62 @@ class Lines:
     """The lines of a block that hold a word and are long enough."""
 
     def __init__(self, block: Block, shingle: int, least_chars: int) -> None:
-        self.block = Block(block.first, _PLAIN[block.data], block.bounds)
-        self.shingle = shingle
-        starts, ends, _ = block.spans(NEWLINE)
-        word_starts, word_ends, _ = block.spans(SPACE)
-        first = np.searchsorted(word_starts, starts)
-        last = np.searchsorted(word_starts, ends) - 1
-        worded = first <= last
-        starts = word_starts[first[worded]]
-        ends = word_ends[last[worded]]
+        data, self.shingle = _PLAIN[block.data], shingle
+        feeds = np.flatnonzero(block.data == 0x0A)
+        # A line begins with each text and behind each line feed.
+        begins = np.unique(np.concatenate([block.bounds[:-1], feeds + 1]))
+        over = block.bounds[np.searchsorted(block.bounds, begins, side="right").clip(max=len(block))]
+        ends = np.minimum(np.append(feeds, len(data))[np.searchsorted(feeds, begins)], over)
+        starts, ends = _trimmed(data, begins, ends)
         # Byte at which each character begins, and the characters of each line.
-        self.characters = np.append(np.flatnonzero((block.data & 0xC0) != 0x80), len(block.data))
-        begin, end = np.searchsorted(self.characters, starts), np.searchsorted(self.characters, ends)
+        self.characters = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+        plain = len(self.characters) == len(data) + 1
+        begin, end = (starts, ends) if plain else (np.searchsorted(self.characters, starts), np.searchsorted(self.characters, ends))
         long = end - begin >= max(least_chars, 1)
         self.starts, self.ends, self.begin, self.end = starts[long], ends[long], begin[long], end[long]
         self.text = np.searchsorted(block.bounds, self.starts, side="right") - 1
-        feeds = np.append(0, np.cumsum(NEWLINE[block.data]))
-        self.number = feeds[self.starts] - feeds[block.bounds[self.text]]
-        self.sums = prefix_sums(byte_values()[self.block.data])
+        self.number = np.searchsorted(feeds, self.starts) - np.searchsorted(feeds, block.bounds[self.text])
+        self.sums = prefix_sums(byte_values()[data])
         self.nodes = span_hashes(self.sums, self.starts, self.ends).view(np.int64)
 
+    @cached_property
+    def every(self) -> np.ndarray:
+        """The hash of the shingle that begins with each character, over line feeds too."""
+        return span_hashes(self.sums, self.characters[: -self.shingle], self.characters[self.shingle :])
+
     def shingles(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Shingle hashes of the chosen lines, one line after the other, and how many each has."""
         begin, end = self.begin[chosen], self.end[chosen]
         size = np.minimum(self.shingle, end - begin)
         counts = end - begin - size + 1
+        every = self.every
         shift = np.cumsum(counts) - counts
-        at = np.repeat(begin - shift, counts) + np.arange(counts.sum())
-        return span_hashes(self.sums, self.characters[at], self.characters[at + np.repeat(size, counts)]), counts
+        at = np.repeat(begin - shift, counts)
+        at += np.arange(len(at))
+        short = np.flatnonzero(size < self.shingle)
+        if not len(short):
+            return every[at], counts
+        at[shift[short]] = 0
+        hashes = every[at] if len(every) else np.zeros(len(at), dtype=np.uint64)
+        hashes[shift[short]] = span_hashes(self.sums, self.starts[chosen][short], self.ends[chosen][short])
+        return hashes, counts
+
+
+def _trimmed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lines without blanks around them, and without those of nothing but blanks."""
+    held = starts < ends
+    starts, ends = starts[held], ends[held]
+    blank = np.flatnonzero((data[starts] == 0x20) | (data[ends - 1] == 0x20))
+    if len(blank):
+        words = np.flatnonzero(data != 0x20)
+        first, last = np.searchsorted(words, starts[blank]), np.searchsorted(words, ends[blank])
+        worded = first < last
+        kept = np.ones(len(starts), dtype=bool)
+        kept[blank[~worded]] = False
+        blank, first, last = blank[worded], first[worded], last[worded]
+        starts[blank], ends[blank] = words[first], words[last - 1] + 1
+        starts, ends = starts[kept], ends[kept]
+    return starts, ends
 
 
 @lru_cache(maxsize=1)
@@ -92,19 +128,22 @@ def band_keys(registers: np.ndarray) -> np.ndarray:
     """Keys of each line's bands, one row per line."""
     keys = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(registers), 1))
     for k in range(ROWS):
-        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + registers[:, k::ROWS])
+        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + registers[:, k : BANDS * ROWS : ROWS])
     return keys.view(np.int64)
 
 
-def _bytes_at(rows: np.ndarray, places: np.ndarray, n: int) -> pa.Array:
-    """``n`` binaries: the rows' bytes at their places, elsewhere none."""
-    widths = np.zeros(n + 1, dtype=np.int32)
-    widths[places + 1] = rows.shape[1]
-    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.cumsum(widths, dtype=np.int32)), pa.py_buffer(rows.tobytes())])
+def _lists_at(rows: np.ndarray, places: np.ndarray, n: int) -> pa.ListArray:
+    """``n`` lists of longs: the rows at their places, elsewhere none."""
+    counts = np.zeros(n, dtype=np.int64)
+    counts[places] = rows.shape[1]
+    return lists(np.ascontiguousarray(rows).reshape(-1), counts, pa.int64())
 
 
 def _line_rows(shingle: int, least_chars: int, percent: int):
     """All lines; the first of equal ones in a block with its shingles' number, sketches and band keys."""
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()] + [pa.list_(pa.int64())] * (2 + BAND_STEPS)
+    names = ["id", "part", "line", "node", "n", "parities", "registers"] + [f"keys_{step}" for step in range(BAND_STEPS)]
+    held = pa.schema(list(zip(names, kinds, strict=True)))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,37 +152,41 @@ def _line_rows(shingle: int, least_chars: int, percent: int):
                 lines = Lines(block, shingle, least_chars)
                 _, sample = np.unique(lines.nodes, return_index=True)
                 sample.sort()
-                hashes, many = lines.shingles(sample)
-                registers = registers_of(hashes, many)
-                n, parity, lowest = sketches(hashes, many, registers)
-                counts, sizes = np.zeros(len(lines.nodes), dtype=np.int64), np.zeros(len(lines.nodes), dtype=np.int64)
-                counts[sample], sizes[sample] = BANDS, n
+                n, parity, lowest, keys = described(lines, sample)
+                sizes, total = np.zeros(len(lines.nodes), dtype=np.int32), len(lines.nodes)
+                sizes[sample] = n
                 short, long = 100 * LONG > percent * n, n >= LONG
                 texts = pa.array(lines.text + block.first)
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(texts), parts.take(texts), pa.array(lines.number, pa.int32()), pa.array(lines.nodes), pa.array(sizes),
-                     _bytes_at(parity[short], sample[short], len(sizes)), _bytes_at(lowest[long], sample[long], len(sizes)),
-                     lists(band_keys(registers).reshape(-1), counts, pa.int64())],
-                    names=["id", "part", "line", "node", "n", "parities", "registers", "keys"],
+                     _lists_at(parity.view(np.int64)[short], sample[short], total), _lists_at(lowest.view(np.int64)[long], sample[long], total),
+                     *[_lists_at(band, sample, total) for band in np.array_split(keys, BAND_STEPS, axis=1)]],
+                    schema=held,
                 )
 
     return rows
 
 
-def registers_of(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Smallest hash per register, one row per line; empty registers borrow from others in a fixed random order."""
+def registers_of(hashes: np.ndarray, counts: np.ndarray, sets: tuple[np.ndarray, np.uint64] | None = None) -> np.ndarray:
+    """Smallest hash per register, one row per line; empty registers borrow from others in a fixed random order. ``sets`` are the lines' packed sets, if known."""
     n = len(counts)
+    packed, bits = sets or packed_sets(np.repeat(np.arange(n), counts), hashes, n)
     registers = np.full((n, REGISTERS), _NONE)
-    place = np.repeat(np.arange(n) * REGISTERS, counts) + (hashes >> np.uint64(58)).astype(np.int64)
-    np.minimum.at(registers.reshape(-1), place, mix(hashes ^ np.uint64(0x2545F4914F6CDD1D)))
-    row, column = np.nonzero(registers == _NONE)
-    full, orders = registers.copy(), _orders()
+    # Sets are in ascending order, so a register's hashes stand together. The same upper bits count in every block.
+    place = packed >> (np.uint64(57) - bits)
+    heads = np.flatnonzero(np.append(True, place[1:] != place[:-1])[: len(place)])
+    if len(heads):
+        smallest = np.minimum.reduceat(mix(((packed << bits) & _UPPER) ^ np.uint64(0x2545F4914F6CDD1D)), heads)
+        registers.reshape(-1)[place[heads].astype(np.int64)] = smallest
+    empty = np.flatnonzero(registers.reshape(-1) == _NONE)
+    full, orders = registers.reshape(-1).copy(), _orders()
     for step in range(REGISTERS):
-        if not len(row):
+        if not len(empty):
             break
-        found = full[row, orders[column, step]]
-        registers[row, column] = found
-        row, column = row[found == _NONE], column[found == _NONE]
+        column = empty % REGISTERS
+        found = full.take(empty - column + orders[:, step].take(column))
+        registers.reshape(-1)[empty] = found
+        empty = empty[found == _NONE]
     return registers
 
 
@@ -155,23 +198,38 @@ def packed_sets(numbers: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.nda
     return packed[np.append(True, packed[1:] != packed[:-1])[: len(packed)]], bits
 
 
-def sketches(hashes: np.ndarray, counts: np.ndarray, registers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def sketches(
+    hashes: np.ndarray, counts: np.ndarray, registers: np.ndarray, sets: tuple[np.ndarray, np.uint64] | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Number of different shingles of each line, its parities, and its registers' lowest bytes."""
-    lines = len(counts)
-    packed, bits = packed_sets(np.repeat(np.arange(lines), counts), hashes, lines)
-    line = (packed >> (np.uint64(64) - bits)).astype(np.int64)
-    n = np.bincount(line, minlength=lines)
-    # The same nine bits of a hash in every block.
-    classes = (packed >> (np.uint64(40) - bits)) & np.uint64(8 * SKETCH_BYTES - 1)
-    places, reach = line * (8 * SKETCH_BYTES) + classes.astype(np.int64), np.append(0, np.cumsum(n))
+    lines, classes = len(counts), 8 * SKETCH_BYTES
+    packed, bits = sets or packed_sets(np.repeat(np.arange(lines), counts), hashes, lines)
+    # A class is the top nine bits of a hash, so its members stand together.
+    place = (packed >> (np.uint64(55) - bits)).astype(np.int64)
+    heads = np.flatnonzero(np.append(True, place[1:] != place[:-1])[: len(place)])
+    many = np.diff(np.append(heads, len(place)))
+    n = np.bincount(place[heads] // classes, weights=many, minlength=lines).astype(np.int64)
+    odd = place[heads[many % 2 == 1]]
+    reach = np.searchsorted(odd, np.arange(0, (lines + CHUNK) * classes, CHUNK * classes))
     parity = np.zeros((lines, SKETCH_BYTES), dtype=np.uint8)
-    for first in range(0, lines, 4096):
-        last = min(first + 4096, lines)
-        own = places[reach[first] : reach[last]] - first * 8 * SKETCH_BYTES
-        odd = np.bincount(own, minlength=(last - first) * 8 * SKETCH_BYTES) & 1
-        parity[first:last] = np.packbits(odd.astype(bool).reshape(last - first, -1), axis=1)
+    for k, first in enumerate(range(0, lines, CHUNK)):
+        last = min(first + CHUNK, lines)
+        bit = np.zeros((last - first) * classes, dtype=bool)
+        bit[odd[reach[k] : reach[k + 1]] - first * classes] = True
+        parity[first:last] = np.packbits(bit.reshape(last - first, -1), axis=1)
     # The lowest byte; the top bits of small hashes are alike.
-    return n, parity, (registers & np.uint64(255)).astype(np.uint8)
+    return n, parity, (registers[:, :SKETCH_BYTES] & np.uint64(255)).astype(np.uint8)
+
+
+def described(lines: Lines, chosen: np.ndarray) -> list[np.ndarray]:
+    """Number of different shingles of each chosen line, its parities, its registers' lowest bytes and its band keys, some lines at a time."""
+    parts = []
+    for first in range(0, max(len(chosen), 1), CHUNK):
+        hashes, counts = lines.shingles(chosen[first : first + CHUNK])
+        sets = packed_sets(np.repeat(np.arange(len(counts)), counts), hashes, len(counts))
+        registers = registers_of(hashes, counts, sets)
+        parts.append((*sketches(hashes, counts, registers, sets), band_keys(registers)))
+    return [np.concatenate(x) for x in zip(*parts, strict=True)]
 
 
 def room_by_parities(left: np.ndarray, right: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
@@ -184,18 +242,17 @@ def room_by_parities(left: np.ndarray, right: np.ndarray, total: np.ndarray, per
 def _estimating(percent: int):
     """Pairs that may be similar enough by their sketches and are near enough in size."""
     p = percent / 100
-    agreeing = REGISTERS * (p - 5 * (p * (1 - p) / REGISTERS) ** 0.5)
+    agreeing = SKETCH_BYTES * (p - 5 * (p * (1 - p) / SKETCH_BYTES) ** 0.5)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n_a, n_b = (batch.column(f"n_{s}").to_numpy() for s in "ab")
+            n_a, n_b = (batch.column(f"n_{s}").to_numpy().astype(np.int64) for s in "ab")
             long = np.minimum(n_a, n_b) >= LONG
             # A line without parities is too long for any shorter than LONG.
             kept = long | (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b))
             for name, which in (("registers", long), ("parities", kept & ~long)):
                 left, right = (
-                    np.frombuffer(b"".join(batch.column(f"{name}_{s}").filter(pa.array(which)).to_pylist()), dtype=np.uint8).reshape(-1, SKETCH_BYTES)
-                    for s in "ab"
+                    batch.column(f"{name}_{s}").filter(pa.array(which)).flatten().to_numpy().view(np.uint8).reshape(-1, SKETCH_BYTES) for s in "ab"
                 )
                 if name == "registers":
                     kept[which] = (left == right).sum(axis=1) >= agreeing
@@ -279,11 +336,74 @@ class _Pairs:
         return links
 
 
-def _all_pairs(sized: DataFrame, percent: int) -> DataFrame:
-    """``(a, b)`` with a < b of all lines that share a bucket of ``sized(key, item, n)`` and are of like numbers of shingles."""
-    one, two = (sized.select("key", F.col("item").alias(s), F.col("n").alias(f"n_{s}")) for s in "ab")
-    alike = F.expr(f"a < b AND 100 * n_a >= {percent} * n_b AND 100 * n_b >= {percent} * n_a")
-    return one.join(two, "key").where(alike).select("a", "b")
+def plausible(percent: int, left: str, right: str, n_left: str, n_right: str) -> Column:
+    """The test of ``room_by_parities`` on columns; a line without parities may be similar to any."""
+    bits = reduce(Column.__add__, [F.bit_count(F.get(left, F.lit(i)).bitwiseXOR(F.get(right, F.lit(i)))) for i in range(SKETCH_BYTES // 8)])
+    return F.coalesce((100 + percent) * bits <= (100 - percent) * (F.col(n_left) + F.col(n_right)), F.lit(True))
+
+
+def _shared(dealt: DataFrame, percent: int) -> DataFrame:
+    """Of ``dealt(key, item, n)`` the rows in buckets of different lines, without those of two rows of unlike numbers of shingles."""
+    numbers = [F.min("item").alias("low"), F.max("item").alias("high"), F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("c")]
+    wanted = dealt.groupBy("key").agg(*numbers).where(f"low < high AND (c > 2 OR 100L * least >= {percent} * most)")
+    return dealt.join(wanted.select("key").hint("shuffle_hash"), "key")
+
+
+def _bucket_rows(percent: int):
+    """Rows in order of their key to the pairs of like numbers of shingles in small buckets, and the members of larger ones."""
+
+    def settled(key: np.ndarray, item: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Whole buckets."""
+        if not len(key):
+            return
+        same = key[1:] == key[:-1]
+        kept = np.append(same, False) | np.append(False, same)
+        key, item, n = key[kept], item[kept], n[kept]
+        order = np.lexsort((item, key))
+        key, item, n = key[order], item[order], n[order]
+        new = np.append(True, (key[1:] != key[:-1]) | (item[1:] != item[:-1]))[: len(key)]
+        key, item, n = key[new], item[new], n[new]
+        heads = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+        count = np.diff(np.append(heads, len(key)))
+        large = np.repeat(count > SMALL, count)
+        yield from members(key[large], item[large])
+        left = np.repeat(np.where(count > SMALL, 0, heads + count), count) - np.arange(len(key))
+        for step in range(1, SMALL):
+            a = np.flatnonzero(left > step)
+            b = a + step
+            a, b = (x[(100 * n[a] >= percent * n[b]) & (100 * n[b] >= percent * n[a])] for x in (a, b))
+            if len(a):
+                yield made(key[a], item[a], item[b])
+
+    def members(key: np.ndarray, item: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(key):
+            yield made(key, item, None)
+
+    def made(key: np.ndarray, a: np.ndarray, b: np.ndarray | None) -> pa.RecordBatch:
+        other = pa.nulls(len(a), pa.int64()) if b is None else pa.array(b)
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(a), other], names=["key", "a", "b"])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, going = [np.zeros(0, dtype=np.int64)] * 3, None
+        for batch in batches:
+            if not len(batch):
+                continue
+            key, item, n = (np.concatenate([w, batch.column(c).to_numpy().astype(np.int64)]) for w, c in zip(waiting, ("key", "item", "n"), strict=True))
+            # The last bucket may go on in the next batch; a very long one is large whatever comes.
+            first = 0 if going is None else int(np.searchsorted(key, going, side="right"))
+            last = int(np.searchsorted(key, key[-1]))
+            yield from members(key[:first], item[:first])
+            if first < len(key):
+                going = None
+                yield from settled(key[first:last], item[first:last], n[first:last])
+                if len(key) - last > OPEN_ROWS:
+                    going = key[-1]
+                    yield from members(key[last:], item[last:])
+                    last = len(key)
+            waiting = [x[last if going is None else len(key) :] for x in (key, item, n)]
+        yield from settled(*waiting)
+
+    return rows
 
 
 def first_places(places: DataFrame) -> DataFrame:
@@ -318,28 +438,28 @@ def dedup_lines(
     own = docs.select(F.col(id_col).cast("long").alias("id"), part.alias("part"), F.col(text_col).alias("text"))
     scanned = work.write(map_batches(own, _line_rows(shingle, least_chars, percent), LINES), "scanned")
     lines = work.write(scanned.select("id", "part", "line", "node"), "lines")
-    first = scanned.where(F.size("keys") > 0)
-    partitions, width = int(spark.conf.get("spark.sql.shuffle.partitions")), BANDS // BAND_STEPS
+    first = scanned.where("n > 0")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     steps = []
     for step in range(BAND_STEPS):
-        keyed = first.select(F.explode(F.slice("keys", step * width + 1, width)).alias("key"), F.col("node").alias("item"))
-        steps.append(work.write(shared_buckets(keyed, partitions).distinct(), f"shared-{step}"))
-    shared = reduce(DataFrame.unionByName, steps)
+        keyed = first.select(F.explode(f"keys_{step}").alias("key"), F.col("node").alias("item"), "n")
+        ordered = _shared(keyed.repartition(partitions, "key"), percent).sortWithinPartitions("key")
+        steps.append(work.write(map_batches(ordered, _bucket_rows(percent), BUCKETS), f"buckets-{step}"))
+    buckets = reduce(DataFrame.unionByName, steps)
+    pairs = buckets.where("b IS NOT NULL").select("a", "b")
+    shared = buckets.where("b IS NULL").select("key", F.col("a").alias("item")).distinct()
     # One row of each candidate line; equal lines have equal numbers and sketches.
-    involved = shared.select("item").distinct()
-    forms = first.select(F.col("node").alias("item"), "n", "parities", "registers").join(involved, "item", "left_semi")
+    involved = buckets.select(F.explode(F.array("a", "b")).alias("item")).where("item IS NOT NULL").distinct()
+    forms = first.select(F.col("node").alias("item"), F.col("n").cast("long").alias("n"), "parities", "registers").join(involved, "item", "left_semi")
     forms = work.write(forms.groupBy("item").agg(*[F.min(c).alias(c) for c in ("n", "parities", "registers")]), "forms")
     work.drop("scanned")
     # A partner has at most this many shingles; own members are not counted, as short shingles are seldom a line's own.
     top = F.floor(F.col("n") * 100 / percent)
     bounds = forms.select("item", "n", top.alias("top"), F.lit(0).cast("long").alias("own"))
-    sized = work.write(shared.join(forms.select("item", "n"), "item"), "sized")
-    work.drop(*[f"shared-{step}" for step in range(BAND_STEPS)])
-    large = work.write(sized.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > SMALL).select("key"), "large")
-    members = work.write(hub_members(sized.join(large, "key", "left_semi").select("key", "item"), bounds), "members")
-    pairs = _all_pairs(sized.join(large, "key", "left_anti"), percent)
+    members = work.write(hub_members(shared, bounds), "members")
     check = _Pairs(own, lines, forms, shingle, percent, work)
-    labels = link_members(members, check.links, work, also=pairs)
+    sketched = forms.select("item", F.col("parities").alias("sketch"))
+    labels = link_members(members, check.links, work, sketched, partial(plausible, percent), also=pairs)
 
     placed = lines.select("id", "part", "line", "node").join(labels, "node", "left")
     placed = placed.select("id", "part", "line", F.coalesce("component", "node").alias("group"))

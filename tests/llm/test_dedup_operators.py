@@ -347,3 +347,42 @@ def test_empty_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, sf_dir).count() == 0
+
+
+def test_line_buckets_however_their_rows_are_cut():
+    """Pairs of small buckets, members of larger ones, over any batches; a bucket too long to wait for goes on as members."""
+    rng = np.random.default_rng(16)
+    sizes = [1, 2, 3, line_dedup.SMALL, line_dedup.SMALL + 1, 40, 1, line_dedup.OPEN_ROWS + 5000, 2, 1]
+    key = np.repeat(np.arange(len(sizes)) * 10 - 30, sizes)
+    item = np.concatenate([np.arange(n) for n in sizes]) + key * 100_000
+    item[key == -10] = item[key == -10][0]  # copies of one line
+    number = rng.choice([100, 110, 200], len(key))
+    number[(key == 0) & (item % 2 == 0)] = 0
+    expected = set()
+    for k in np.unique(key):
+        held = dict(zip(item[key == k].tolist(), number[key == k].tolist(), strict=True))
+        if len(held) > line_dedup.SMALL:
+            expected |= {(int(k), a, None) for a in held}
+        else:
+            expected |= {(int(k), a, b) for a in held for b in held if a < b and 100 * min(held[a], held[b]) >= 80 * max(held[a], held[b])}
+    for cut in (7, 1000, len(key)):
+        given = pa.RecordBatch.from_arrays([pa.array(key), pa.array(item), pa.array(number.astype(np.int32))], names=["key", "item", "n"])
+        made = line_dedup._bucket_rows(80)(given.slice(k, cut) for k in range(0, len(key), cut))
+        assert {tuple(row.values()) for batch in made for row in batch.to_pylist()} == expected
+    assert not list(line_dedup._bucket_rows(80)(iter([])))
+
+
+def test_unrelated_lines_share_few_buckets():
+    """Bands of five rows: of lines that share a fifth of their shingles few meet, of those that share 0.8 hardly one is missed."""
+    rng = np.random.default_rng(17)
+
+    def meeting(common, pairs=2000, n=200):
+        hashes = rng.integers(0, 1 << 63, (pairs, 2 * n - common), dtype=np.uint64) * np.uint64(2)
+        keys = [
+            line_dedup.band_keys(line_dedup.registers_of(np.ascontiguousarray(h).reshape(-1), np.full(pairs, n)))
+            for h in (hashes[:, :n], hashes[:, n - common :])
+        ]
+        return (keys[0] == keys[1]).any(axis=1).mean()
+
+    assert meeting(178) >= 0.998
+    assert meeting(67) <= 0.02
