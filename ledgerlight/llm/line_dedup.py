@@ -6,8 +6,8 @@ line from then on, and band keys of a 128-register MinHash: 22 bands of five, so
 no bucket with a chance of 2e-4, of 0.9 with 3e-9. Equal lines have equal hashes and cost nothing below.
 In small buckets all pairs are candidates, read off the rows in order of their keys; in larger ones they come by way of hubs (``hubs.py``). Only lines of at least 0.8 of each other's number of shingles meet (or whatever the similarity is).
 They are first compared by 64 bytes: a line's parity sketch has a bit for each of 512 classes of shingles, set if the line holds an odd number of that class, so
-two lines differ in at least as many shingles as bits, and no similar pair is lost. Two lines of 800 shingles or more are compared by a byte of
-each register, with five standard deviations to spare. What is left is confirmed on the full shingle
+two lines differ in at least as many shingles as bits, and no similar pair is lost. Two lines of 800 shingles or more are compared by a byte of each
+of 64 registers, with five standard deviations to spare. What is left is confirmed on the full shingle
 sets, which are made anew from the texts of the lines in such pairs. Components over the links are the groups. A changed character inside a line changes as many
 shingles as one is long, so with nine characters a line needs 89 to stay similar, with five 49; shorter
 shingles are so common in a language that unrelated lines fill the buckets, at no loss but of time.
