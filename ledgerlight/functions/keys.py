@@ -27,12 +27,18 @@ KEY_PARTS = {
 }
 
 
+# Types whose text is the same in every session.
+PLAIN_TYPES = ("string", "int", "bigint")
+# The column of a stored file that lists the keys it leaves out; older files have none.
+LEFT_OUT = "_keys_left_out"
+
+
 def _known_keys(rows: DataFrame) -> dict[str, Column]:
     types = dict(rows.dtypes)
     return {
         key: surrogate_key(*parts)
         for key, parts in KEY_PARTS.items()
-        if types.get(key) == "string" and all(part in types for part in parts)
+        if types.get(key) == "string" and all(types.get(part) in PLAIN_TYPES for part in parts)
     }
 
 
@@ -49,10 +55,28 @@ def without_known_keys(rows: DataFrame) -> DataFrame:
 
 def with_known_keys(rows: DataFrame, like: DataFrame) -> DataFrame:
     """The rows as they were before ``without_known_keys``; ``like`` are these, for the columns' comments."""
-    restored = {
-        key: F.when(F.col(key).isNull(), known).when(F.col(key) != "", F.expr(f"substring({key}, 2)"))
-        for key, known in _known_keys(like).items()
-    }
+    restored = {key: _restored(key, known) for key, known in _known_keys(like).items()}
     return rows.select([
         restored[f.name].alias(f.name, metadata=f.metadata) if f.name in restored else F.col(f.name) for f in like.schema.fields
     ])
+
+
+def _restored(key: str, known: Column) -> Column:
+    return F.when(F.col(key).isNull(), known).when(F.col(key) != "", F.expr(f"substring({key}, 2)"))
+
+
+def as_stored(rows: DataFrame) -> DataFrame:
+    """The rows as they lie in files: without known keys, and with the names of these keys."""
+    noted = [F.col(f.name).alias(f.name, metadata=f.metadata) for f in rows.schema.fields]
+    return without_known_keys(rows).select(*noted, F.lit(",".join(_known_keys(rows))).alias(LEFT_OUT))
+
+
+def from_stored(stored: DataFrame) -> DataFrame:
+    """The rows that ``as_stored`` was given; a file without that column, or without that name in it, holds the key itself."""
+    restored = {
+        key: F.when(F.find_in_set(F.lit(key), LEFT_OUT) > 0, _restored(key, known)).otherwise(F.col(key))
+        for key, known in _known_keys(stored).items()
+    }
+    return stored.select([
+        restored.get(f.name, F.col(f.name)).alias(f.name, metadata=f.metadata) for f in stored.schema.fields if f.name != LEFT_OUT
+    ])

@@ -7,9 +7,11 @@ that break the contract. Stored tables check written rows before they publish; `
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlight.operators import checks
@@ -438,19 +440,26 @@ def audit(rows: DataFrame, contract: Contract) -> None:
 class WriteAudit:
     """An audit whose NULLs are counted by the job that writes the rows; only keys are looked at afterwards.
 
-    Good for one write. The counts tell none from some; a task that ran twice may count its rows twice.
+    Good for one write, or all parts of one. The counts tell none from some; a task that ran twice may count its rows twice.
     """
 
     def __init__(self, contract: Contract) -> None:
         self.contract = contract
-        self.observed = Observation()
+        self.observed: list[Observation] = []
 
     def watched(self, rows: DataFrame) -> DataFrame:
-        return rows.observe(self.observed, *[F.count_if(F.col(c).isNull()).alias(c) for c in self.contract.required])
+        self.observed.append(Observation())
+        return rows.observe(self.observed[-1], *self._nulls())
+
+    def _nulls(self) -> list[Column]:
+        return [F.count_if(F.col(c).isNull()).alias(c) for c in self.contract.required]
 
     def check(self, written: DataFrame, unique: str | None = None) -> None:
         """Raise if the written rows break the contract; the key ``unique`` is known to have no repeats."""
-        nulls = self.observed.get
+        try:
+            nulls = sum((Counter(o.get) for o in self.observed), Counter())
+        except Py4JJavaError:  # rows that are known to be none are not run, and so not counted
+            nulls = written.agg(*self._nulls()).first().asDict()
         broken = [(c, "not_null", nulls[c]) for c in self.contract.required if nulls.get(c)]
         key = self.contract.primary_key
         if key is not None and key != unique:

@@ -29,6 +29,11 @@ HOT_USER_ROWS = 2_000_000
 BROADCAST_USERS = 100_000
 
 
+# Month rows that a write of the whole fact shuffles at once; beyond so many parts, a part holds more.
+PART_ROWS = 8_000_000
+MOST_PARTS = 32
+
+
 MRR_COLUMNS = [
     "sk_mrr_id",
     "subscription_id",
@@ -117,6 +122,18 @@ def active_mrr_by_month(subscriptions: DataFrame, ctx: RunContext) -> DataFrame:
     return active_months(per_span).select("mrr_month", "mrr")
 
 
+def _month_rows() -> Column:
+    """How many rows of the fact a counted subscription makes."""
+    live = F.greatest(month_number(F.col("last_month")) - month_number(F.col("first_month")) + 1, F.lit(0))
+    return live + F.col("churn_month").isNotNull().cast("int")
+
+
+def write_parts(subscriptions: DataFrame, ctx: RunContext) -> int:
+    """In how many parts the whole fact should be written (``MonthTable.replace``, cut by user); counts its rows without making them."""
+    rows = counted_subscriptions(subscriptions, ctx).agg(F.sum(_month_rows())).first()[0] or 0
+    return max(1, min(MOST_PARTS, -(-rows // PART_ROWS)))
+
+
 def find_hot_users(
     subscriptions: DataFrame, ctx: RunContext, *, min_rows: int = HOT_USER_ROWS
 ) -> DataFrame | None:
@@ -126,9 +143,7 @@ def find_hot_users(
     users only. Only the number of hot users comes to the driver.
     """
     counted = counted_subscriptions(subscriptions, ctx)
-    live = F.greatest(month_number(F.col("last_month")) - month_number(F.col("first_month")) + 1, F.lit(0))
-    churned = F.col("churn_month").isNotNull().cast("int")
-    loads = counted.groupBy("user_id").agg(F.sum(live + churned).alias("month_rows"))
+    loads = counted.groupBy("user_id").agg(F.sum(_month_rows()).alias("month_rows"))
     heavy = loads.where(F.col("month_rows") > min_rows).select(F.col("user_id").alias("hot_user_id"))
     number = heavy.count()
     if not number:

@@ -4,7 +4,8 @@ A table is a folder of immutable partitions, ``<root>/version=N/<column>=...``,
 and one small list per publish that names the version each month (or day) is
 read from. A run writes only the partitions it touches and then publishes
 a new list; readers keep the list they opened, a failed run leaves nothing
-visible, and a partition nobody touched is never copied. A feed that delivers a few days again
+visible, and a partition nobody touched is never copied. Files leave out the md5 keys
+that a row's columns give again, and ``read`` makes them when they are asked for. A feed that delivers a few days again
 should be stored by day: an upsert then rewrites those days and not their months.
 
 Where the catalog supports row-level merge (``merge_into``), use that instead.
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlight.context import RunContext
-from ledgerlight.functions.keys import with_known_keys, without_known_keys
+from ledgerlight.functions.keys import LEFT_OUT, as_stored, from_stored
 from ledgerlight.operators.key_directory import KeyDirectory
 from ledgerlight.session import path_exists, write_files
 
@@ -130,10 +131,10 @@ class MonthTable:
     def _read(self, listed: dict[str, int]) -> DataFrame:
         # The newest folder decides the columns; older files lack appended ones and give NULL.
         newest = self.spark.read.parquet(f"{self.root}/version={max(listed.values())}").schema
-        schema = StructType([f for f in newest.fields if f.name != self.month])
+        schema = StructType([f for f in newest.fields if f.name not in (self.month, LEFT_OUT)])
         folders = [self._folder(month, version) for month, version in sorted(listed.items())]
-        return (
-            self.spark.read.schema(schema.add(self.month, "string").add("version", "integer"))
+        return from_stored(
+            self.spark.read.schema(schema.add(LEFT_OUT, "string").add(self.month, "string").add("version", "integer"))
             .option("basePath", self.root)
             .parquet(*folders)
             .drop("version")
@@ -164,12 +165,19 @@ class MonthTable:
         last = max(listed)
         return self._read({last: listed[last]}).agg(F.max(day)).first()[0]
 
-    def _publish(self, rows: DataFrame, publish: int, keep: dict[str, int], audit: Audit | None = None) -> None:
+    def _publish(
+        self, rows: DataFrame, publish: int, keep: dict[str, int], audit: Audit | None = None, cut_by: str | None = None, parts: int = 1
+    ) -> None:
         target = f"{self.root}/version={publish}"
-        # Rebalance joins small pieces of a month and splits a month that is too large for one file.
-        moved = without_known_keys(_watched(rows, audit)).hint("rebalance", self.month)
-        write_files(with_known_keys(moved, rows), target, self.month, mode="overwrite")
-        written = self.spark.read.schema(rows.schema).parquet(target)
+        # An empty month comes back from its folder as NULL, and so it counts in a key.
+        named = rows.withColumn(self.month, F.nullif(F.col(self.month), F.lit(""))) if dict(rows.dtypes)[self.month] == "string" else rows
+        for part in range(parts):
+            own = named.where(F.pmod(F.xxhash64(cut_by), F.lit(parts)) == part) if parts > 1 else named
+            # Rebalance joins small pieces of a month and splits a month that is too large for one file.
+            moved = as_stored(_watched(own, audit)).hint("rebalance", self.month)
+            write_files(moved, target, self.month, mode="append" if part else "overwrite")
+        schema = StructType([*rows.schema.fields]).add(LEFT_OUT, "string")
+        written = from_stored(self.spark.read.schema(schema).parquet(target))
         _run_audit(audit, self._uncut(written))
         listed = dict(keep)
         if any_rows(written):
@@ -187,12 +195,14 @@ class MonthTable:
             directory.add(stored.select(F.col(self.key).cast("string").alias("row_key"), self._label().alias("month")))
         return directory
 
-    def replace(self, rows: DataFrame, *, audit: Audit | None = None) -> None:
+    def replace(self, rows: DataFrame, *, audit: Audit | None = None, cut_by: str | None = None, parts: int = 1) -> None:
         """Full load: the table holds exactly ``rows`` afterwards.
 
-        ``audit`` sees the written rows before they are published and may raise.
+        ``audit`` sees the written rows before they are published and may raise. With ``parts`` the rows are made and written in so many
+        parts by the hash of ``cut_by``, one after the other, so the disk holds the shuffle of one part; the column should be one that a filter
+        on the rows passes down to their sources. What is published is complete.
         """
-        self._publish(self._cut(rows), self._published()[0] + 1, {}, audit)
+        self._publish(self._cut(rows), self._published()[0] + 1, {}, audit, cut_by, parts)
 
     def upsert(self, batch: DataFrame, *, replace_months: bool = False, audit: Audit | None = None) -> None:
         """Merge a batch by key; only months that gain, change or lose a row are rewritten.

@@ -95,6 +95,8 @@ def build_marts(
         shaped = contracts.enforce(rows(table, incremental), CONTRACTS[name])
         if incremental:
             table.upsert(shaped, replace_months=replace_months and name == "fct_mrr", audit=_audited(name))
+        elif name == "fct_mrr":
+            table.replace(shaped, audit=_audited(name), cut_by="user_id", parts=mrr.write_parts(marts["fct_subscriptions"], ctx))
         else:
             table.replace(shaped, audit=_audited(name))
         return table.read()

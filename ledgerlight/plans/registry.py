@@ -165,7 +165,8 @@ def _carried_mrr(m: Marts) -> DataFrame:
     earlier = replace(m.ctx, as_of=(m.ctx.as_of.replace(day=1) - timedelta(days=40)))
     root = scratch_folder(m.raw.spark, "carried_mrr")
     table = mart_table(m.raw.spark, root, "fct_mrr")
-    table.replace(mrr.fct_mrr(m.keyless_subscriptions, earlier, hot=m.hot_users))
+    parts = mrr.write_parts(m.staged_subscriptions, earlier)
+    table.replace(mrr.fct_mrr(m.keyless_subscriptions, earlier, hot=m.hot_users), cut_by="user_id", parts=parts)
     rows = CarriedState(m.raw.spark, root, table).rows(m.keyless_subscriptions, m.ctx, hot=m.hot_users)
     return rows.where(F.col("mrr_month") >= m.ctx.oldest_reloaded_month())
 
