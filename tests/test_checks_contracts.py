@@ -152,6 +152,30 @@ def test_one_pass_equals_the_single_checks(spark):
         assert found[c.table, c.kind, c.column_name, c.detail] == many, c
 
 
+def test_no_job_holds_the_hashes_of_all_keys_where_rows_are_counted(spark, monkeypatch):
+    rows = spark.range(600).selectExpr("id a", "id % 590 b", "if(id % 7 = 0, null, id) c", "if(id = 9, null, 'k') d")
+    few = spark.range(20).selectExpr("id % 19 a", "id b")
+    tables = {"t": rows, "few": few, "other": few, "plain": rows.limit(30)}
+    declared = [checks.unique("t", c) for c in "abc"] + [checks.unique_combination("t", ["a", "d"]), checks.unique_combination("t", ["b", "d"])]
+    declared += [checks.unique(t, c) for t in ("few", "other") for c in "ab"] + [checks.not_null(t, "d") for t in ("t", "plain")]
+    declared += [checks.expression("t", "a", f"<> {k}") for k in range(65)]
+    expected = sorted(map(tuple, checks.run_checks(tables, declared).collect()))
+    assert {r[-2] for r in expected} >= {0, 1, 10}
+    made, make = [], checks._jobs
+
+    def seen_jobs(*given):
+        made.append([sum(m.where("part >= 0").count() for m in job) for job in make(*given)])
+        return make(*given)
+
+    monkeypatch.setattr(checks, "_jobs", seen_jobs)
+    assert sorted(map(tuple, checks.run_checks(tables, declared, counted=True).collect())) == expected
+    monkeypatch.setattr(checks, "JOB_ROWS", 400)
+    monkeypatch.setattr(checks, "SLICE_ROWS", 250)
+    assert sorted(map(tuple, checks.run_checks(tables, declared, counted=True).collect())) == expected
+    whole, cut = made
+    assert len(whole) == 1 and len(cut) > 6 and max(cut) < 480 and sum(cut) == sum(whole)  # slices are about even
+
+
 def test_a_table_is_scanned_once_for_all_its_checks(spark, tmp_path):
     spark.range(100).selectExpr("id", "cast(id as string) k", "id % 5 v").write.parquet(str(tmp_path / "t"))
     seen = spark.sparkContext.accumulator(0)
